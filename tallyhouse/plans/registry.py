@@ -111,3 +111,289 @@ def q_bank_by_channel_day(m, spark, sf):
 def q_bank_by_channel(m, spark, sf):
     """A-8: the per-channel bank control."""
     return m.bank
+
+
+# --- checks (C-1..C-15) ------------------------------------------------------
+
+# The six part types of the driver data, which play the role of
+# product categories there.
+DATA_CATEGORIES = ("STANDARD", "LARGE", "SMALL", "PROMO", "ECONOMY", "MEDIUM")
+
+
+def _gate_sql(categories) -> str:
+    cats = ", ".join(f"'{c}'" for c in categories)
+    checks = []
+    for model, cte, col in [("products_resolved", "int_products", "sku"),
+                            ("dim_date", "dim_date", "date_key"),
+                            ("dim_product", "dim_product", "product_key"),
+                            ("dim_store", "dim_store", "store_key"),
+                            ("fact_order_lines", "fact_order_lines", "order_line_key"),
+                            ("fact_settlements", "fact_settlements", "settlement_key")]:
+        checks.append(f"select 'unique:{model}.{col}' as check_name, cast(count(*) as bigint) as failing_rows "
+                      f"from (select {col} from {cte} where {col} is not null group by {col} having count(*) > 1) t")
+        checks.append(f"select 'not_null:{model}.{col}', cast(count(*) as bigint) from {cte} where {col} is null")
+    for name, cte, col, vals in [
+            ("settlements_usd.original_currency", "int_settlements", "original_currency", "'USD', 'CAD'"),
+            ("pos_classified.line_type", "int_pos", "line_type", "'sale', 'return'"),
+            ("dim_product.category", "dim_product", "category", cats),
+            ("fact_order_lines.channel", "fact_order_lines", "channel", "'shopify', 'pos'"),
+            ("fact_settlements.channel", "fact_settlements", "channel", "'amazon'"),
+            ("fact_settlements.original_currency", "fact_settlements", "original_currency", "'USD', 'CAD'")]:
+        checks.append(f"select 'accepted_values:{name}', cast(count(*) as bigint) from "
+                      f"(select {col} from {cte} where {col} not in ({vals}) group by {col}) t")
+    checks.append("select 'relationships:fact_order_lines.product_key', cast(count(*) as bigint) "
+                  "from fact_order_lines f left join dim_product d on f.product_key = d.product_key "
+                  "where d.product_key is null and f.product_key is not null")
+    checks.append("select 'assert_shopify_reconciles', cast(count(*) as bigint) from recon "
+                  "where channel = 'shopify' and status != 'RECONCILED'")
+    checks.append("select 'assert_no_channel_wildly_off', cast(count(*) as bigint) from recon "
+                  "where gap_pct > 0.10")
+    return "\nunion all ".join(checks)
+
+
+@register("check_results", _gate_sql(DATA_CATEGORIES))
+def q_check_results(m, spark, sf):
+    """C-1..C-6: every publish-gating check with its failing-row count."""
+    from tallyhouse.operators.checks import check_results, gate_checks
+    return check_results(gate_checks(m, DATA_CATEGORIES))
+
+
+@register("check_results_reference_categories", _gate_sql(
+    ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")))
+def q_check_results_ref_categories(m, spark, sf):
+    """C-3 drill: the gate run with the reference project's category list fails
+    on the driver data's categories (so the check is seen to fire)."""
+    from tallyhouse.operators.checks import DEFAULT_CATEGORIES, check_results, gate_checks
+    return check_results(gate_checks(m, DEFAULT_CATEGORIES))
+
+
+@register("model_assertions", """
+select check_name, observed,
+  case when check_name in ('training_rows_in_staging', 'returns_identified', 'cad_rows')
+       then observed > 0 else observed = 0 end as passed
+from (
+select 'duplicate_deduped_lines' as check_name, cast(count(*) as bigint) as observed
+  from (select order_id, sku, quantity, unit_price from int_orders group by 1, 2, 3, 4 having count(*) > 1) t
+union all select 'classified_minus_staging_sales',
+  cast((select count(*) from stg_pos where txn_type = 'sale') - (select count(*) from int_pos) as bigint)
+union all select 'training_rows_in_staging', cast(count(*) as bigint) from stg_pos where txn_type = 'training'
+union all select 'returns_identified', cast(count(*) as bigint) from int_pos where line_type = 'return'
+union all select 'cad_rows', cast(count(*) as bigint) from int_settlements where original_currency = 'CAD'
+union all select 'duplicate_product_skus', cast(count(*) as bigint)
+  from (select sku from int_products where sku is not null group by sku having count(*) > 1) t
+union all select 'amazon_in_order_fact', cast(count(*) as bigint) from order_lines where channel = 'amazon'
+union all select 'residual_without_reason', cast(count(*) as bigint) from recon
+  where status = 'RESIDUAL' and residual_reason is null
+union all select 'control_missing_or_not_positive', cast(count(*) as bigint) from recon
+  where bank_net_revenue is null or bank_net_revenue <= 0
+union all select 'fact_dates_missing_from_dim_date', cast(count(*) as bigint) from (
+  select activity_date from order_lines union select activity_date from settlement_lines) a
+  where activity_date is not null and activity_date not in (select date_key from dim_date)
+) c""")
+def q_model_assertions(m, spark, sf):
+    """C-7..C-14: model-level assertions (observed value, passed)."""
+    from tallyhouse.operators.checks import model_assertions
+    return model_assertions(m)
+
+
+@register("corruption_drill", """
+select channel, cast(case when channel = 'shopify' then warehouse_net_revenue * 2
+                          else warehouse_net_revenue end as decimal(14,2)) as warehouse_net_revenue,
+  bank_net_revenue,
+  cast(round(cast(abs(case when channel = 'shopify' then warehouse_net_revenue * 2 else warehouse_net_revenue end
+                      - bank_net_revenue) as decimal(20,4)) / nullif(bank_net_revenue, 0), 4) as decimal(10,4)) as gap_pct,
+  round(cast(abs(case when channel = 'shopify' then warehouse_net_revenue * 2 else warehouse_net_revenue end
+                 - bank_net_revenue) as decimal(20,4)) / nullif(bank_net_revenue, 0), 4) > 0.10 as breaches_guardrail
+from channel_nets join bank using (channel)""")
+def q_corruption_drill(m, spark, sf):
+    """C-15: doubled Shopify revenue must breach the 10 % guardrail."""
+    from tallyhouse.operators.recon import corruption_drill
+    return corruption_drill(m.channel_nets, m.bank)
+
+
+@register("channel_overlap", """
+select (select cast(count(*) as bigint) from order_lines where channel = 'amazon') as amazon_in_order_fact,
+       (select cast(count(*) as bigint) from settlement_lines where channel <> 'amazon') as other_in_settlement_fact""")
+def q_channel_overlap(m, spark, sf):
+    """C-12: the two facts hold disjoint channels (both counts must be 0)."""
+    from pyspark.sql import functions as F
+    tagged = (m.order_lines.select((F.col("channel") == "amazon").cast("int").alias("a"),
+                                   F.lit(0).alias("o"))
+              .unionByName(m.settlement_lines.select(
+                  F.lit(0).alias("a"), (F.col("channel") != "amazon").cast("int").alias("o"))))
+    return tagged.agg(F.coalesce(F.sum("a"), F.lit(0)).cast("bigint").alias("amazon_in_order_fact"),
+                      F.coalesce(F.sum("o"), F.lit(0)).cast("bigint").alias("other_in_settlement_fact"))
+
+
+@register("orphan_products", """
+select f.product_key, cast(count(*) as bigint) as n_records from order_lines f
+left join dim_product d on f.product_key = d.product_key
+where d.product_key is null and f.product_key is not null group by f.product_key""")
+def q_orphan_products(m, spark, sf):
+    """J-3 / C-4: order-fact products missing from the product dimension."""
+    from tallyhouse.operators.checks import relationships
+    return relationships(m.order_lines, "product_key", m.dim_product, "product_key")
+
+
+@register("orphan_products_unnormalized", """
+select f.product_key, cast(count(*) as bigint) as n_records from order_lines f
+where f.product_key is not null
+  and f.product_key not in (select sku_raw from stg_products where sku_raw is not null)
+group by f.product_key""")
+def q_orphan_products_unnormalized(m, spark, sf):
+    """J-3 drill: against a catalogue whose SKUs were NOT normalized, every line
+    of a product listed only in the newer SKU form becomes an orphan."""
+    from tallyhouse.operators.checks import relationships
+    return relationships(m.order_lines, "product_key", m.stg_products, "sku_raw")
+
+
+@register("uncovered_dates", """
+select activity_date from (select activity_date from order_lines union select activity_date from settlement_lines) a
+where activity_date is not null and activity_date not in (select date_key from dim_date)""")
+def q_uncovered_dates(m, spark, sf):
+    """J-4 / C-14: fact dates missing from dim_date (none when healthy)."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.operators.checks import uncovered_dates
+    return uncovered_dates(m.dim_date, m.order_lines, m.settlement_lines) \
+        .where(F.col("activity_date").isNotNull())
+
+
+@register("uncovered_dates_order_span", """
+select activity_date from (select activity_date from order_lines union select activity_date from settlement_lines) a
+where activity_date is not null and activity_date not in (
+  select cast(unnest(generate_series(min(order_date), max(order_date), interval 1 day)) as date) from int_orders)""")
+def q_uncovered_dates_order_span(m, spark, sf):
+    """J-4 drill: a spine spanning only the Shopify order dates misses the later
+    settlement and refund dates, and the check lists them."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.functions import date_spine
+    from tallyhouse.operators.checks import uncovered_dates
+    b = m.orders_deduplicated.agg(F.min("order_date").alias("s"), F.max("order_date").alias("e"))
+    spine = b.select(F.explode(date_spine(F.col("s"), F.col("e"))).alias("date_key"))
+    return uncovered_dates(spine, m.order_lines, m.settlement_lines) \
+        .where(F.col("activity_date").isNotNull())
+
+
+# --- reports (R-1, J-8) and bank identity (A-15) -------------------------------
+
+
+@register("daily_revenue", """
+select activity_date, channel, cast(sum(amount) as decimal(14,2)) as net_revenue,
+  cast(count(*) as bigint) as lines
+from (select order_date as activity_date, channel, quantity * unit_price as amount from int_orders
+      union all select order_date, 'shopify', -refund_amount from int_refunds
+      union all select txn_date, channel, amount from int_pos
+      union all select settlement_date, channel, net_amount_usd from int_settlements) t
+group by activity_date, channel""")
+def q_daily_revenue(m, spark, sf):
+    """R-1: the daily net-revenue number by channel."""
+    return m.daily_revenue
+
+
+@register("revenue_by_category", """
+select d.category, f.channel, cast(sum(f.g) as decimal(18,2)) as gross_revenue,
+  cast(count(*) as bigint) as lines
+from (select product_key, channel, gross_revenue as g from order_lines
+      union all select product_key, channel, gross_amount_usd from settlement_lines) f
+left join dim_product d on f.product_key = d.product_key
+group by d.category, f.channel""")
+def q_revenue_by_category(m, spark, sf):
+    """J-8: star join of both facts to the product dimension."""
+    from tallyhouse.operators.recon import revenue_by_category
+    return revenue_by_category(m.order_lines, m.settlement_lines, m.dim_product)
+
+
+@register("bank_identity", """
+with t as (select * from fx_lines),
+s as (select sum(gross) as gross, sum(case when channel = 'amazon' then gross else 0 end) as amazon_gross,
+        sum(case when refunded then gross else 0 end) as refunds,
+        sum(case when refunded and channel = 'amazon' then gross else 0 end) as amazon_refunds,
+        (select sum(net_deposit) from bank_deposits) as bank from t)
+select cast(gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15) as decimal(18,4)) as expected_net,
+  cast(bank as decimal(18,2)) as bank_net,
+  cast(bank - (gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15)) as decimal(18,4)) as difference,
+  abs(bank - (gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15))) < 50 as within_tolerance
+from s""")
+def q_bank_identity(m, spark, sf):
+    """A-15: bank total = gross - fee - (refunds - refund fee), within $50."""
+    from tallyhouse.operators.bank import bank_by_channel_day, bank_identity
+    return bank_identity(m.truth_lines, bank_by_channel_day(m.truth_lines))
+
+
+# --- source-defect profiles (F-2, F-4, F-6..F-9) --------------------------------
+
+
+@register("duplicate_orders", """
+with l as (select order_id, count(*) as n from stg_orders where record_type = 'order'
+           group by order_id, sku, quantity, unit_price),
+f as (select order_id, count(distinct source_file) as files from stg_orders where record_type = 'order' group by order_id),
+o as (select order_id, max(n) as copies, sum(n) as rows from l group by order_id)
+select o.order_id, cast(copies as bigint) as copies, cast(rows as bigint) as rows, cast(files as bigint) as files
+from o join f on o.order_id is not distinct from f.order_id where copies > 1""")
+def q_duplicate_orders(m, spark, sf):
+    """F-2 / A-11: orders delivered more than once, with copies, rows and files."""
+    from tallyhouse.operators.profiles import duplicate_orders
+    return duplicate_orders(m.stg_orders)
+
+
+@register("currency_profile", """
+select currency as raw_currency, upper(coalesce(currency, 'USD')) as currency, cast(count(*) as bigint) as rows
+from raw_amazon_settlements group by currency""")
+def q_currency_profile(m, spark, sf):
+    """F-4: settlement rows per landed currency value."""
+    from tallyhouse.operators.profiles import currency_profile
+    return currency_profile(m.raw.amazon_settlements)
+
+
+@register("training_profile", """
+select store_id,
+  cast(count(*) filter (where txn_type = 'training') as bigint) as training_rows,
+  cast(count(*) filter (where txn_type = 'training' and quantity < 0) as bigint) as negative_training_rows,
+  cast(count(*) filter (where txn_type = 'sale' and quantity < 0) as bigint) as return_rows,
+  cast(count(*) filter (where txn_type = 'sale') as bigint) as sale_rows
+from stg_pos group by store_id""")
+def q_training_profile(m, spark, sf):
+    """F-6: training rows that look like returns, per store."""
+    from tallyhouse.operators.profiles import training_profile
+    return training_profile(m.stg_pos)
+
+
+@register("missing_nights", r"""
+with n as (select distinct store_id, cast(nullif(regexp_extract(source_file, '(\d{4}-\d{2}-\d{2})', 1), '') as date) as night
+           from stg_pos),
+s as (select store_id, count(*) as nights_present, min(night) as first_night, max(night) as last_night
+      from n where night is not null group by store_id)
+select store_id, cast(nights_present as bigint) as nights_present, first_night, last_night,
+  cast(date_diff('day', first_night, last_night) + 1 - nights_present as bigint) as missing_nights
+from s""")
+def q_missing_nights(m, spark, sf):
+    """F-7: nights present and missing per store."""
+    from tallyhouse.operators.profiles import missing_nights
+    return missing_nights(m.stg_pos)
+
+
+@register("conflicting_costs", """
+select sku, cast(count(*) as bigint) as entries,
+  cast(count(distinct cast(unit_cost as decimal(12,2))) as bigint) as distinct_costs,
+  min(cast(unit_cost as decimal(12,2))) as min_cost, max(cast(unit_cost as decimal(12,2))) as max_cost
+from raw_product_master group by sku having count(*) > 1""")
+def q_conflicting_costs(m, spark, sf):
+    """F-8 / A-14: duplicate SKUs with their distinct costs."""
+    from tallyhouse.operators.profiles import conflicting_costs
+    return conflicting_costs(m.raw.product_master)
+
+
+@register("late_refunds", """
+with f as (select order_id, min(order_date) as first_order_date from stg_orders
+           where record_type = 'order' group by order_id),
+r as (select order_id, order_date as refund_date from stg_orders where record_type = 'refund')
+select cast(date_diff('day', f.first_order_date, r.refund_date) as int) as lag_days,
+  cast(count(*) as bigint) as refunds
+from r left join f on r.order_id = f.order_id
+group by 1""")
+def q_late_refunds(m, spark, sf):
+    """F-9: refunds by days after their order."""
+    from tallyhouse.operators.profiles import late_refunds
+    return late_refunds(m.stg_orders)
