@@ -26,8 +26,6 @@ PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Marts are rewritten per run date / whole table, never appended blindly.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -62,6 +62,11 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def _carry(df: DataFrame) -> list[str]:
+    """Provenance columns passed through a parse (the loader adds file_hash)."""
+    return [c for c in ("file_hash",) if c in df.columns]
+
+
 def with_hash(files: DataFrame) -> DataFrame:
     """S7: sha256 of each file's bytes, computed where the bytes are."""
     return files.withColumn("file_hash", F.sha2(F.col("content"), 256))
@@ -94,7 +99,7 @@ RAW_ORDER_COLUMNS = ("order_id", "created_at", "sku", "quantity", "price", "reco
 def order_objects(files: DataFrame) -> DataFrame:
     """Order-page objects as rows (source_file, o), one per object."""
     doc = F.from_json(F.decode(F.col("content"), "UTF-8"), ORDER_PAGE, {"mode": "FAILFAST"})
-    return files.select(F.col("file_name").alias("source_file"),
+    return files.select(F.col("file_name").alias("source_file"), *_carry(files),
                         F.explode(doc.getField("orders")).alias("o"))
 
 
@@ -106,21 +111,22 @@ def parse_orders(files: DataFrame) -> DataFrame:
     ``orders`` gives no rows.  ``<=>`` keeps objects whose type is NULL as orders.
     """
     objs = order_objects(files)
+    extra = _carry(files)
     is_refund = F.col("o.type").eqNullSafe("refund")
     ts = F.col("o.created_at").cast("timestamp")
     refunds = objs.where(is_refund).select(
         F.col("o.order_id").alias("order_id"), ts.alias("created_at"),
         F.lit(None).cast("string").alias("sku"), F.lit(None).cast("int").alias("quantity"),
         F.lit(None).cast("decimal(12,2)").alias("price"), F.lit("refund").alias("record_type"),
-        F.col("o.refund_amount").alias("refund_amount"), "source_file")
+        F.col("o.refund_amount").alias("refund_amount"), "source_file", *extra)
     orders = objs.where(~is_refund).select(
         "o.order_id", ts.alias("created_at"), F.explode("o.line_items").alias("li"),
-        "source_file").select(
+        "source_file", *extra).select(
         "order_id", "created_at", F.col("li.sku").alias("sku"),
         F.col("li.quantity").cast("int").alias("quantity"), F.col("li.price").alias("price"),
         F.lit("order").alias("record_type"),
-        F.lit(None).cast("decimal(12,2)").alias("refund_amount"), "source_file")
-    return orders.unionByName(refunds).select(*RAW_ORDER_COLUMNS)
+        F.lit(None).cast("decimal(12,2)").alias("refund_amount"), "source_file", *extra)
+    return orders.unionByName(refunds).select(*RAW_ORDER_COLUMNS, *extra)
 
 
 def discount_shapes(files: DataFrame) -> DataFrame:
@@ -149,13 +155,15 @@ def csv_records(files: DataFrame, text: Column) -> DataFrame:
     The first line of each file is its header; blank lines are skipped.
     """
     lines = F.split(text, "\r?\n")
-    per_file = files.select(F.col("file_name").alias("source_file"), lines.alias("_lines"))
-    per_file = per_file.select("source_file",
+    extra = _carry(files)
+    per_file = files.select(F.col("file_name").alias("source_file"), *extra,
+                            lines.alias("_lines"))
+    per_file = per_file.select("source_file", *extra,
                                F.transform(_fields(F.element_at("_lines", 1)),
                                            lambda h: F.trim(h)).alias("header"),
                                F.posexplode("_lines").alias("_pos", "_line"))
     data = per_file.where((F.col("_pos") > 0) & (F.trim(F.col("_line")) != ""))
-    return data.select("source_file", "header", _fields(F.col("_line")).alias("fields"))
+    return data.select("source_file", *extra, "header", _fields(F.col("_line")).alias("fields"))
 
 
 def field(name: str) -> Column:
@@ -200,13 +208,14 @@ def parse_settlements(files: DataFrame) -> DataFrame:
     for name in SETTLEMENT_COLUMNS:
         alt = back.get(name, name)
         cols.append(F.when(landed_layout, field(name)).otherwise(field(alt)).alias(name))
-    typed = rec.select(*cols, "source_file")
+    extra = _carry(files)
+    typed = rec.select(*cols, "source_file", *extra)
     return typed.select(
         "amazon_order_id", "sku", F.col("quantity").cast("int").alias("quantity"),
         *[F.col(c).cast("decimal(12,2)").alias(c)
           for c in ("gross_amount", "fee_amount", "net_amount")],
         "currency", F.col("settlement_date").cast("date").alias("settlement_date"),
-        "source_file")
+        "source_file", *extra)
 
 
 def settlement_layouts(files: DataFrame) -> DataFrame:
@@ -250,7 +259,7 @@ def parse_pos(spark: SparkSession, files: DataFrame) -> DataFrame:
         required_field("quantity", "POS").cast("int").alias("quantity"),
         required_field("amount", "POS").cast("decimal(12,2)").alias("amount"),
         required_field("txn_type", "POS").alias("txn_type"),
-        "source_file")
+        "source_file", *_carry(files))
 
 
 # --- S4: product workbooks ---------------------------------------------------
@@ -266,19 +275,27 @@ def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> Dat
     Header on ``header_row`` (the first row holds a merged title), first sheet
     in workbook order (hidden sheets after it are not read).
     """
+    extra = _carry(files)
+
     def parse(batches):
         import pandas as pd
         for pdf in batches:
-            out = [workbook.product_rows(bytes(c), name, header_row, sheet)
-                   for name, c in zip(pdf["file_name"], pdf["content"])]
+            out = []
+            for i in range(len(pdf)):
+                rows = workbook.product_rows(bytes(pdf["content"].iloc[i]),
+                                             pdf["file_name"].iloc[i], header_row, sheet)
+                for c in extra:
+                    rows[c] = pdf[c].iloc[i]
+                out.append(rows)
             yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-                columns=list(PRODUCT_COLUMNS))
+                columns=list(PRODUCT_COLUMNS) + extra)
 
-    rows = files.select("file_name", "content").mapInPandas(parse, _PRODUCT_OUT)
+    schema = _PRODUCT_OUT + "".join(f", {c} string" for c in extra)
+    rows = files.select("file_name", "content", *extra).mapInPandas(parse, schema)
     return rows.select("sku", "product_name", "category",
                        F.col("unit_cost").cast("decimal(12,2)").alias("unit_cost"),
                        F.col("unit_price").cast("decimal(12,2)").alias("unit_price"),
-                       "source_file")
+                       "source_file", *extra)
 
 
 # --- S5: bank control seed ---------------------------------------------------
