@@ -397,3 +397,193 @@ def q_late_refunds(m, spark, sf):
     """F-9: refunds by days after their order."""
     from tallyhouse.operators.profiles import late_refunds
     return late_refunds(m.stg_orders)
+
+
+# --- publish gate (J-6, O-2) ---------------------------------------------------
+
+
+def _nightly_ledger(m):
+    from tallyhouse.plans.jobs import nightly_gate
+    return nightly_gate(m.daily_revenue, m.bank_deposits)
+
+
+@register("nightly_gate", "select * from nightly_gate")
+def q_nightly_gate(m, spark, sf):
+    """D-4/K-5 over a drip: per night, would the cumulative data pass the gate?"""
+    return _nightly_ledger(m)
+
+
+@register("published_only", """
+select * from daily where activity_date in (select run_date from nightly_gate where status = 'published')""")
+def q_published_only(m, spark, sf):
+    """J-6: daily revenue restricted to published nights (what consumers read)."""
+    from tallyhouse.sources.publish import published_only
+    return published_only(m.daily_revenue, _nightly_ledger(m))
+
+
+@register("latest_publishes", "select * from nightly_gate order by run_date desc limit 10")
+def q_latest_publishes(m, spark, sf):
+    """O-2: the ten latest ledger rows (top-k by run date)."""
+    from tallyhouse.sources.publish import latest_publishes
+    return latest_publishes(_nightly_ledger(m))
+
+
+# --- file round trips (S1..S4, F-1, F-3, F-5) and the loader (K-1..K-3, S7, S8) --
+#
+# Each query writes the fixture's raw rows out in the messy landing format
+# (under the shared checkpoint folder), reads them back with the scans, and is
+# compared with the raw fixture view.  Provenance (source_file) names the
+# written part files, so it is left out of the comparison.
+
+# The dates at which the driver data switches order discount
+# shape and settlement header layout.
+DRIFT_DATE = "1998-06-01"
+
+
+def _landing_orders(spark, m):
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.writers import write_order_pages
+    root = scratch_path(spark, "landing-orders")
+    write_order_pages(m.raw.shopify_orders, f"{root}/shopify", DRIFT_DATE)
+    return root
+
+
+def _landing_settlements(spark, m):
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.writers import write_settlements
+    root = scratch_path(spark, "landing-settlements")
+    write_settlements(m.raw.amazon_settlements, f"{root}/amazon", DRIFT_DATE)
+    return root
+
+
+def _landing_pos(spark, m):
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.writers import write_pos
+    root = scratch_path(spark, "landing-pos")
+    write_pos(spark, m.raw.pos_transactions, f"{root}/pos")
+    return root
+
+
+def _landing_products(spark, m):
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.writers import write_workbooks
+    root = scratch_path(spark, "landing-products")
+    write_workbooks(m.raw.product_master, root)
+    return root
+
+
+@register("json_roundtrip", """
+select order_id, created_at, sku, quantity, price, record_type, refund_amount from raw_shopify_orders""")
+def q_json_roundtrip(m, spark, sf):
+    """S1: order rows -> paginated JSON documents -> order-page scan."""
+    from tallyhouse.sources.files import scan
+    return scan(spark, _landing_orders(spark, m), "shopify").drop("source_file")
+
+
+@register("discount_shapes", f"""
+select case when created_at < timestamp '{DRIFT_DATE}' then 'discount' else 'discount_allocations' end as shape,
+  cast(count(*) as bigint) as orders
+from (select distinct order_id, created_at, source_file from raw_shopify_orders where record_type = 'order') o
+group by 1""")
+def q_discount_shapes(m, spark, sf):
+    """F-1: order objects per discount shape, read from the written pages."""
+    from tallyhouse.sources.files import discount_shapes, read_files
+    return discount_shapes(read_files(spark, _landing_orders(spark, m), "shopify"))
+
+
+@register("csv_two_schemas", """
+select amazon_order_id, sku, quantity, gross_amount, fee_amount, net_amount, currency, settlement_date
+from raw_amazon_settlements""")
+def q_csv_two_schemas(m, spark, sf):
+    """S2: settlement rows -> CSV in two header layouts -> by-name scan."""
+    from tallyhouse.sources.files import scan
+    return scan(spark, _landing_settlements(spark, m), "amazon").drop("source_file")
+
+
+@register("settlement_layouts", f"""
+select case when settlement_date < date '{DRIFT_DATE}' then 'landed' else 'renamed' end as layout,
+  cast(count(distinct settlement_date) as bigint) as files
+from raw_amazon_settlements group by 1""")
+def q_settlement_layouts(m, spark, sf):
+    """F-3: settlement files per header layout."""
+    from tallyhouse.sources.files import read_files, settlement_layouts
+    return settlement_layouts(read_files(spark, _landing_settlements(spark, m), "amazon"))
+
+
+@register("csv_mixed_encoding", """
+select store_id, txn_timestamp, sku, quantity, amount, txn_type from raw_pos_transactions""")
+def q_csv_mixed_encoding(m, spark, sf):
+    """S3: POS rows -> UTF-8 and windows-1252 CSV -> encoding-detecting scan."""
+    from tallyhouse.sources.files import scan
+    return scan(spark, _landing_pos(spark, m), "pos").drop("source_file")
+
+
+@register("non_utf8_files", """
+select cast(count(distinct strftime(txn_timestamp, '%Y-%m')) as bigint) as files
+from raw_pos_transactions where store_id = 'store_11'""")
+def q_non_utf8_files(m, spark, sf):
+    """F-5: POS files that are not valid UTF-8 (the windows-1252 store)."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.sources.files import non_utf8_files, read_files
+    return non_utf8_files(read_files(spark, _landing_pos(spark, m), "pos")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("files"))
+
+
+@register("workbook_roundtrip", """
+select sku, product_name, category, unit_cost, unit_price from raw_product_master""")
+def q_workbook_roundtrip(m, spark, sf):
+    """S4: product rows -> workbooks (title row, header on row 2, hidden sheet) -> scan."""
+    from tallyhouse.sources.files import scan
+    return scan(spark, _landing_products(spark, m), "product").drop("source_file")
+
+
+@register("load_idempotent", """
+select 'amazon_settlements' as table_name, cast(count(*) as bigint) as rows_visible,
+  cast(count(*) as bigint) as manifest_rows, cast(0 as bigint) as loaded_on_rerun from raw_amazon_settlements
+union all select 'pos_transactions', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_pos_transactions
+union all select 'product_master', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_product_master
+union all select 'shopify_orders', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_shopify_orders""")
+def q_load_idempotent(m, spark, sf):
+    """K-1..K-3, S7, S8: land all four written feeds with a crash before the
+    POS commit, rerun, and rerun again; visible rows and manifest counts must
+    equal one clean load, and the last rerun must load nothing."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import writers as wr
+    root = scratch_path(spark, "landing-all")
+    wr.write_order_pages(m.raw.shopify_orders, f"{root}/shopify", DRIFT_DATE)
+    wr.write_settlements(m.raw.amazon_settlements, f"{root}/amazon", DRIFT_DATE)
+    wr.write_pos(spark, m.raw.pos_transactions, f"{root}/pos")
+    wr.write_workbooks(m.raw.product_master, root)
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    mf.load_source(spark, wh, root, "shopify")
+    try:
+        mf.load_source(spark, wh, root, "pos", crash_before_commit=True)
+    except mf.CrashForTest:
+        pass
+    mf.ingest(spark, wh, root)                     # rerun after the crash
+    rerun = mf.ingest(spark, wh, root)             # must be a no-op
+    # visible rows and manifest rows per table, merged by a union + group-by
+    z = F.lit(0).cast("bigint")
+    parts = [mf.read_manifest(spark, wh).select(
+        F.element_at(F.create_map(*[F.lit(x) for kv in mf.RAW_TABLES.items() for x in kv]),
+                     F.col("source_system")).alias("table_name"),
+        z.alias("rows_visible"), F.col("rows_loaded").cast("bigint").alias("manifest_rows"))]
+    for table in mf.RAW_TABLES.values():
+        parts.append(mf.read_raw(spark, wh, table).select(
+            F.lit(table).alias("table_name"), F.lit(1).cast("bigint").alias("rows_visible"),
+            z.alias("manifest_rows")))
+    rerun_rows = F.create_map(*[F.lit(x) for t, st in
+                                ((mf.RAW_TABLES[s_], r) for s_, r in rerun.items())
+                                for x in (t, st["loaded_rows"])])
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+        F.sum("rows_visible").cast("bigint").alias("rows_visible"),
+        F.sum("manifest_rows").cast("bigint").alias("manifest_rows")).select(
+        "table_name", "rows_visible", "manifest_rows",
+        F.element_at(rerun_rows, F.col("table_name")).cast("bigint").alias("loaded_on_rerun"))

@@ -44,11 +44,14 @@ def read_files(spark: SparkSession, root: str, source: str) -> DataFrame:
     reported by the job, not raised by the scan).
     """
     sub, pattern = SOURCE_GLOBS[source]
-    base = f"{root.rstrip('/')}/{sub}" if sub else root.rstrip("/")
-    reader = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-              .option("recursiveFileLookup", str(bool(sub)).lower()))
+    reader = spark.read.format("binaryFile")
+    if sub:   # every matching file below the source folder
+        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        target = f"{root.rstrip('/')}/{sub}"
+    else:     # files directly in the root (no listing of other feeds' folders)
+        target = f"{root.rstrip('/')}/{pattern}"
     try:
-        df = reader.load(base)
+        df = reader.load(target)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
