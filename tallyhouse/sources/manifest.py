@@ -139,15 +139,22 @@ def raw_tables(spark: SparkSession, wh: Warehouse, bank_deposits: DataFrame | No
 
 def load_source(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str,
                 crash_before_commit: bool = False) -> dict:
-    """K-2: land every not-yet-loaded file of one source; returns the counts.
+    """K-2: land every not-yet-loaded file of one source; returns the counts."""
+    return load_files(spark, wh, fs.read_files(spark, raw_dir, source), source,
+                      crash_before_commit)
 
-    Only the five counts reach the driver.
+
+def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: str,
+               crash_before_commit: bool = False) -> dict:
+    """Land the given files (path, file_name, content, ...) of one source.
+
+    Only the five counts reach the driver.  Used by the batch loader and by the
+    streaming drip's ``foreachBatch``.
     """
     init_schema(spark, wh)
     table = RAW_TABLES[source]
     batch = uuid.uuid4().hex
-    files = fs.with_hash(fs.read_files(spark, raw_dir, source)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    files = fs.with_hash(listed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         first = Window.partitionBy("file_hash").orderBy("path")
         loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
