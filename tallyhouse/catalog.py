@@ -23,12 +23,16 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
-    """Decorator: register ``fn(models, spark, sf_dir) -> DataFrame`` under ``name``."""
+def register(name: str, sql: str | None = None, materialize: str = "none"):
+    """Decorator: register ``fn(models, spark, sf_dir) -> DataFrame`` under ``name``.
+
+    ``materialize="checkpoint"`` is for queries that read the intermediate
+    models many times (the checks): they are computed once and read back.
+    """
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Models(adapter_raw(spark, sf_dir)), spark, sf_dir)
+            return fn(Models(adapter_raw(spark, sf_dir), materialize=materialize), spark, sf_dir)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -91,3 +91,11 @@ def truth_from_fixture(fx_lines: DataFrame) -> DataFrame:
         F.date_add(F.col("odate"), F.col("lag_days")).alias("refund_date"),
         F.when(F.col("refunded"), F.col("gross"))
         .otherwise(F.lit(Decimal("0.00")).cast("decimal(12,2)")).alias("refund_amount"))
+
+
+def write_bank_seed(bank: DataFrame, path: str) -> None:
+    """K-9: write the per-channel control as one small CSV (one row per channel,
+    so a single output file is bounded by the channel count)."""
+    (bank.select("channel", F.col("bank_net_revenue").cast("decimal(14,2)"))
+     .orderBy("channel").coalesce(1)
+     .write.mode("overwrite").option("header", True).csv(path))

@@ -7,18 +7,20 @@ Here the same numbering is produced in parallel:
 1. rows are collapsed to (distinct row, multiplicity) with a map-side combined
    aggregation, so a group of identical copies -- however large -- becomes one
    row before any shuffle;
-2. each row gets a content bucket (an integer expression of its own columns), and
-   the window that numbers rows is partitioned by (date, bucket), so one hot date
-   is spread over many tasks;
-3. the start offset of every (date, bucket) is a running sum over the tiny table
-   of per-(date, bucket) counts (at most days x buckets rows);
+2. each date gets ``ceil(rows of the date / rows_per_bucket)`` buckets and each
+   row a content bucket (an integer expression of its own columns modulo that
+   count), and the window that numbers rows is partitioned by (date, bucket):
+   an ordinary date is one bucket, a hot date holding a third of all rows is
+   spread over many tasks;
+3. the start offset of every (date, bucket) is a running sum over the small
+   table of per-(date, bucket) counts, whose size is bounded by
+   days + rows / rows_per_bucket;
 4. copies are expanded back with a two-level ``explode`` whose arrays never hold
    more than ``chunk`` elements.
 
 The total order is (date NULLS LAST, bucket, the other columns NULLS LAST).  It
 is a deterministic refinement of "order by date" (whose ties the reference
-leaves arbitrary), so an SQL oracle reproduces it exactly with
-``row_number() over (order by <same list>)``.
+leaves arbitrary); :func:`key_order_sql` states it for an SQL oracle.
 """
 
 from __future__ import annotations
@@ -26,56 +28,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+ROWS_PER_BUCKET = 1 << 21
 DEFAULT_CHUNK = 1 << 20
 
 
-def bucket_sql(money_col: str, qty_col: str, buckets: int = DEFAULT_BUCKETS) -> str:
-    """Content bucket text valid in Spark SQL and DuckDB alike.
+def content_sql(money_col: str, qty_col: str) -> str:
+    """Integer content value (cents + 7 x quantity), valid in Spark SQL and DuckDB."""
+    return f"(coalesce(cast({money_col} * 100 as bigint), 0) + 7 * coalesce({qty_col}, 0))"
 
-    Cents of the money column plus 7 x quantity, reduced to ``[0, buckets)``.
+
+def key_order_sql(order_col: str, content: str, tie_cols: list[str],
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> str:
+    """The ORDER BY list of the numbering, for ``row_number() over (...)`` in SQL.
+
+    Needs ``count(*) over (partition by order_col) as _dn`` in the input.
     """
-    x = f"(coalesce(cast({money_col} * 100 as bigint), 0) + 7 * coalesce({qty_col}, 0))"
-    return f"((({x}) % {buckets}) + {buckets}) % {buckets}"
+    nb = f"greatest(1, cast(ceil(_dn / {rows_per_bucket}.0) as bigint))"
+    bucket = f"((({content}) % {nb}) + {nb}) % {nb}"
+    ties = ", ".join(f"{c} nulls last" for c in tie_cols)
+    return f"{order_col} nulls last, {bucket}, {ties}"
 
 
-def dense_key(df: DataFrame, key: str, order_col: str, bucket: Column,
-              chunk: int = DEFAULT_CHUNK) -> DataFrame:
+def dense_key(df: DataFrame, key: str, order_col: str, content: Column,
+              rows_per_bucket: int = ROWS_PER_BUCKET, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Add ``key`` = 1..N in the order (order_col, bucket, other columns).
 
     Every column of ``df`` except ``order_col`` takes part in the tie-break, so
-    rows that compare equal are identical and any numbering of them is the same
-    result.
+    rows that compare equal are identical and any numbering of them gives the
+    same result.  ``content`` is an integer expression of the row.
     """
     others = [c for c in df.columns if c != order_col]
-    null_last = F.col(order_col).isNull()
+    day = ["_dnull", "_d"]
     staged = df.select(
-        null_last.alias("_dnull"),
+        F.col(order_col).isNull().alias("_dnull"),
         F.coalesce(F.col(order_col), F.lit("1970-01-01").cast("date")).alias("_d"),
-        bucket.cast("int").alias("_b"), *others, F.col(order_col))
+        *others, F.col(order_col), content.cast("long").alias("_h"))
 
     # 1. collapse copies (partial aggregation runs before the shuffle)
-    grp = ["_dnull", "_d", "_b", *others, order_col]
-    counted = staged.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
-
-    # 2. running count inside each (date, bucket)
-    part = Window.partitionBy("_dnull", "_d", "_b").orderBy(
+    counted = staged.groupBy(*day, *others, order_col, "_h").agg(
+        F.count(F.lit(1)).alias("_n"))
+
+    # 2. buckets per date.  One row per calendar day: bounded by the span of
+    #    the history, so it is broadcast.
+    per_day = counted.groupBy(*day).agg(
+        F.greatest(F.lit(1).cast("long"),
+                   F.ceil(F.sum("_n") / F.lit(float(rows_per_bucket))).cast("long"))
+        .alias("_nb"))
+    bucketed = counted.join(F.broadcast(per_day), day).withColumn(
+        "_b", F.pmod(F.col("_h"), F.col("_nb")))
+
+    part = Window.partitionBy(*day, "_b").orderBy(
         *[F.col(c).asc_nulls_last() for c in others]
     ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = counted.withColumn("_cum", F.sum("_n").over(part))
-
-    # 3. offsets over the small (date, bucket) count table.  Its size is bounded
-    #    by calendar days x buckets, so the one-partition running sum is cheap;
-    #    the join back is left to AQE (broadcast when the runtime size allows,
-    #    otherwise a sort-merge join on keys the big side is already
-    #    partitioned and sorted by).
-    sizes = counted.groupBy("_dnull", "_d", "_b").agg(F.sum("_n").alias("_bn"))
-    before = Window.orderBy("_dnull", "_d", "_b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_dnull", "_d", "_b",
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_base"))
-    placed = numbered.join(offsets, ["_dnull", "_d", "_b"])
+    numbered = bucketed.withColumn("_cum", F.sum("_n").over(part))
+
+    # 3. offsets over the (date, bucket) count table: days + rows/rows_per_bucket
+    #    rows at most, so the one-partition running sum stays small; the join
+    #    back is left to AQE (broadcast when its runtime size allows).
+    sizes = bucketed.groupBy(*day, "_b").agg(F.sum("_n").alias("_bn"))
+    before = Window.orderBy(*day, "_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*day, "_b",
+                           F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_base"))
+    placed = numbered.join(offsets, [*day, "_b"])
 
     # 4. expand copies in bounded chunks
     start = F.col("_base") + F.col("_cum") - F.col("_n") + 1

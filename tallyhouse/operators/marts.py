@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import date_spine, money, pg_day_name, pg_day_of_week, round_money
-from tallyhouse.operators.keys import bucket_sql, dense_key
+from tallyhouse.operators.keys import content_sql, dense_key
 
 
 def date_bounds(orders: DataFrame, pos: DataFrame, settlements: DataFrame) -> DataFrame:
@@ -66,8 +66,8 @@ def dim_store(pos: DataFrame) -> DataFrame:
         F.row_number().over(w).cast("bigint").alias("store_number"))
 
 
-ORDER_FACT_BUCKET = bucket_sql("gross_revenue", "quantity")
-SETTLEMENT_FACT_BUCKET = bucket_sql("net_amount_usd", "quantity")
+ORDER_FACT_CONTENT = content_sql("gross_revenue", "quantity")
+SETTLEMENT_FACT_CONTENT = content_sql("net_amount_usd", "quantity")
 
 
 def order_lines(orders: DataFrame, pos: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def order_lines(orders: DataFrame, pos: DataFrame) -> DataFrame:
 def fact_order_lines(orders: DataFrame, pos: DataFrame) -> DataFrame:
     """M-8 / W-4: order-date fact, keyed 1..N in activity-date order."""
     lines = order_lines(orders, pos)
-    keyed = dense_key(lines, "order_line_key", "activity_date", F.expr(ORDER_FACT_BUCKET))
+    keyed = dense_key(lines, "order_line_key", "activity_date", F.expr(ORDER_FACT_CONTENT))
     return keyed.select("order_line_key", "activity_date", "channel", "store_id",
                         "product_key", "quantity", "gross_revenue")
 
@@ -102,7 +102,7 @@ def settlement_lines(settlements: DataFrame) -> DataFrame:
 def fact_settlements(settlements: DataFrame) -> DataFrame:
     """M-9 / W-5: Amazon settlement fact, keyed in settlement-date order."""
     lines = settlement_lines(settlements)
-    keyed = dense_key(lines, "settlement_key", "activity_date", F.expr(SETTLEMENT_FACT_BUCKET))
+    keyed = dense_key(lines, "settlement_key", "activity_date", F.expr(SETTLEMENT_FACT_CONTENT))
     return keyed.select("settlement_key", "order_id", "activity_date", "channel",
                         "product_key", "quantity", "gross_amount_usd", "fee_amount_usd",
                         "net_amount_usd", "original_currency")

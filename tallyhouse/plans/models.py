@@ -1,9 +1,16 @@
 """The model graph (D-3): raw -> staging -> intermediate -> marts -> reconciliation.
 
-Every model is a lazy DataFrame built on first access.  ``persist=True``
-caches the four intermediates, which several marts and checks read, so a full
-build scans each raw table once; without it each output is one Catalyst plan
-from the raw scans (what a single ad-hoc query wants).
+Every model is a lazy DataFrame built on first access.  The four
+intermediates are read by several marts and checks; ``materialize`` decides
+what happens to them:
+
+* ``"none"``: each output is one Catalyst plan from the raw scans (what a
+  single ad-hoc query wants);
+* ``"persist"``: cached on the executors (MEMORY_AND_DISK) for the duration of
+  a build, released by :meth:`Models.release`;
+* ``"checkpoint"``: written once to the shared checkpoint folder
+  (``spark.checkpoint.dir``), which also cuts the lineage so a lost executor
+  does not trigger recomputation from the raw scans.
 """
 
 from __future__ import annotations
@@ -28,16 +35,21 @@ MODEL_NAMES = (
 class Models:
     """Lazily built models over one :class:`RawTables`."""
 
-    def __init__(self, raw: RawTables, persist: bool = False, bank: DataFrame | None = None):
+    def __init__(self, raw: RawTables, persist: bool = False, bank: DataFrame | None = None,
+                 materialize: str | None = None):
         self.raw = raw
-        self.persist = persist
+        self.materialize = materialize or ("persist" if persist else "none")
         self._bank = bank
         self._cached: list[DataFrame] = []
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        if self.persist:
+        if self.materialize == "persist":
             df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             self._cached.append(df)
+        elif self.materialize == "checkpoint":
+            from tallyhouse.session import shared_dir
+            shared_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
         return df
 
     def release(self) -> None:

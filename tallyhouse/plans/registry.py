@@ -151,7 +151,7 @@ def _gate_sql(categories) -> str:
     return "\nunion all ".join(checks)
 
 
-@register("check_results", _gate_sql(DATA_CATEGORIES))
+@register("check_results", _gate_sql(DATA_CATEGORIES), materialize="checkpoint")
 def q_check_results(m, spark, sf):
     """C-1..C-6: every publish-gating check with its failing-row count."""
     from tallyhouse.operators.checks import check_results, gate_checks
@@ -159,7 +159,7 @@ def q_check_results(m, spark, sf):
 
 
 @register("check_results_reference_categories", _gate_sql(
-    ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")))
+    ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")), materialize="checkpoint")
 def q_check_results_ref_categories(m, spark, sf):
     """C-3 drill: the gate run with the reference project's category list fails
     on the driver data's categories (so the check is seen to fire)."""
@@ -189,7 +189,7 @@ union all select 'control_missing_or_not_positive', cast(count(*) as bigint) fro
 union all select 'fact_dates_missing_from_dim_date', cast(count(*) as bigint) from (
   select activity_date from order_lines union select activity_date from settlement_lines) a
   where activity_date is not null and activity_date not in (select date_key from dim_date)
-) c""")
+) c""", materialize="checkpoint")
 def q_model_assertions(m, spark, sf):
     """C-7..C-14: model-level assertions (observed value, passed)."""
     from tallyhouse.operators.checks import model_assertions
