@@ -93,14 +93,15 @@ def conflicting_costs(raw_products: DataFrame) -> DataFrame:
 def late_refunds(stg_orders: DataFrame) -> DataFrame:
     """F-9: refunds by days after their order (lag <= 0 would be a defect).
 
-    Orders are reduced to one first-order date per id before the join, so both
-    join sides are bounded by the number of orders.
+    Both sides are reduced before the join -- orders to one first-order date
+    per id, refunds to one row per (order, refund date) with a count -- so a hot
+    order id cannot skew the join.
     """
     first = (stg_orders.where(F.col("record_type") == "order").groupBy("order_id")
              .agg(F.min("order_date").alias("first_order_date")))
-    refunds = stg_orders.where(F.col("record_type") == "refund").select(
-        "order_id", F.col("order_date").alias("refund_date"))
+    refunds = (stg_orders.where(F.col("record_type") == "refund")
+               .groupBy("order_id", F.col("order_date").alias("refund_date"))
+               .agg(F.count(F.lit(1)).alias("n")))
     j = refunds.join(first, "order_id", "left")
     lag = F.datediff(F.col("refund_date"), F.col("first_order_date"))
-    return j.groupBy(lag.alias("lag_days")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("refunds"))
+    return j.groupBy(lag.alias("lag_days")).agg(F.sum("n").cast("bigint").alias("refunds"))

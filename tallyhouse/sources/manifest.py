@@ -27,7 +27,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.sources import files as fs
@@ -156,10 +156,13 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
     batch = uuid.uuid4().hex
     files = fs.with_hash(listed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = Window.partitionBy("file_hash").orderBy("path")
+        # first path per content hash, on metadata only (contents never shuffle
+        # for this); then drop hashes the manifest already holds
         loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
-        new = (files.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
-               .join(loaded, "file_hash", "left_anti"))
+        firsts = (files.select("file_hash", "path").groupBy("file_hash")
+                  .agg(F.min("path").alias("path"))
+                  .join(loaded, "file_hash", "left_anti"))
+        new = files.join(firsts, ["file_hash", "path"], "left_semi")
         rows = fs.PARSERS[source](spark, new)
         (rows.withColumn("loaded_at", F.current_timestamp())
          .withColumn("batch_id", F.lit(batch))
