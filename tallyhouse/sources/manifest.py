@@ -155,13 +155,19 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
     table = RAW_TABLES[source]
     batch = uuid.uuid4().hex
     files = fs.with_hash(listed).persist(StorageLevel.MEMORY_AND_DISK)
+    firsts = None
     try:
+        seen = files.count()                       # reads and hashes every file once
         # first path per content hash, on metadata only (contents never shuffle
         # for this); then drop hashes the manifest already holds
         loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
         firsts = (files.select("file_hash", "path").groupBy("file_hash")
                   .agg(F.min("path").alias("path"))
-                  .join(loaded, "file_hash", "left_anti"))
+                  .join(loaded, "file_hash", "left_anti")
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        if seen == 0 or firsts.isEmpty():          # nothing new: a rerun stops here
+            return {"source": source, "files_seen": int(seen), "loaded_files": 0,
+                    "skipped_files": int(seen), "loaded_rows": 0}
         new = files.join(firsts, ["file_hash", "path"], "left_semi")
         rows = fs.PARSERS[source](spark, new)
         (rows.withColumn("loaded_at", F.current_timestamp())
@@ -172,7 +178,7 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
         written = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}") \
             .parquet(wh.raw(table)).where(F.col("batch_id") == batch)   # partition-pruned
         counts = written.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n"))
-        manifest_rows = (new.select("file_hash", "path").join(counts, "file_hash", "left")
+        manifest_rows = (firsts.join(counts, "file_hash", "left")
                          .select("file_hash", F.lit(source).alias("source_system"),
                                  F.col("path").alias("file_path"),
                                  F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded"),
@@ -184,9 +190,10 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
         committed = read_manifest(spark, wh).where(F.col("batch_id") == batch)
         loaded_files, loaded_rows = committed.agg(
             F.count(F.lit(1)), F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()
-        seen = files.count()
     finally:
         files.unpersist()
+        if firsts is not None:
+            firsts.unpersist()
     return {"source": source, "files_seen": int(seen), "loaded_files": int(loaded_files),
             "skipped_files": int(seen - loaded_files), "loaded_rows": int(loaded_rows)}
 
