@@ -158,6 +158,8 @@ def model_assertions(m) -> DataFrame:
         one("cad_rows", m.settlements_usd.where(F.col("original_currency") == "CAD"),
             cnt, positive),
         one("duplicate_product_skus", unique(m.products_resolved, "sku"), cnt, zero),
+        one("settlement_rows_without_order_id",
+            m.stg_settlements.where(F.col("order_id").isNull()), cnt, zero),
         one("amazon_in_order_fact", m.order_lines.where(F.col("channel") == "amazon"),
             cnt, zero),
         one("residual_without_reason",

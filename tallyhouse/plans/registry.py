@@ -181,6 +181,8 @@ union all select 'returns_identified', cast(count(*) as bigint) from int_pos whe
 union all select 'cad_rows', cast(count(*) as bigint) from int_settlements where original_currency = 'CAD'
 union all select 'duplicate_product_skus', cast(count(*) as bigint)
   from (select sku from int_products where sku is not null group by sku having count(*) > 1) t
+union all select 'settlement_rows_without_order_id', cast(count(*) as bigint) from stg_settlements
+  where order_id is null
 union all select 'amazon_in_order_fact', cast(count(*) as bigint) from order_lines where channel = 'amazon'
 union all select 'residual_without_reason', cast(count(*) as bigint) from recon
   where status = 'RESIDUAL' and residual_reason is null
