@@ -73,8 +73,12 @@ class Warehouse:
     def manifest(self) -> str:
         return self.raw("file_manifest")
 
-    def mart(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/marts/{name}"
+    def mart(self, name: str, build_id: str) -> str:
+        return f"{self.root.rstrip('/')}/marts/build_id={build_id}/{name}"
+
+    @property
+    def build_log(self) -> str:
+        return f"{self.root.rstrip('/')}/marts/_builds"
 
     @property
     def publish_log(self) -> str:

@@ -113,7 +113,9 @@ def test_pipeline_and_backfill(spark, landing, wh, tmp_path):
     out = jobs.run_pipeline(spark, landing, wh, dt.date(2024, 7, 9), bank, categories=cats)
     assert out["publish"]["status"] == "published"
     assert out["build"]["fact_order_lines"] == 3 + 3    # deduped shopify lines + POS sale-type rows
-    recon = {r.channel: r for r in spark.read.parquet(wh.mart("revenue_reconciliation")).collect()}
+    built = jobs.Built(spark, wh)
+    assert built.build_id == out["build"]["build_id"]
+    recon = {r.channel: r for r in built.revenue_reconciliation.collect()}
     assert recon["shopify"].status == "RECONCILED"          # 2*10+5+10 - 5 = 30
     res = jobs.backfill(spark, landing, wh, dt.date(2024, 7, 10), dt.date(2024, 7, 11), bank,
                         categories=cats)
@@ -128,3 +130,22 @@ def test_pipeline_and_backfill(spark, landing, wh, tmp_path):
                              categories=cats)
     assert skip["publish"]["status"] == "unverified"
     assert not pb.is_published(spark, wh, dt.date(2024, 7, 14))
+    load_only = jobs.run_pipeline(spark, landing, wh, dt.date(2024, 7, 15), bank, skip_build=True,
+                                  categories=cats)
+    assert load_only["build"] is None and load_only["publish"]["status"] == "unverified"
+
+
+def test_crash_mid_build_keeps_previous_build(spark, landing, wh, tmp_path, monkeypatch):
+    seed = tmp_path / "bank.csv"
+    put(seed, BANK_SEED)
+    bank = fs.read_bank_seed(spark, str(seed))
+    jobs.run_load(spark, wh, landing)
+    first = jobs.run_build(spark, wh, bank)["build_id"]
+    # a build that dies after writing some tables
+    tables = jobs.BUILT_TABLES
+    monkeypatch.setattr(jobs, "BUILT_TABLES", tables[:3] + ("no_such_model",))
+    with pytest.raises(Exception):
+        jobs.run_build(spark, wh, bank)
+    monkeypatch.setattr(jobs, "BUILT_TABLES", tables)
+    assert jobs.current_build(spark, wh) == first
+    assert jobs.Built(spark, wh).dim_date.count() > 0
