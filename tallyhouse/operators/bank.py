@@ -99,3 +99,10 @@ def write_bank_seed(bank: DataFrame, path: str) -> None:
     (bank.select("channel", F.col("bank_net_revenue").cast("decimal(14,2)"))
      .orderBy("channel").coalesce(1)
      .write.mode("overwrite").option("header", True).csv(path))
+
+
+def make_bank_seed(spark, deposits_parquet: str, seed_path: str) -> None:
+    """S10 + A-8 + K-9: read the channel-day bank answer key (Parquet), total it
+    per channel and write the control CSV the reconciliation reads."""
+    deposits = spark.read.parquet(deposits_parquet)
+    write_bank_seed(bank_by_channel(deposits), seed_path)

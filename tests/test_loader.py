@@ -84,6 +84,10 @@ def test_sense(spark, landing, tmp_path):
     (empty / "shopify").mkdir(parents=True)
     with pytest.raises(jobs.PipelineError, match="sense failed"):
         jobs.sense_files(spark, str(empty))
+    # one store's files missing is tolerated (the source still has files)
+    make_landing(tmp_path / "no_store_01")
+    (tmp_path / "no_store_01" / "pos" / "store_01_2024-07-01.csv").unlink()
+    assert jobs.sense_files(spark, str(tmp_path / "no_store_01"))["present"]["pos"] == 1
     # a partial source set passes when only it is required
     make_landing(tmp_path / "partial")
     shutil.rmtree(tmp_path / "partial" / "amazon")

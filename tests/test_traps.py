@@ -130,3 +130,15 @@ def test_k9_bank_seed_sink(spark, tmp_path):
     back = read_bank_seed(spark, str(tmp_path / "seed"))
     assert [(r.channel, r.bank_net_revenue) for r in back.collect()] == \
         [("amazon", Decimal("1.00")), ("pos", Decimal("2.50"))]
+
+
+def test_s10_bank_seed_from_answer_key(spark, tmp_path):
+    from tallyhouse.sources.files import read_bank_seed
+    dep = spark.createDataFrame([(dt.date(2024, 7, 1), "pos", Decimal("2.25")),
+                                 (dt.date(2024, 7, 2), "pos", Decimal("-0.75")),
+                                 (dt.date(2024, 7, 1), "amazon", Decimal("8.50"))],
+                                "deposit_date date, channel string, net_deposit decimal(14,2)")
+    dep.write.parquet(str(tmp_path / "_bank_deposits.parquet"))
+    bank.make_bank_seed(spark, str(tmp_path / "_bank_deposits.parquet"), str(tmp_path / "seed"))
+    got = {r.channel: r.bank_net_revenue for r in read_bank_seed(spark, str(tmp_path / "seed")).collect()}
+    assert got == {"amazon": Decimal("8.50"), "pos": Decimal("1.50")}
