@@ -17,7 +17,7 @@ Commit protocol (no transactional table format needed):
 Readers see raw rows only through a ``left_semi`` join with the manifest on
 (file_hash, batch_id), so rows written by a batch that died before step 4 are
 invisible and the file is simply loaded again by the next run.  Concurrent
-loaders of the same warehouse are not supported (as with one Postgres
+loaders of the same warehouse are not supported (as with one database
 transaction per file, serial runs are the contract).
 """
 
