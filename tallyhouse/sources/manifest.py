@@ -56,6 +56,8 @@ RAW_SCHEMAS = {
                       "unit_cost decimal(12,2), unit_price decimal(12,2), source_file string",
 }
 PROVENANCE = "file_hash string, loaded_at timestamp, batch_id string"
+# New-file (hash, path) rows broadcast to select file contents; ~100 bytes each.
+BROADCAST_PATHS = 200_000
 
 
 class CrashForTest(RuntimeError):
@@ -169,10 +171,14 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
                   .agg(F.min("path").alias("path"))
                   .join(loaded, "file_hash", "left_anti")
                   .persist(StorageLevel.MEMORY_AND_DISK))
-        if seen == 0 or firsts.isEmpty():          # nothing new: a rerun stops here
+        n_new = firsts.count() if seen else 0
+        if n_new == 0:                             # nothing new: a rerun stops here
             return {"source": source, "files_seen": int(seen), "loaded_files": 0,
                     "skipped_files": int(seen), "loaded_rows": 0}
-        new = files.join(firsts, ["file_hash", "path"], "left_semi")
+        # pick the new files' rows without moving file contents: the path list
+        # is broadcast when its measured size allows, else a shuffle join
+        picks = F.broadcast(firsts) if n_new <= BROADCAST_PATHS else firsts
+        new = files.join(picks, ["file_hash", "path"], "left_semi")
         rows = fs.PARSERS[source](spark, new)
         (rows.withColumn("loaded_at", F.current_timestamp())
          .withColumn("batch_id", F.lit(batch))
