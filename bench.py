@@ -22,6 +22,10 @@ read its raw tables.  Queries:
   load_first          exactly-once loader on the four messy feeds (written once,
                       untimed, from the driver tables) into a fresh warehouse
   load_rerun          the same load again: every file skipped by content hash
+  pipeline_night      the nightly job end to end on the landing files into a
+                      fresh warehouse: sense, load, build (written), 21 checks
+                      on the written tables, publish  (one run)
+  pipeline_rerun      the next night with no new files (one run)
 """
 
 from __future__ import annotations
@@ -139,6 +143,16 @@ def main() -> None:
         rerun.append(timed(lambda: ingest(spark, wh, landing)))
     results["load_first"] = round(statistics.median(first), 3)
     results["load_rerun"] = round(statistics.median(rerun), 3)
+    import datetime as dt
+
+    from tallyhouse.operators.bank import bank_by_channel
+    from tallyhouse.plans import jobs
+    bank = bank_by_channel(landed().bank_deposits)
+    wh = Warehouse(f"{scratch}/wh-pipeline")
+    results["pipeline_night"] = round(timed(lambda: jobs.run_pipeline(
+        spark, landing, wh, dt.date(2001, 8, 1), bank, categories=DATA_CATEGORIES)), 3)
+    results["pipeline_rerun"] = round(timed(lambda: jobs.run_pipeline(
+        spark, landing, wh, dt.date(2001, 8, 2), bank, categories=DATA_CATEGORIES)), 3)
     files = sum(v["files_seen"] for v in load_stats.values())
     rows = sum(v["loaded_rows"] for v in load_stats.values())
 
