@@ -26,7 +26,7 @@ _ORACLES: dict[str, str] = {}
 def register(name: str, sql: str | None = None, materialize: str = "none"):
     """Decorator: register ``fn(models, spark, sf_dir) -> DataFrame`` under ``name``.
 
-    ``materialize="checkpoint"`` is for queries that read the intermediate
+    ``materialize="table"`` is for queries that read the intermediate
     models many times (the checks): they are computed once and read back.
     """
 

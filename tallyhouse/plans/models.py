@@ -8,9 +8,10 @@ what happens to them:
   single ad-hoc query wants);
 * ``"persist"``: cached on the executors (MEMORY_AND_DISK) for the duration of
   a build, released by :meth:`Models.release`;
-* ``"checkpoint"``: written once to the shared checkpoint folder
-  (``spark.checkpoint.dir``), which also cuts the lineage so a lost executor
-  does not trigger recomputation from the raw scans.
+* ``"table"``: written once as Parquet under the shared checkpoint folder
+  (``spark.checkpoint.dir``) and read back -- computed once (an RDD
+  ``checkpoint()`` of an uncached DataFrame computes it twice), and the lineage
+  is cut, so a lost executor does not trigger recomputation from the raw scans.
 """
 
 from __future__ import annotations
@@ -42,14 +43,15 @@ class Models:
         self._bank = bank
         self._cached: list[DataFrame] = []
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "persist":
             df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
             self._cached.append(df)
-        elif self.materialize == "checkpoint":
-            from tallyhouse.session import shared_dir
-            shared_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
+        elif self.materialize == "table":
+            from tallyhouse.session import scratch_path
+            path = scratch_path(df.sparkSession, f"model-{name}")
+            df.write.parquet(path)
+            df = df.sparkSession.read.parquet(path)
         return df
 
     def release(self) -> None:
@@ -77,7 +79,7 @@ class Models:
     # intermediate ----------------------------------------------------------
     @cached_property
     def orders_deduplicated(self) -> DataFrame:
-        return self._keep(clean.orders_deduplicated(self.stg_orders))
+        return self._keep(clean.orders_deduplicated(self.stg_orders), "orders_deduplicated")
 
     @cached_property
     def shopify_refunds(self) -> DataFrame:
@@ -85,15 +87,15 @@ class Models:
 
     @cached_property
     def settlements_usd(self) -> DataFrame:
-        return self._keep(clean.settlements_usd(self.stg_settlements))
+        return self._keep(clean.settlements_usd(self.stg_settlements), "settlements_usd")
 
     @cached_property
     def pos_classified(self) -> DataFrame:
-        return self._keep(clean.pos_classified(self.stg_pos))
+        return self._keep(clean.pos_classified(self.stg_pos), "pos_classified")
 
     @cached_property
     def products_resolved(self) -> DataFrame:
-        return self._keep(clean.products_resolved(self.stg_products))
+        return self._keep(clean.products_resolved(self.stg_products), "products_resolved")
 
     # marts -----------------------------------------------------------------
     @cached_property

@@ -31,3 +31,12 @@ def test_entry_smoke(spark):
     assert by["shopify"].status == "RECONCILED"
     assert all(r.gap_pct < 0.10 for r in rows)
     assert all(r.residual_reason for r in rows if r.status == "RESIDUAL")
+
+
+def test_materialized_models_match_lazy(spark):
+    from tallyhouse.plans.models import Models
+    from tallyhouse.sources.tables import adapter_raw
+    lazy = Models(adapter_raw(spark, SF_SMALL))
+    table = Models(adapter_raw(spark, SF_SMALL), materialize="table")
+    for name in ("revenue_reconciliation", "dim_date", "fact_settlements"):
+        assert sorted(lazy.model(name).collect()) == sorted(table.model(name).collect()), name
