@@ -153,3 +153,24 @@ def test_crash_mid_build_keeps_previous_build(spark, landing, wh, tmp_path, monk
     monkeypatch.setattr(jobs, "BUILT_TABLES", tables)
     assert jobs.current_build(spark, wh) == first
     assert jobs.Built(spark, wh).dim_date.count() > 0
+
+
+def test_views_and_cli(spark, landing, wh, tmp_path, capsys):
+    from tallyhouse.__main__ import main
+    seed = tmp_path / "bank.csv"
+    put(seed, BANK_SEED)
+    assert main(["ingest", "--raw-dir", landing, "--warehouse", wh.root]) == 0
+    assert '"loaded_rows": 5' in capsys.readouterr().out
+    assert main(["pipeline", "--raw-dir", landing, "--warehouse", wh.root, "--bank-seed", str(seed),
+                 "--run-date", "2024-07-09", "--categories", "Decor,Kitchen"]) == 0
+    views = jobs.register_views(spark, wh)
+    assert {"fct_revenue_reconciliation", "fact_order_lines", "publish_log"} <= set(views)
+    # the runbook's two checks after a backfill, as plain SQL
+    recon = spark.sql("SELECT * FROM fct_revenue_reconciliation").collect()
+    assert {r.channel for r in recon} == {"amazon", "pos", "shopify"}
+    latest = spark.sql("SELECT * FROM publish_log ORDER BY run_date DESC LIMIT 10").collect()
+    assert [(str(r.run_date), r.status) for r in latest] == [("2024-07-09", "published")]
+    assert main(["sql", "--warehouse", wh.root, "--published-only",
+                 "SELECT count(*) AS n FROM fact_order_lines"]) == 0
+    # no fact date is a published night here, so consumers see nothing
+    assert "|0|" in capsys.readouterr().out.replace(" ", "")
