@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
                            help="comma-separated accepted product categories")
             c.add_argument("--skip-checks", action="store_true")
             c.add_argument("--skip-build", action="store_true")
+            c.add_argument("--supersede-by-path", action="store_true",
+                           help="a re-sent file replaces the older version of the same path")
     sub.choices["ingest"].add_argument("--source", default="all",
                                        choices=["all", "shopify", "amazon", "pos", "product"])
     sub.choices["ingest"].add_argument("--reset", action="store_true")
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         bank = read_bank_seed(spark, args.bank_seed)
         cats = tuple(c for c in args.categories.split(",") if c) or DEFAULT_CATEGORIES
-        kw = dict(skip_checks=args.skip_checks, skip_build=args.skip_build, categories=cats)
+        kw = dict(skip_checks=args.skip_checks, skip_build=args.skip_build, categories=cats,
+                  supersede_by_path=args.supersede_by_path)
         if args.cmd == "pipeline":
             out = jobs.run_pipeline(spark, args.raw_dir, wh, args.run_date, bank, **kw)
         else:

@@ -27,7 +27,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.sources import files as fs
@@ -124,18 +124,32 @@ def read_manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(wh.manifest)
 
 
-def read_raw(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
-    """Committed rows of one raw table (rows of uncommitted batches are invisible)."""
+def read_raw(spark: SparkSession, wh: Warehouse, table: str,
+             supersede_by_path: bool = False) -> DataFrame:
+    """Committed rows of one raw table (rows of uncommitted batches are invisible).
+
+    By default every committed version of a file counts (a corrected file
+    re-sent under the same name is appended, quirk Q-2).  With
+    ``supersede_by_path`` only the newest committed version of each path is
+    read, so a corrected file replaces the rows of the one it corrects.
+    """
     rows = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}").parquet(wh.raw(table))
-    committed = read_manifest(spark, wh).where(F.col("status") == "loaded") \
-        .select("file_hash", "batch_id")
-    return rows.join(committed, ["file_hash", "batch_id"], "left_semi")
+    committed = read_manifest(spark, wh).where(F.col("status") == "loaded")
+    if supersede_by_path:
+        # one manifest row per file version: the window is over the manifest,
+        # never over data rows
+        newest = Window.partitionBy("file_path").orderBy(F.col("loaded_at").desc(),
+                                                         F.col("batch_id").desc())
+        committed = committed.withColumn("_v", F.row_number().over(newest)).where("_v = 1")
+    return rows.join(committed.select("file_hash", "batch_id"), ["file_hash", "batch_id"],
+                     "left_semi")
 
 
 def raw_tables(spark: SparkSession, wh: Warehouse, bank_deposits: DataFrame | None = None,
-               truth_lines: DataFrame | None = None) -> RawTables:
+               truth_lines: DataFrame | None = None,
+               supersede_by_path: bool = False) -> RawTables:
     cols = {t: [c.split()[0] for c in RAW_SCHEMAS[t].split(", ")] for t in RAW_SCHEMAS}
-    r = {t: read_raw(spark, wh, t).select(*cols[t]) for t in RAW_SCHEMAS}
+    r = {t: read_raw(spark, wh, t, supersede_by_path).select(*cols[t]) for t in RAW_SCHEMAS}
     return RawTables(shopify_orders=r["shopify_orders"],
                      amazon_settlements=r["amazon_settlements"],
                      pos_transactions=r["pos_transactions"],

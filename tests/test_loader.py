@@ -69,6 +69,9 @@ def test_same_bytes_twice_changed_bytes_and_empty_file(spark, landing, wh, tmp_p
     stats = mf.load_source(spark, wh, landing, "pos")
     assert stats["loaded_files"] == 1 and stats["loaded_rows"] == 3
     assert counts(spark, wh)["pos_transactions"] == EXPECTED_ROWS["pos_transactions"] + 3
+    # option: the newest version of a path supersedes the older one
+    assert mf.read_raw(spark, wh, "pos_transactions", supersede_by_path=True).count() == \
+        EXPECTED_ROWS["pos_transactions"] + 1
 
 
 def test_reset_empties_everything(spark, landing, wh):
