@@ -168,6 +168,12 @@ def test_views_and_cli(spark, landing, wh, tmp_path, capsys):
                  "--run-date", "2024-07-09", "--categories", "Decor,Kitchen"]) == 0
     views = jobs.register_views(spark, wh)
     assert {"fct_revenue_reconciliation", "fact_order_lines", "publish_log"} <= set(views)
+    models = {v for v in views if v.startswith(("stg_", "int_", "dim_", "fact_", "fct_"))}
+    assert len({v for v in models if v.startswith("stg_")}) == 4
+    assert len({v for v in models if v.startswith("int_")}) == 4
+    assert len({v for v in models if v.startswith(("dim_", "fact_", "fct_"))}) == 6
+    assert spark.sql("SELECT count(*) AS n FROM stg_pos_transactions WHERE txn_type = 'training'"
+                     ).first().n == 1
     # the runbook's two checks after a backfill, as plain SQL
     recon = spark.sql("SELECT * FROM fct_revenue_reconciliation").collect()
     assert {r.channel for r in recon} == {"amazon", "pos", "shopify"}
