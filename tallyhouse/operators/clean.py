@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import fx_to_usd, round_money
-from tallyhouse.operators.staging import stg_orders, stg_pos, stg_products, stg_settlements
 
 DEDUP_KEY = ("order_id", "sku", "quantity", "unit_price")
 
@@ -78,21 +77,3 @@ def products_resolved(stg: DataFrame) -> DataFrame:
     return best.select(
         F.col("sku_normalized").alias("sku"),
         "_best.product_name", "_best.category", "_best.unit_cost", "_best.unit_price")
-
-
-# Convenience wrappers from raw tables -------------------------------------
-
-def orders_from_raw(raw: DataFrame) -> DataFrame:
-    return orders_deduplicated(stg_orders(raw))
-
-
-def settlements_from_raw(raw: DataFrame) -> DataFrame:
-    return settlements_usd(stg_settlements(raw))
-
-
-def pos_from_raw(raw: DataFrame) -> DataFrame:
-    return pos_classified(stg_pos(raw))
-
-
-def products_from_raw(raw: DataFrame) -> DataFrame:
-    return products_resolved(stg_products(raw))
