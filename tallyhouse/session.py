@@ -90,3 +90,41 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under :func:`shared_dir` for one job's written tables."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tallyhouse`` importable in the Python workers (once per app).
+
+    Only the Arrow-batched Python steps (workbook parse/write) need it.  When
+    the package is already installed on the executors this is a no-op import
+    path; otherwise a zip of the package is registered with ``addPyFile``, which
+    Spark distributes to every executor.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import tallyhouse
+    root = os.path.dirname(os.path.abspath(tallyhouse.__file__))
+    d = shared_dir(spark)
+    if d.startswith("file:"):
+        stage = d[len("file:"):]
+    elif "://" not in d:
+        stage = d
+    else:   # a remote shared folder: zip on the driver, Spark ships it
+        stage = tempfile.mkdtemp(prefix="tallyhouse-pkg-")
+    os.makedirs(stage, exist_ok=True)
+    path = os.path.join(stage, f"tallyhouse-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

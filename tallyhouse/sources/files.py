@@ -147,26 +147,32 @@ MAX_FIELDS = 24
 _WIDE = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
 
 
-def _fields(line: Column) -> Column:
-    s = F.from_csv(line, _WIDE)
-    return F.array(*[s.getField(f"c{i}") for i in range(MAX_FIELDS)])
+def _as_array(rec: str, trim: bool = False) -> Column:
+    """Array of the positional fields of an already-parsed record column."""
+    cols = [F.col(rec).getField(f"c{i}") for i in range(MAX_FIELDS)]
+    return F.array(*[F.trim(c) if trim else c for c in cols])
 
 
 def csv_records(files: DataFrame, text: Column) -> DataFrame:
     """(source_file, header array, fields array) for every data line of every file.
 
-    The first line of each file is its header; blank lines are skipped.
+    The first line of each file is its header; blank lines are skipped.  Each
+    line is parsed once (``from_csv`` into a struct in its own projection) and
+    the positional arrays are built from that struct, so the parser is not
+    copied into every field reference.
     """
     lines = F.split(text, "\r?\n")
     extra = _carry(files)
     per_file = files.select(F.col("file_name").alias("source_file"), *extra,
                             lines.alias("_lines"))
-    per_file = per_file.select("source_file", *extra,
-                               F.transform(_fields(F.element_at("_lines", 1)),
-                                           lambda h: F.trim(h)).alias("header"),
+    per_file = per_file.select("source_file", *extra, "_lines",
+                               F.from_csv(F.element_at("_lines", 1), _WIDE).alias("_h"))
+    per_file = per_file.select("source_file", *extra, _as_array("_h", trim=True).alias("header"),
                                F.posexplode("_lines").alias("_pos", "_line"))
     data = per_file.where((F.col("_pos") > 0) & (F.trim(F.col("_line")) != ""))
-    return data.select("source_file", *extra, "header", _fields(F.col("_line")).alias("fields"))
+    parsed = data.select("source_file", *extra, "header",
+                         F.from_csv(F.col("_line"), _WIDE).alias("_r"))
+    return parsed.select("source_file", *extra, "header", _as_array("_r").alias("fields"))
 
 
 def field(name: str) -> Column:
@@ -278,6 +284,8 @@ def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> Dat
     Header on ``header_row`` (the first row holds a merged title), first sheet
     in workbook order (hidden sheets after it are not read).
     """
+    from tallyhouse.session import ship_package
+    ship_package(files.sparkSession)
     extra = _carry(files)
 
     def parse(batches):

@@ -110,6 +110,8 @@ def write_pos(spark, raw: DataFrame, out: str, cp1252_store: str = "store_11") -
 def write_workbooks(raw: DataFrame, out: str, rows_per_book: int = BOOK_ROWS) -> int:
     """Product rows -> ``product_master_NNN.xlsx`` workbooks (title row, header
     on row 2, a hidden second sheet), each built by one task."""
+    from tallyhouse.session import ship_package
+    ship_package(raw.sparkSession)
     n_books = _buckets(raw, rows_per_book)
     book = F.pmod(F.xxhash64("sku", "unit_cost"), F.lit(n_books)).alias("book")
     out = out.rstrip("/")
