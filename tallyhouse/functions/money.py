@@ -13,6 +13,17 @@ CAD_TO_USD = Decimal("0.73")
 DEFAULT_RATE = Decimal("1.0")
 
 
+# Sums over any number of rows; a total in decimal(14,2) overflows at 10**12.
+TOTAL = "decimal(38,2)"
+# Dividends and divisors of ratios: wide, and the quotient keeps 14 digits.
+RATIO = "decimal(24,2)"
+
+
+def total(c: Column | str) -> Column:
+    """Cast a sum of money to :data:`TOTAL`."""
+    return (F.col(c) if isinstance(c, str) else c).cast(TOTAL)
+
+
 def money(c: Column | str, precision: int = 14, scale: int = 2) -> Column:
     """Cast to ``decimal(precision, scale)``."""
     col = F.col(c) if isinstance(c, str) else c

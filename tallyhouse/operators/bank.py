@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import round_money
+from tallyhouse.functions import round_money, total
 
 # Marketplace fee rate and the channel it applies to.
 AMAZON_FEE_RATE = Decimal("0.15")
@@ -36,13 +36,13 @@ def bank_by_channel_day(truth: DataFrame) -> DataFrame:
         round_money(-F.col("refund_amount") * share).alias("amount"))
     return (receipts.unionByName(refunds)
             .groupBy("deposit_date", "channel")
-            .agg(F.sum("amount").cast("decimal(14,2)").alias("net_deposit")))
+            .agg(total(F.sum("amount")).alias("net_deposit")))
 
 
 def bank_by_channel(deposits: DataFrame) -> DataFrame:
     """A-8: the per-channel bank control (what the seed file holds)."""
     return deposits.groupBy("channel").agg(
-        round_money(F.sum("net_deposit")).alias("bank_net_revenue"))
+        round_money(F.sum("net_deposit"), precision=38).alias("bank_net_revenue"))
 
 
 def bank_identity(truth: DataFrame, deposits: DataFrame,
@@ -51,7 +51,7 @@ def bank_identity(truth: DataFrame, deposits: DataFrame,
 
     One aggregation over the union of both inputs (no join of the two totals).
     """
-    zero = F.lit(Decimal("0.00")).cast("decimal(14,2)")
+    zero = F.lit(Decimal("0.00")).cast("decimal(38,2)")
     amazon = F.col("channel") == FEE_CHANNEL
     refunded = F.coalesce(F.col("is_refunded"), F.lit(False))
     t = truth.select(
@@ -69,14 +69,14 @@ def bank_identity(truth: DataFrame, deposits: DataFrame,
     expected = (F.col("gross") - F.col("amazon_gross") * fee
                 - (F.col("refunds") - F.col("amazon_refunds") * fee))
     return s.select(
-        expected.cast("decimal(18,4)").alias("expected_net"),
-        F.col("bank").cast("decimal(18,2)").alias("bank_net"),
-        (F.col("bank") - expected).cast("decimal(18,4)").alias("difference"),
+        expected.cast("decimal(38,4)").alias("expected_net"),
+        F.col("bank").cast("decimal(38,2)").alias("bank_net"),
+        (F.col("bank") - expected).cast("decimal(38,4)").alias("difference"),
         (F.abs(F.col("bank") - expected) < F.lit(tolerance)).alias("within_tolerance"))
 
 
 def money_or_zero(c: str) -> F.Column:
-    return F.coalesce(F.col(c).cast("decimal(14,2)"), F.lit(Decimal("0.00")).cast("decimal(14,2)"))
+    return F.coalesce(F.col(c).cast("decimal(38,2)"), F.lit(Decimal("0.00")).cast("decimal(38,2)"))
 
 
 def truth_from_fixture(fx_lines: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def truth_from_fixture(fx_lines: DataFrame) -> DataFrame:
 def write_bank_seed(bank: DataFrame, path: str) -> None:
     """K-9: write the per-channel control as one small CSV (one row per channel,
     so a single output file is bounded by the channel count)."""
-    (bank.select("channel", F.col("bank_net_revenue").cast("decimal(14,2)"))
+    (bank.select("channel", F.col("bank_net_revenue").cast("decimal(38,2)"))
      .orderBy("channel").coalesce(1)
      .write.mode("overwrite").option("header", True).csv(path))
 

@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.recon import GUARDRAIL
 
-# The category list the product dimension is checked against in
-# the reference project.  The driver data has its own list, passed as a
-# parameter by the callers.
+# The category list the product dimension is checked against by
+# default.  The driver data has its own list, passed as a parameter by the callers.
 DEFAULT_CATEGORIES = ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")
 CURRENCIES = ("USD", "CAD")
 
@@ -40,6 +39,17 @@ def accepted_values(df: DataFrame, col: str, values: Iterable[str]) -> DataFrame
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def value_checks(df: DataFrame, model: str, allowed: dict[str, Iterable[str]]) -> DataFrame:
+    """C-3 for several columns in one pass: per column the number of out-of-list
+    values.  The rows are first reduced to the combinations that occur."""
+    seen = df.groupBy(*allowed).agg(F.count(F.lit(1)).alias("n"))
+    counts = seen.agg(*[F.count_distinct(F.when(~F.col(c).isin(list(v)), F.col(c))).alias(c)
+                        for c, v in allowed.items()])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(f"accepted_values:{model}.{c}").alias("check_name"),
+                 F.col(c).cast("bigint").alias("failing_rows")) for c in allowed])).alias("c")).select("c.*")
+
+
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """C-4 / J-3: child keys (non-NULL) missing from the parent, with line counts.
 
@@ -93,18 +103,12 @@ def gate_checks(m, categories: Iterable[str] = DEFAULT_CATEGORIES) -> list[Check
             ("fact_settlements", m.fact_settlements, "settlement_key")]
     checks: list[Check | DataFrame] = [key_checks(df, model, col) for model, df, col in keys]
     checks += [
-        Check("accepted_values:settlements_usd.original_currency",
-              accepted_values(m.settlements_usd, "original_currency", CURRENCIES)),
-        Check("accepted_values:pos_classified.line_type",
-              accepted_values(m.pos_classified, "line_type", ("sale", "return"))),
-        Check("accepted_values:dim_product.category",
-              accepted_values(m.dim_product, "category", cats)),
-        Check("accepted_values:fact_order_lines.channel",
-              accepted_values(m.order_lines, "channel", ("shopify", "pos"))),
-        Check("accepted_values:fact_settlements.channel",
-              accepted_values(m.settlement_lines, "channel", ("amazon",))),
-        Check("accepted_values:fact_settlements.original_currency",
-              accepted_values(m.settlement_lines, "original_currency", CURRENCIES)),
+        value_checks(m.settlements_usd, "settlements_usd", {"original_currency": CURRENCIES}),
+        value_checks(m.pos_classified, "pos_classified", {"line_type": ("sale", "return")}),
+        value_checks(m.dim_product, "dim_product", {"category": cats}),
+        value_checks(m.order_lines, "fact_order_lines", {"channel": ("shopify", "pos")}),
+        value_checks(m.settlement_lines, "fact_settlements",
+                     {"channel": ("amazon",), "original_currency": CURRENCIES}),
         Check("relationships:fact_order_lines.product_key",
               relationships(m.order_lines, "product_key", m.dim_product, "product_key"),
               weight="n_records"),

@@ -66,8 +66,9 @@ def dim_store(pos: DataFrame) -> DataFrame:
         F.row_number().over(w).cast("bigint").alias("store_number"))
 
 
-ORDER_FACT_CONTENT = content_sql("gross_revenue", "quantity")
-SETTLEMENT_FACT_CONTENT = content_sql("net_amount_usd", "quantity")
+ORDER_FACT_CONTENT = content_sql("channel", "store_id", "product_key", "quantity", "gross_revenue")
+SETTLEMENT_FACT_CONTENT = content_sql("order_id", "channel", "product_key", "quantity", "gross_amount_usd",
+                                      "fee_amount_usd", "net_amount_usd", "original_currency")
 
 
 def order_lines(orders: DataFrame, pos: DataFrame) -> DataFrame:

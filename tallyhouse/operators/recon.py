@@ -7,7 +7,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import money
+from tallyhouse.functions import total
+from tallyhouse.functions.money import RATIO
 
 # The reconciliation tolerance, the guardrail, and the residual
 # reason texts.
@@ -42,9 +43,9 @@ def channel_nets(orders: DataFrame, refunds: DataFrame, pos: DataFrame,
                        F.sum("p").alias("p"), F.sum("a").alias("a"))
     return totals.select(F.explode(F.array(
         F.struct(F.lit("shopify").alias("channel"),
-                 money(F.col("g") - F.col("r")).alias("warehouse_net_revenue")),
-        F.struct(F.lit("pos").alias("channel"), money(F.col("p")).alias("warehouse_net_revenue")),
-        F.struct(F.lit("amazon").alias("channel"), money(F.col("a")).alias("warehouse_net_revenue")),
+                 total(F.col("g") - F.col("r")).alias("warehouse_net_revenue")),
+        F.struct(F.lit("pos").alias("channel"), total(F.col("p")).alias("warehouse_net_revenue")),
+        F.struct(F.lit("amazon").alias("channel"), total(F.col("a")).alias("warehouse_net_revenue")),
     )).alias("c")).select("c.channel", "c.warehouse_net_revenue")
 
 
@@ -57,12 +58,12 @@ def reconcile(nets: DataFrame, bank: DataFrame, tolerance: Decimal = TOLERANCE)
     """
     j = nets.join(F.broadcast(bank.select("channel", "bank_net_revenue")), "channel")
     diff = F.col("warehouse_net_revenue") - F.col("bank_net_revenue")
-    ratio = F.abs(diff) / F.nullif(F.col("bank_net_revenue"), F.lit(0))
+    ratio = F.abs(diff).cast(RATIO) / F.nullif(F.col("bank_net_revenue").cast(RATIO), F.lit(0))
     tol = F.lit(tolerance)
     over = ratio > tol
     return j.select(
         "channel", "warehouse_net_revenue", "bank_net_revenue",
-        money(diff).alias("gap"),
+        total(diff).alias("gap"),
         F.round(ratio, 4).cast("decimal(10,4)").alias("gap_pct"),
         F.when(ratio <= tol, F.lit("RECONCILED")).otherwise(F.lit("RESIDUAL")).alias("status"),
         F.when((F.col("channel") == "amazon") & over, F.lit(AMAZON_REASON))
@@ -75,7 +76,7 @@ def corruption_drill(nets: DataFrame, bank: DataFrame, channel: str = "shopify",
     """C-15: reconcile with one channel's revenue multiplied (a join fan-out bug)
     and flag every channel whose gap breaches the guardrail."""
     bad = nets.select("channel", F.when(
-        F.col("channel") == channel, money(F.col("warehouse_net_revenue") * factor))
+        F.col("channel") == channel, total(F.col("warehouse_net_revenue") * factor))
         .otherwise(F.col("warehouse_net_revenue")).alias("warehouse_net_revenue"))
     r = reconcile(bad, bank)
     return r.select("channel", "warehouse_net_revenue", "bank_net_revenue", "gap_pct",
@@ -104,10 +105,23 @@ def daily_revenue(orders: DataFrame, refunds: DataFrame, pos: DataFrame,
                                         "channel", F.col("net_amount_usd").cast(dec)
                                         .alias("amount"))))
     return parts.groupBy("activity_date", "channel").agg(
-        money(F.sum("amount")).alias("net_revenue"),
+        total(F.sum("amount")).alias("net_revenue"),
         F.count(F.lit(1)).alias("lines"))
 
 
+def daily_gap(daily: DataFrame, deposits: DataFrame) -> DataFrame:
+    """R-2: per (activity_date, channel), net revenue against the bank's deposits of
+    that day.  Days that only one side has count 0 on the other; both sides are
+    summed in one aggregation, so nothing is joined (dates may be NULL)."""
+    none = F.lit(Decimal("0.00")).cast("decimal(38,2)")
+    both = (daily.select("activity_date", "channel", "net_revenue", none.alias("net_deposit"))
+            .unionByName(deposits.select(F.col("deposit_date").alias("activity_date"), "channel",
+                                         none.alias("net_revenue"), total("net_deposit").alias("net_deposit"))))
+    summed = both.groupBy("activity_date", "channel").agg(
+        total(F.sum("net_revenue")).alias("net_revenue"), total(F.sum("net_deposit")).alias("net_deposit"))
+    return summed.withColumn("gap", total(F.col("net_revenue") - F.col("net_deposit")))
+
+
 def revenue_by_category(order_lines: DataFrame, settlement_lines: DataFrame,
                         dim_product: DataFrame) -> DataFrame:
     """J-8: gross revenue by (category, channel) through the product dimension.
@@ -127,5 +141,5 @@ def revenue_by_category(order_lines: DataFrame, settlement_lines: DataFrame,
     joined = per_product.join(dim_product.select("product_key", "category"),
                               "product_key", "left")
     return joined.groupBy("category", "channel").agg(
-        money(F.sum("g"), 18).alias("gross_revenue"),
+        total(F.sum("g")).alias("gross_revenue"),
         F.sum("n").cast("bigint").alias("lines"))

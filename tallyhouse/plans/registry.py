@@ -151,7 +151,7 @@ def _gate_sql(categories) -> str:
     return "\nunion all ".join(checks)
 
 
-@register("check_results", _gate_sql(DATA_CATEGORIES))
+@register("check_results", _gate_sql(DATA_CATEGORIES), materialize="table")
 def q_check_results(m, spark, sf):
     """C-1..C-6: every publish-gating check with its failing-row count."""
     from tallyhouse.operators.checks import check_results, gate_checks
@@ -159,10 +159,10 @@ def q_check_results(m, spark, sf):
 
 
 @register("check_results_reference_categories", _gate_sql(
-    ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")))
+    ("Bedding", "Kitchen", "Decor", "Bath", "Outdoor", "Lighting")), materialize="table")
 def q_check_results_ref_categories(m, spark, sf):
-    """C-3 drill: the gate run with the reference project's category list fails
-    on the driver data's categories (so the check is seen to fire)."""
+    """C-3 drill: the gate run with the default category list fails on the driver
+    data's categories (so the check is seen to fire)."""
     from tallyhouse.operators.checks import DEFAULT_CATEGORIES, check_results, gate_checks
     return check_results(gate_checks(m, DEFAULT_CATEGORIES))
 
@@ -191,7 +191,7 @@ union all select 'control_missing_or_not_positive', cast(count(*) as bigint) fro
 union all select 'fact_dates_missing_from_dim_date', cast(count(*) as bigint) from (
   select activity_date from order_lines union select activity_date from settlement_lines) a
   where activity_date is not null and activity_date not in (select date_key from dim_date)
-) c""")
+) c""", materialize="table")
 def q_model_assertions(m, spark, sf):
     """C-7..C-14: model-level assertions (observed value, passed)."""
     from tallyhouse.operators.checks import model_assertions
@@ -200,7 +200,7 @@ def q_model_assertions(m, spark, sf):
 
 @register("corruption_drill", """
 select channel, cast(case when channel = 'shopify' then warehouse_net_revenue * 2
-                          else warehouse_net_revenue end as decimal(14,2)) as warehouse_net_revenue,
+                          else warehouse_net_revenue end as decimal(38,2)) as warehouse_net_revenue,
   bank_net_revenue,
   cast(round(cast(abs(case when channel = 'shopify' then warehouse_net_revenue * 2 else warehouse_net_revenue end
                       - bank_net_revenue) as decimal(20,4)) / nullif(bank_net_revenue, 0), 4) as decimal(10,4)) as gap_pct,
@@ -282,7 +282,7 @@ def q_uncovered_dates_order_span(m, spark, sf):
 
 
 @register("daily_revenue", """
-select activity_date, channel, cast(sum(amount) as decimal(14,2)) as net_revenue,
+select activity_date, channel, cast(sum(amount) as decimal(38,2)) as net_revenue,
   cast(count(*) as bigint) as lines
 from (select order_date as activity_date, channel, quantity * unit_price as amount from int_orders
       union all select order_date, 'shopify', -refund_amount from int_refunds
@@ -295,7 +295,7 @@ def q_daily_revenue(m, spark, sf):
 
 
 @register("revenue_by_category", """
-select d.category, f.channel, cast(sum(f.g) as decimal(18,2)) as gross_revenue,
+select d.category, f.channel, cast(sum(f.g) as decimal(38,2)) as gross_revenue,
   cast(count(*) as bigint) as lines
 from (select product_key, channel, gross_revenue as g from order_lines
       union all select product_key, channel, gross_amount_usd from settlement_lines) f
@@ -313,9 +313,9 @@ s as (select sum(gross) as gross, sum(case when channel = 'amazon' then gross el
         sum(case when refunded then gross else 0 end) as refunds,
         sum(case when refunded and channel = 'amazon' then gross else 0 end) as amazon_refunds,
         (select sum(net_deposit) from bank_deposits) as bank from t)
-select cast(gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15) as decimal(18,4)) as expected_net,
-  cast(bank as decimal(18,2)) as bank_net,
-  cast(bank - (gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15)) as decimal(18,4)) as difference,
+select cast(gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15) as decimal(38,4)) as expected_net,
+  cast(bank as decimal(38,2)) as bank_net,
+  cast(bank - (gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15)) as decimal(38,4)) as difference,
   abs(bank - (gross - amazon_gross * 0.15 - (refunds - amazon_refunds * 0.15))) < 50 as within_tolerance
 from s""")
 def q_bank_identity(m, spark, sf):
@@ -404,30 +404,57 @@ def q_late_refunds(m, spark, sf):
 # --- publish gate (J-6, O-2) ---------------------------------------------------
 
 
-def _nightly_ledger(m):
+def _nightly_gate(m):
     from tallyhouse.plans.jobs import nightly_gate
     return nightly_gate(m.daily_revenue, m.bank_deposits)
 
 
+def _ledger(m, spark):
+    """The gate's verdict on each night, and the ledger that publishing them wrote:
+    the last thirty nights are first recorded unverified, then replaced (K-5)."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import publish as pb
+    path = scratch_path(spark, "gate")
+    _nightly_gate(m).write.parquet(path)
+    gate = spark.read.parquet(path)
+    wh = mf.Warehouse(scratch_path(spark, "ledger"))
+    nights = gate.select(F.lit(0).cast("bigint").alias("rows_loaded"), "status", "run_date")
+    last = nights.orderBy(F.desc("run_date")).limit(30)
+    pb.publish_all(spark, wh, last.withColumn("status", F.lit("unverified")))
+    pb.publish_all(spark, wh, nights)
+    return gate, pb.read_ledger(spark, wh)
+
+
 @register("nightly_gate", "select * from nightly_gate")
 def q_nightly_gate(m, spark, sf):
-    """D-4/K-5 over a drip: per night, would the cumulative data pass the gate?"""
-    return _nightly_ledger(m)
+    """D-4 over a drip: per night, would the cumulative data pass the gate?"""
+    return _nightly_gate(m)
+
+
+@register("publish_upsert", "select run_date, status, cast(0 as bigint) as rows_loaded from nightly_gate")
+def q_publish_upsert(m, spark, sf):
+    """K-5, K-6, S11: the ledger after every night was published twice."""
+    return _ledger(m, spark)[1].select("run_date", "status", "rows_loaded")
 
 
 @register("published_only", """
 select * from daily where activity_date in (select run_date from nightly_gate where status = 'published')""")
 def q_published_only(m, spark, sf):
-    """J-6: daily revenue restricted to published nights (what consumers read)."""
+    """J-6, K-7: daily revenue restricted to nights that the ledger has published."""
     from tallyhouse.sources.publish import published_only
-    return published_only(m.daily_revenue, _nightly_ledger(m))
+    return published_only(m.daily_revenue, _ledger(m, spark)[1])
 
 
 @register("latest_publishes", "select * from nightly_gate order by run_date desc limit 10")
 def q_latest_publishes(m, spark, sf):
-    """O-2: the ten latest ledger rows (top-k by run date)."""
+    """O-2: the ten latest ledger rows (top-k by run date), with the gate's count."""
     from tallyhouse.sources.publish import latest_publishes
-    return latest_publishes(_nightly_ledger(m))
+    gate, ledger = _ledger(m, spark)
+    return latest_publishes(ledger).select("run_date", "status").join(
+        gate.select("run_date", "failing_channels"), "run_date")
 
 
 # --- file round trips (S1..S4, F-1, F-3, F-5) and the loader (K-1..K-3, S7, S8) --
@@ -479,7 +506,7 @@ select order_id, created_at, sku, quantity, price, record_type, refund_amount fr
 def q_json_roundtrip(m, spark, sf):
     """S1: order rows -> paginated JSON documents -> order-page scan."""
     from tallyhouse.sources.files import scan
-    return scan(spark, _landing_orders(spark, m), "shopify").drop("source_file")
+    return scan(spark, _landing_orders(spark, m), "shopify", nested=True).drop("source_file")
 
 
 @register("discount_shapes", f"""
@@ -490,7 +517,7 @@ group by 1""")
 def q_discount_shapes(m, spark, sf):
     """F-1: order objects per discount shape, read from the written pages."""
     from tallyhouse.sources.files import discount_shapes, read_files
-    return discount_shapes(read_files(spark, _landing_orders(spark, m), "shopify"))
+    return discount_shapes(read_files(spark, _landing_orders(spark, m), "shopify", nested=True))
 
 
 @register("csv_two_schemas", """
@@ -499,7 +526,7 @@ from raw_amazon_settlements""")
 def q_csv_two_schemas(m, spark, sf):
     """S2: settlement rows -> CSV in two header layouts -> by-name scan."""
     from tallyhouse.sources.files import scan
-    return scan(spark, _landing_settlements(spark, m), "amazon").drop("source_file")
+    return scan(spark, _landing_settlements(spark, m), "amazon", nested=True).drop("source_file")
 
 
 @register("settlement_layouts", f"""
@@ -509,7 +536,7 @@ from raw_amazon_settlements group by 1""")
 def q_settlement_layouts(m, spark, sf):
     """F-3: settlement files per header layout."""
     from tallyhouse.sources.files import read_files, settlement_layouts
-    return settlement_layouts(read_files(spark, _landing_settlements(spark, m), "amazon"))
+    return settlement_layouts(read_files(spark, _landing_settlements(spark, m), "amazon", nested=True))
 
 
 @register("csv_mixed_encoding", """
@@ -517,7 +544,7 @@ select store_id, txn_timestamp, sku, quantity, amount, txn_type from raw_pos_tra
 def q_csv_mixed_encoding(m, spark, sf):
     """S3: POS rows -> UTF-8 and windows-1252 CSV -> encoding-detecting scan."""
     from tallyhouse.sources.files import scan
-    return scan(spark, _landing_pos(spark, m), "pos").drop("source_file")
+    return scan(spark, _landing_pos(spark, m), "pos", nested=True).drop("source_file")
 
 
 @register("non_utf8_files", """
@@ -528,7 +555,7 @@ def q_non_utf8_files(m, spark, sf):
     from pyspark.sql import functions as F
 
     from tallyhouse.sources.files import non_utf8_files, read_files
-    return non_utf8_files(read_files(spark, _landing_pos(spark, m), "pos")) \
+    return non_utf8_files(read_files(spark, _landing_pos(spark, m), "pos", nested=True)) \
         .agg(F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
@@ -537,7 +564,7 @@ select sku, product_name, category, unit_cost, unit_price from raw_product_maste
 def q_workbook_roundtrip(m, spark, sf):
     """S4: product rows -> workbooks (title row, header on row 2, hidden sheet) -> scan."""
     from tallyhouse.sources.files import scan
-    return scan(spark, _landing_products(spark, m), "product").drop("source_file")
+    return scan(spark, _landing_products(spark, m), "product", nested=True).drop("source_file")
 
 
 @register("load_idempotent", """
@@ -564,13 +591,13 @@ def q_load_idempotent(m, spark, sf):
     wr.write_pos(spark, m.raw.pos_transactions, f"{root}/pos")
     wr.write_workbooks(m.raw.product_master, root)
     wh = mf.Warehouse(scratch_path(spark, "warehouse"))
-    mf.load_source(spark, wh, root, "shopify")
+    mf.load_source(spark, wh, root, "shopify", nested=True)
     try:
-        mf.load_source(spark, wh, root, "pos", crash_before_commit=True)
+        mf.load_source(spark, wh, root, "pos", crash_before_commit=True, nested=True)
     except mf.CrashForTest:
         pass
-    mf.ingest(spark, wh, root)                     # rerun after the crash
-    rerun = mf.ingest(spark, wh, root)             # must be a no-op
+    mf.ingest(spark, wh, root, nested=True)                     # rerun after the crash
+    rerun = mf.ingest(spark, wh, root, nested=True)             # must be a no-op
     # visible rows and manifest rows per table, merged by a union + group-by
     z = F.lit(0).cast("bigint")
     parts = [mf.read_manifest(spark, wh).select(
@@ -617,8 +644,8 @@ def q_stream_drip(m, spark, sf):
     wr.write_pos(spark, m.raw.pos_transactions, f"{root}/pos")
     wr.write_workbooks(m.raw.product_master, root)
     wh = mf.Warehouse(scratch_path(spark, "drip-warehouse"))
-    drip(spark, root, wh, scratch_path(spark, "drip-ckpt"), max_files_per_trigger=400)
-    again = drip(spark, root, wh, scratch_path(spark, "drip-ckpt"))
+    drip(spark, root, wh, scratch_path(spark, "drip-ckpt"), max_files_per_trigger=400, nested=True)
+    again = drip(spark, root, wh, scratch_path(spark, "drip-ckpt"), nested=True)
     after = {}
     for r in again:
         after[mf.RAW_TABLES[r["source"]]] = after.get(mf.RAW_TABLES[r["source"]], 0) + r["loaded_rows"]
@@ -637,3 +664,154 @@ def q_stream_drip(m, spark, sf):
         F.sum("manifest_rows").cast("bigint").alias("manifest_rows")).select(
         "table_name", "rows_visible", "manifest_rows",
         F.element_at(restart, F.col("table_name")).cast("bigint").alias("loaded_after_restart"))
+
+
+# --- jobs (D-1..D-7, K-7..K-9, S5, S10, C-16) and R-2 -----------------------------
+
+
+def _landing_all(spark, m):
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import writers as wr
+    root = scratch_path(spark, "landing-jobs")
+    wr.write_order_pages(m.raw.shopify_orders, f"{root}/shopify", DRIFT_DATE)
+    wr.write_settlements(m.raw.amazon_settlements, f"{root}/amazon", DRIFT_DATE)
+    wr.write_pos(spark, m.raw.pos_transactions, f"{root}/pos")
+    wr.write_workbooks(m.raw.product_master, root)
+    return root
+
+
+_RAW_COUNT = """(select count(*) from raw_shopify_orders) + (select count(*) from raw_amazon_settlements)
+  + (select count(*) from raw_pos_transactions) + (select count(*) from raw_product_master)"""
+
+
+@register("bank_seed_roundtrip", "select * from bank")
+def q_bank_seed_roundtrip(m, spark, sf):
+    """S5, S10, A-8, K-9: deposits written as Parquet, totalled into the control CSV,
+    and the control read back."""
+    from tallyhouse.operators.bank import make_bank_seed
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.files import read_bank_seed
+    deposits, seed = scratch_path(spark, "deposits"), scratch_path(spark, "seed")
+    m.bank_deposits.write.parquet(deposits)
+    make_bank_seed(spark, deposits, seed)
+    return read_bank_seed(spark, seed)
+
+
+@register("manifest_coverage", """
+select 'amazon' as source, cast(count(distinct settlement_date) as bigint) as before_load, cast(0 as bigint) as after_load
+from raw_amazon_settlements
+union all select 'pos', cast(count(distinct store_id || strftime(txn_timestamp, '%Y-%m')) as bigint), 0
+from raw_pos_transactions""")
+def q_manifest_coverage(m, spark, sf):
+    """C-16: files that no manifest row covers, before and after their load."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    root = {"amazon": _landing_settlements(spark, m), "pos": _landing_pos(spark, m)}
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    mf.init_schema(spark, wh)
+
+    def missing(source: str):
+        return mf.manifest_coverage(spark, wh, root[source], source, nested=True).agg(
+            F.count(F.lit(1)).cast("bigint").alias("n"))
+
+    before = {source: missing(source).first().n for source in root}
+    for source in root:
+        mf.load_source(spark, wh, root[source], source, nested=True)
+    rows = [missing(source).select(F.lit(source).alias("source"), F.lit(before[source]).cast("bigint")
+                                   .alias("before_load"), F.col("n").alias("after_load")) for source in root]
+    return rows[0].unionByName(rows[1])
+
+
+@register("pipeline_gate", f"""
+select channel, warehouse_net_revenue, gap, status, 'published' as ledger_status,
+  cast({_RAW_COUNT} as bigint) as rows_loaded, cast(0 as bigint) as rows_reloaded
+from recon""")
+def q_pipeline_gate(m, spark, sf):
+    """D-1..D-6, K-8, A-13: two nightly runs over the landed files; the second loads
+    nothing and takes the unchanged build.  The current build's reconciliation with
+    the ledger's entries."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyhouse.plans import jobs
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import publish as pb
+    root = _landing_all(spark, m)
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    first, second = dt.date(2001, 8, 1), dt.date(2001, 8, 2)
+    for night in (first, second):
+        jobs.run_pipeline(spark, root, wh, night, m.bank, categories=DATA_CATEGORIES, nested=True)
+    ledger = {r.run_date: r for r in pb.read_ledger(spark, wh).collect()}
+    return jobs.Built(spark, wh).revenue_reconciliation.select(
+        "channel", "warehouse_net_revenue", "gap", "status",
+        F.lit(ledger[first].status).alias("ledger_status"),
+        F.lit(ledger[first].rows_loaded).cast("bigint").alias("rows_loaded"),
+        F.lit(ledger[second].rows_loaded).cast("bigint").alias("rows_reloaded"))
+
+
+@register("backfill", f"""
+select date '2001-08-01' as run_date, 'unverified' as status, cast({_RAW_COUNT} as bigint) as rows_loaded
+union all select date '2001-08-02', 'unverified', cast(0 as bigint)
+union all select date '2001-08-03', 'unverified', cast(0 as bigint)""")
+def q_backfill(m, spark, sf):
+    """D-7, O-4: three dates, load only; what the ledger has of them."""
+    import datetime as dt
+
+    from tallyhouse.plans import jobs
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import publish as pb
+    root = _landing_all(spark, m)
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    jobs.backfill(spark, root, wh, dt.date(2001, 8, 1), dt.date(2001, 8, 3), m.bank, skip_build=True, nested=True)
+    return pb.read_ledger(spark, wh).select("run_date", "status", "rows_loaded")
+
+
+@register("failed_gate_keeps_build", """
+select channel, warehouse_net_revenue, 'failed' as second_run from recon""")
+def q_failed_gate_keeps_build(m, spark, sf):
+    """D-4, ST-4, C-9: a second run whose data fails the gate is recorded as failed, and
+    the first build stays current.  The second run's control is doubled, so every
+    channel breaches the guardrail."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyhouse.plans import jobs
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    root = _landing_all(spark, m)
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    night = dt.date(2001, 8, 1)
+    jobs.run_pipeline(spark, root, wh, night, m.bank, categories=DATA_CATEGORIES, nested=True)
+    wrong = m.bank.withColumn("bank_net_revenue", (F.col("bank_net_revenue") * 2).cast("decimal(38,2)"))
+    (second,) = jobs.backfill(spark, root, wh, night + dt.timedelta(1), night + dt.timedelta(1), wrong,
+                              categories=DATA_CATEGORIES, nested=True)
+    return jobs.Built(spark, wh).revenue_reconciliation.select(
+        "channel", "warehouse_net_revenue", F.lit(second["status"]).alias("second_run"))
+
+
+@register("daily_gap", """
+select coalesce(d.activity_date, b.deposit_date) as activity_date, coalesce(d.channel, b.channel) as channel,
+  coalesce(net_revenue, 0) as net_revenue, coalesce(net_deposit, 0) as net_deposit,
+  cast(coalesce(net_revenue, 0) - coalesce(net_deposit, 0) as decimal(38,2)) as gap
+from daily d full outer join bank_deposits b on d.activity_date = b.deposit_date and d.channel = b.channel""")
+def q_daily_gap(m, spark, sf):
+    """R-2: per day and channel, net revenue against the bank's deposits."""
+    from tallyhouse.operators.recon import daily_gap
+    return daily_gap(m.daily_revenue, m.bank_deposits)
+
+
+@register("fact_order_lines_small_buckets", "select * from fact_order_lines")
+def q_fact_order_lines_small_buckets(m, spark, sf):
+    """W-4 with buckets of 16 rows: every date is split, and the numbering is the same."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.operators.keys import dense_key
+    from tallyhouse.operators.marts import ORDER_FACT_CONTENT
+    return dense_key(m.order_lines, "order_line_key", "activity_date", F.expr(ORDER_FACT_CONTENT),
+                     rows_per_bucket=16, chunk=2)

@@ -7,7 +7,9 @@ because the driver of a query may hand us a session it built itself.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -59,27 +61,34 @@ def build_session(master: str | None = None, app_name: str = "tallyhouse",
 
 
 def ensure_conf(spark: SparkSession) -> SparkSession:
-    """Apply the result-affecting runtime settings to an existing session."""
-    for k, v in {**RESULT_CONF, **PLAN_CONF}.items():
-        try:
+    """Apply the runtime settings to an existing session.
+
+    A session that refuses one that changes results (other than by having it
+    already) is an error; plan settings keep the cluster's value.
+    """
+    for k, v in RESULT_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    for k, v in PLAN_CONF.items():
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - a locked conf keeps its cluster value
-            pass
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only
-    when neither is set -- local tests -- a fresh folder is created and
-    registered, so the same code never writes to a machine-local path on a
-    cluster that has a shared one.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where
+    neither is set, a local session gets a fresh folder of its own; on a cluster
+    that is an error, as a folder of one machine is not seen by the others.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():
@@ -103,7 +112,6 @@ def ship_package(spark: SparkSession) -> None:
     path; otherwise a zip of the package is registered with ``addPyFile``, which
     Spark distributes to every executor.
     """
-    import os
     import zipfile
 
     sc = spark.sparkContext
@@ -111,14 +119,9 @@ def ship_package(spark: SparkSession) -> None:
         return
     import tallyhouse
     root = os.path.dirname(os.path.abspath(tallyhouse.__file__))
-    d = shared_dir(spark)
-    if d.startswith("file:"):
-        stage = d[len("file:"):]
-    elif "://" not in d:
-        stage = d
-    else:   # a remote shared folder: zip on the driver, Spark ships it
-        stage = tempfile.mkdtemp(prefix="tallyhouse-pkg-")
-    os.makedirs(stage, exist_ok=True)
+    # Zipped on the driver; Spark sends it to the executors.
+    stage = tempfile.mkdtemp(prefix="tallyhouse-pkg-")
+    atexit.register(shutil.rmtree, stage, ignore_errors=True)
     path = os.path.join(stage, f"tallyhouse-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(path, "w") as z:
         for dirpath, _, names in os.walk(root):

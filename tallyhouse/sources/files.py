@@ -8,10 +8,11 @@ reaches the driver.
 
 * order pages (S1): ``from_json`` with a superset schema (both discount shapes,
   refund fields), ``explode`` of objects and line items;
-* settlement CSV (S2) and POS CSV (S3): lines are split from the decoded text,
-  each line parsed with ``from_csv`` into positional fields, and fields are
-  bound **by header name per file** -- so files with either header, any column
-  order, extra or missing columns land in one shape;
+* settlement CSV (S2) and POS CSV (S3): records and fields are cut outside
+  quotes, so a quoted line feed or comma belongs to its field; each wanted
+  column's place is looked up once per file **by header name** -- so files with
+  either header, any width and column order, extra or missing columns land in
+  one shape, and a malformed record fails the job;
 * POS encoding (S3): a file that is not valid UTF-8 is decoded as windows-1252;
 * workbooks (S4): ``mapInPandas``, one workbook per task, parsed with the
   standard library (zip + XML), header on row 2 of the first sheet.
@@ -32,24 +33,29 @@ SOURCE_GLOBS = {
     "shopify": ("shopify", "*.json"),
     "amazon": ("amazon", "*.csv"),
     "pos": ("pos", "*.csv"),
-    "product": ("", "product_master*.xlsx"),
+    "product": ("", "product_master.xlsx"),
 }
+# A landing written by Spark has partition folders below each source, and as many
+# product workbooks as its rows need (``nested`` below).
+NESTED_PRODUCT = "product_master*.xlsx"
 SOURCE_ORDER = ("shopify", "amazon", "pos", "product")
 
 
-def read_files(spark: SparkSession, root: str, source: str) -> DataFrame:
+def read_files(spark: SparkSession, root: str, source: str, nested: bool = False) -> DataFrame:
     """S6: the files of one source as (path, file_name, length, content).
 
-    An absent folder yields an empty frame (a missing source is sensed and
-    reported by the job, not raised by the scan).
+    Only files directly in the source's folder count, unless ``nested``.  An
+    absent folder yields an empty frame (a missing source is sensed and reported
+    by the job, not raised by the scan).
     """
     sub, pattern = SOURCE_GLOBS[source]
+    base = root.rstrip("/") + (f"/{sub}" if sub else "")
     reader = spark.read.format("binaryFile")
-    if sub:   # every matching file below the source folder
+    if nested and sub:
         reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        target = f"{root.rstrip('/')}/{sub}"
-    else:     # files directly in the root (no listing of other feeds' folders)
-        target = f"{root.rstrip('/')}/{pattern}"
+        target = base
+    else:
+        target = f"{base}/{NESTED_PRODUCT if nested else pattern}"
     try:
         df = reader.load(target)
     except Exception as e:  # noqa: BLE001
@@ -95,9 +101,6 @@ ORDER_OBJECT = T.StructType([
 ])
 ORDER_PAGE = T.StructType([T.StructField("orders", T.ArrayType(ORDER_OBJECT))])
 
-RAW_ORDER_COLUMNS = ("order_id", "created_at", "sku", "quantity", "price", "record_type",
-                     "refund_amount", "source_file")
-
 
 def order_objects(files: DataFrame) -> DataFrame:
     """Order-page objects as rows (source_file, o), one per object."""
@@ -112,24 +115,31 @@ def parse_orders(files: DataFrame) -> DataFrame:
     A ``type = 'refund'`` object gives one row with NULL sku/quantity/price;
     any other object one row per line item (none -> no rows).  A page without
     ``orders`` gives no rows.  ``<=>`` keeps objects whose type is NULL as orders.
+    An object without its order id, or a line item without sku, quantity or price,
+    fails the job: a dropped amount would vanish from every later sum.
     """
-    objs = order_objects(files)
-    extra = _carry(files)
     is_refund = F.col("o.type").eqNullSafe("refund")
-    ts = F.col("o.created_at").cast("timestamp")
-    refunds = objs.where(is_refund).select(
-        F.col("o.order_id").alias("order_id"), ts.alias("created_at"),
-        F.lit(None).cast("string").alias("sku"), F.lit(None).cast("int").alias("quantity"),
-        F.lit(None).cast("decimal(12,2)").alias("price"), F.lit("refund").alias("record_type"),
-        F.col("o.refund_amount").alias("refund_amount"), "source_file", *extra)
-    orders = objs.where(~is_refund).select(
-        "o.order_id", ts.alias("created_at"), F.explode("o.line_items").alias("li"),
-        "source_file", *extra).select(
-        "order_id", "created_at", F.col("li.sku").alias("sku"),
-        F.col("li.quantity").cast("int").alias("quantity"), F.col("li.price").alias("price"),
-        F.lit("order").alias("record_type"),
-        F.lit(None).cast("decimal(12,2)").alias("refund_amount"), "source_file", *extra)
-    return orders.unionByName(refunds).select(*RAW_ORDER_COLUMNS, *extra)
+    none = F.lit(None).cast(LINE_ITEM)
+    rows = order_objects(files).select(
+        "o", "source_file", *_carry(files), is_refund.alias("_refund"),
+        F.explode(F.when(is_refund, F.array(none)).otherwise(F.col("o.line_items"))).alias("li"))
+
+    def needed(name: str, missing: Column) -> Column:
+        value = F.col(f"li.{name}") if name != "order_id" else F.col("o.order_id")
+        return F.when(missing, F.raise_error(F.concat(
+            F.lit(f"order page with an entry without '{name}': "), F.col("source_file")))).otherwise(value)
+
+    def of_item(name: str) -> Column:
+        return needed(name, ~F.col("_refund") & F.col(f"li.{name}").isNull())
+
+    return rows.select(
+        needed("order_id", F.col("o.order_id").isNull()).alias("order_id"),
+        F.col("o.created_at").cast("timestamp").alias("created_at"),
+        of_item("sku").alias("sku"), of_item("quantity").cast("int").alias("quantity"),
+        of_item("price").alias("price"),
+        F.when(F.col("_refund"), "refund").otherwise("order").alias("record_type"),
+        F.when(F.col("_refund"), F.col("o.refund_amount")).alias("refund_amount"),
+        "source_file", *_carry(files))
 
 
 def discount_shapes(files: DataFrame) -> DataFrame:
@@ -143,50 +153,62 @@ def discount_shapes(files: DataFrame) -> DataFrame:
 
 # --- CSV by header name (S2, S3) ---------------------------------------------
 
-MAX_FIELDS = 24
-_WIDE = ", ".join(f"c{i} string" for i in range(MAX_FIELDS))
+# Cut at line feeds and commas outside quotes.  A field is matched with the comma
+# before it, so that empty fields are found, too.
+_RECORD = r'[^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+'
+_FIELD = r',([^",]*+(?:"[^"]*+"[^",]*+)*+)'
 
 
-def _as_array(rec: str, trim: bool = False) -> Column:
-    """Array of the positional fields of an already-parsed record column."""
-    cols = [F.col(rec).getField(f"c{i}") for i in range(MAX_FIELDS)]
-    return F.array(*[F.trim(c) if trim else c for c in cols])
+def _fields(record: Column) -> Column:
+    """The fields of a record, unquoted; empty ones are NULL."""
+    def plain(f: Column) -> Column:
+        bare = F.when(f.startswith('"') & f.endswith('"'),
+                      F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
+        return F.nullif(bare, F.lit(""))
 
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1)), plain)
 
-def csv_records(files: DataFrame, text: Column) -> DataFrame:
-    """(source_file, header array, fields array) for every data line of every file.
-
-    The first line of each file is its header; blank lines are skipped.  Each
-    line is parsed once (``from_csv`` into a struct in its own projection) and
-    the positional arrays are built from that struct, so the parser is not
-    copied into every field reference.
-    """
-    lines = F.split(text, "\r?\n")
-    extra = _carry(files)
-    per_file = files.select(F.col("file_name").alias("source_file"), *extra,
-                            lines.alias("_lines"))
-    per_file = per_file.select("source_file", *extra, "_lines",
-                               F.from_csv(F.element_at("_lines", 1), _WIDE).alias("_h"))
-    per_file = per_file.select("source_file", *extra, _as_array("_h", trim=True).alias("header"),
-                               F.posexplode("_lines").alias("_pos", "_line"))
-    data = per_file.where((F.col("_pos") > 0) & (F.trim(F.col("_line")) != ""))
-    parsed = data.select("source_file", *extra, "header",
-                         F.from_csv(F.col("_line"), _WIDE).alias("_r"))
-    return parsed.select("source_file", *extra, "header", _as_array("_r").alias("fields"))
 
+def _header(first_record: Column) -> Column:
+    return F.transform(_fields(first_record), lambda f: F.trim(f))
 
-def field(name: str) -> Column:
-    """The value under header ``name`` (NULL when the file has no such column)."""
-    pos = F.array_position(F.col("header"), F.lit(name))
-    return F.when(pos > 0, F.element_at(F.col("fields"), pos.cast("int")))
 
+def csv_records(files: DataFrame, text: Column, names: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One row per record of every file: ``source_file`` and a string column for
+    each of ``names`` (column -> header names, the first that the file has).
 
-def required_field(name: str, source: str) -> Column:
-    """Like :func:`field`, but a file lacking the column fails the job."""
-    pos = F.array_position(F.col("header"), F.lit(name))
-    return F.when(pos > 0, F.element_at(F.col("fields"), pos.cast("int"))).otherwise(
-        F.raise_error(F.concat(F.lit(f"{source} file without column '{name}': "),
-                               F.col("source_file"))))
+    The first record of each file is its header, whatever its width; blank lines
+    are skipped.  Short records end in NULLs.  A record with more fields than the
+    header, or a file with an open quote, fails the job.  ``_has_<column>`` says
+    whether the file has the column.
+    """
+    extra = _carry(files)
+    blank = lambda r: F.trim(r) != ""
+    per_file = files.select(F.col("file_name").alias("source_file"), *extra, text.alias("_text")).select(
+        "source_file", *extra,
+        F.when(F.pmod(F.length(F.regexp_replace("_text", '[^"]', "")), F.lit(2)) == 1, F.raise_error(
+            F.concat(F.lit("CSV file with an open quote: "), F.col("source_file"))))
+        .otherwise(F.filter(F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(0)), blank)).alias("_records"))
+    per_file = per_file.where(F.size("_records") > 0).withColumn("_header", _header(F.col("_records")[0]))
+    at = {c: F.greatest(F.lit(0).cast("bigint"), F.coalesce(*[
+        F.nullif(F.array_position("_header", F.lit(h)), F.lit(0)) for h in heads], F.lit(0).cast("bigint")))
+        for c, heads in names.items()}
+    placed = per_file.select("source_file", *extra, F.size("_header").alias("_width"),
+                             *[p.cast("int").alias(f"_at_{c}") for c, p in at.items()],
+                             F.explode(F.slice("_records", 2, F.size("_records"))).alias("_record"))
+    parsed = placed.withColumn("_fields", _fields(F.col("_record")))
+    whole = F.when(F.size("_fields") > F.col("_width"), F.raise_error(
+        F.concat(F.lit("CSV record with more fields than its header: "), F.col("source_file")))) \
+        .otherwise(F.col("_fields"))
+    return parsed.withColumn("_fields", whole).select(
+        "source_file", *extra, *[(F.col(f"_at_{c}") > 0).alias(f"_has_{c}") for c in names],
+        *[F.when(F.col(f"_at_{c}") > 0, F.get("_fields", F.col(f"_at_{c}") - 1)).alias(c) for c in names])
+
+
+def required(name: str, source: str) -> Column:
+    """A column of :func:`csv_records`; a file lacking it fails the job."""
+    return F.when(F.col(f"_has_{name}"), F.col(name)).otherwise(F.raise_error(
+        F.concat(F.lit(f"{source} file without column '{name}': "), F.col("source_file"))))
 
 
 # The settlement file header rename (newer layout -> landed names).
@@ -206,30 +228,24 @@ SETTLEMENT_COLUMNS = ("amazon_order_id", "sku", "quantity", "gross_amount", "fee
 def parse_settlements(files: DataFrame) -> DataFrame:
     """S2: settlement rows from CSV files in either header layout, bound by name.
 
-    A file whose header has ``amazon_order_id`` is read as is; any other file
-    has its columns renamed by :data:`SETTLEMENT_RENAME`.  Columns a file lacks
-    land as NULL (a missing currency becomes USD in staging).
+    Every landed column is read under its own name or, in the newer layout, under
+    the one in :data:`SETTLEMENT_RENAME`.  Columns a file lacks land as NULL (a
+    missing currency becomes USD in staging).
     """
-    rec = csv_records(files, F.decode(F.col("content"), "UTF-8"))
-    landed_layout = F.array_contains(F.col("header"), "amazon_order_id")
-    back = {v: k for k, v in SETTLEMENT_RENAME.items()}
-    cols = []
-    for name in SETTLEMENT_COLUMNS:
-        alt = back.get(name, name)
-        cols.append(F.when(landed_layout, field(name)).otherwise(field(alt)).alias(name))
-    extra = _carry(files)
-    typed = rec.select(*cols, "source_file", *extra)
+    newer = {v: k for k, v in SETTLEMENT_RENAME.items()}
+    names = {c: (c, *([newer[c]] if c in newer else [])) for c in SETTLEMENT_COLUMNS}
+    typed = csv_records(files, F.decode(F.col("content"), "UTF-8"), names)
     return typed.select(
         "amazon_order_id", "sku", F.col("quantity").cast("int").alias("quantity"),
         *[F.col(c).cast("decimal(12,2)").alias(c)
           for c in ("gross_amount", "fee_amount", "net_amount")],
         "currency", F.col("settlement_date").cast("date").alias("settlement_date"),
-        "source_file", *extra)
+        "source_file", *_carry(files))
 
 
 def settlement_layouts(files: DataFrame) -> DataFrame:
     """F-3: settlement files per header layout (landed / renamed)."""
-    header = F.split(F.element_at(F.split(F.decode(F.col("content"), "UTF-8"), "\r?\n"), 1), ",")
+    header = _header(F.regexp_extract(F.decode(F.col("content"), "UTF-8"), f"^{_RECORD}", 0))
     layout = F.when(F.array_contains(header, "amazon_order_id"), F.lit("landed")) \
         .when(F.array_contains(header, "order_id") & F.array_contains(header, "item_sku"),
               F.lit("renamed")).otherwise(F.lit("unknown"))
@@ -253,21 +269,19 @@ def non_utf8_files(files: DataFrame) -> DataFrame:
     return files.where(~F.is_valid_utf8(F.col("content").cast("string"))).select("file_name", "length")
 
 
-POS_COLUMNS = ("store_id", "txn_timestamp", "sku", "quantity", "amount", "txn_type",
-               "source_file")
+POS_COLUMNS = ("store_id", "txn_timestamp", "sku", "quantity", "amount", "txn_type")
 
 
 def parse_pos(spark: SparkSession, files: DataFrame) -> DataFrame:
     """S3: POS rows; ``timestamp`` lands as ``txn_timestamp``; extra columns
     (such as ``note``) are ignored; negatives and txn_type are kept."""
-    rec = csv_records(files, decode_utf8_or_cp1252(spark))
+    names = {c: ("timestamp" if c == "txn_timestamp" else c,) for c in POS_COLUMNS}
+    rec = csv_records(files, decode_utf8_or_cp1252(spark), names)
+    col = {c: required(c, "POS") for c in POS_COLUMNS}
     return rec.select(
-        required_field("store_id", "POS").alias("store_id"),
-        required_field("timestamp", "POS").cast("timestamp").alias("txn_timestamp"),
-        required_field("sku", "POS").alias("sku"),
-        required_field("quantity", "POS").cast("int").alias("quantity"),
-        required_field("amount", "POS").cast("decimal(12,2)").alias("amount"),
-        required_field("txn_type", "POS").alias("txn_type"),
+        col["store_id"].alias("store_id"), col["txn_timestamp"].cast("timestamp").alias("txn_timestamp"),
+        col["sku"].alias("sku"), col["quantity"].cast("int").alias("quantity"),
+        col["amount"].cast("decimal(12,2)").alias("amount"), col["txn_type"].alias("txn_type"),
         "source_file", *_carry(files))
 
 
@@ -313,7 +327,7 @@ def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> Dat
 
 def read_bank_seed(spark: SparkSession, path: str) -> DataFrame:
     """S5: the per-channel bank control CSV (channel, bank_net_revenue)."""
-    return (spark.read.schema("channel string, bank_net_revenue decimal(14,2)")
+    return (spark.read.schema("channel string, bank_net_revenue decimal(38,2)")
             .option("header", True).option("mode", "FAILFAST").csv(path))
 
 
@@ -325,6 +339,6 @@ PARSERS = {
 }
 
 
-def scan(spark: SparkSession, root: str, source: str) -> DataFrame:
+def scan(spark: SparkSession, root: str, source: str, nested: bool = False) -> DataFrame:
     """Read and parse every file of one source under ``root`` (no manifest)."""
-    return PARSERS[source](spark, read_files(spark, root, source))
+    return PARSERS[source](spark, read_files(spark, root, source, nested))

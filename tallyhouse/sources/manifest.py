@@ -7,29 +7,31 @@ Storage layout under a warehouse folder (any Hadoop-compatible path)::
 
 Commit protocol (no transactional table format needed):
 
-1. list the source's files with their content hash (one ``binaryFile`` read);
+1. hash the source's files (a ``binaryFile`` read of which only path and hash are
+   kept);
 2. keep the first file per hash (sorted path) and drop hashes the manifest
    already records as ``loaded`` (a ``left_anti`` join) -- this is S8;
-3. parse those files and append their rows under a fresh ``batch_id``;
+3. open those files, parse them and append their rows under a fresh ``batch_id``;
 4. append one manifest row per loaded file, zero-row files included.  **This
    append is the commit point.**
 
-Readers see raw rows only through a ``left_semi`` join with the manifest on
-(file_hash, batch_id), so rows written by a batch that died before step 4 are
-invisible and the file is simply loaded again by the next run.  Concurrent
+Readers see only the partitions of batches that the manifest has, so rows
+written by a batch that died before step 4 are invisible and the file is simply
+loaded again by the next run.  Concurrent
 loaders of the same warehouse are not supported (as with one database
 transaction per file, serial runs are the contract).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.session import scratch_path
 from tallyhouse.sources import files as fs
 from tallyhouse.sources.tables import RawTables
 
@@ -56,8 +58,8 @@ RAW_SCHEMAS = {
                       "unit_cost decimal(12,2), unit_price decimal(12,2), source_file string",
 }
 PROVENANCE = "file_hash string, loaded_at timestamp, batch_id string"
-# New-file (hash, path) rows broadcast to select file contents; ~100 bytes each.
-BROADCAST_PATHS = 200_000
+# Files that one read opens; a load of more goes on with the next ones.
+OPEN_FILES = 50_000
 
 
 class CrashForTest(RuntimeError):
@@ -94,6 +96,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs_.exists(p)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_dead_batches(spark: SparkSession, wh: Warehouse) -> int:
+    """Delete raw folders of batches that never committed; returns their number.
+    Only for a warehouse that no load is writing to."""
+    live, gone = set(committed_batches(spark, wh)), 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in RAW_SCHEMAS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(wh.raw(table))
+        store = path.getFileSystem(conf)
+        for status in store.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("batch_id=") and name.removeprefix("batch_id=") not in live:
+                store.delete(status.getPath(), True)
+                gone += 1
+    return gone
+
+
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -124,25 +148,33 @@ def read_manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(wh.manifest)
 
 
+def committed_batches(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """The batches that a manifest row commits: one a load, so a short list."""
+    return sorted(r.batch_id for r in read_manifest(spark, wh).where(F.col("status") == "loaded")
+                  .select("batch_id").distinct().collect())
+
+
 def read_raw(spark: SparkSession, wh: Warehouse, table: str,
              supersede_by_path: bool = False) -> DataFrame:
     """Committed rows of one raw table (rows of uncommitted batches are invisible).
 
-    By default every committed version of a file counts (a corrected file
-    re-sent under the same name is appended, quirk Q-2).  With
-    ``supersede_by_path`` only the newest committed version of each path is
-    read, so a corrected file replaces the rows of the one it corrects.
+    The batch is the commit unit and the partition column, so committed rows are
+    found by pruning partitions, without a join.  By default every committed
+    version of a file counts (a corrected file re-sent under the same name is
+    appended, quirk Q-2).  With ``supersede_by_path`` only the newest committed
+    version of each path is read, so a corrected file replaces the rows of the one
+    it corrects.
     """
-    rows = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}").parquet(wh.raw(table))
-    committed = read_manifest(spark, wh).where(F.col("status") == "loaded")
-    if supersede_by_path:
-        # one manifest row per file version: the window is over the manifest,
-        # never over data rows
-        newest = Window.partitionBy("file_path").orderBy(F.col("loaded_at").desc(),
-                                                         F.col("batch_id").desc())
-        committed = committed.withColumn("_v", F.row_number().over(newest)).where("_v = 1")
-    return rows.join(committed.select("file_hash", "batch_id"), ["file_hash", "batch_id"],
-                     "left_semi")
+    rows = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}").parquet(wh.raw(table)) \
+        .where(F.col("batch_id").isin(committed_batches(spark, wh)))
+    if not supersede_by_path:
+        return rows
+    # one manifest row per file version: the window is over the manifest,
+    # never over data rows
+    newest = Window.partitionBy("file_path").orderBy(F.col("loaded_at").desc(), F.col("batch_id").desc())
+    latest = read_manifest(spark, wh).where(F.col("status") == "loaded") \
+        .withColumn("_v", F.row_number().over(newest)).where("_v = 1")
+    return rows.join(latest.select("file_hash", "batch_id"), ["file_hash", "batch_id"], "left_semi")
 
 
 def raw_tables(spark: SparkSession, wh: Warehouse, bank_deposits: DataFrame | None = None,
@@ -158,81 +190,81 @@ def raw_tables(spark: SparkSession, wh: Warehouse, bank_deposits: DataFrame | No
 
 
 def load_source(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str,
-                crash_before_commit: bool = False) -> dict:
+                crash_before_commit: bool = False, nested: bool = False) -> dict:
     """K-2: land every not-yet-loaded file of one source; returns the counts."""
-    return load_files(spark, wh, fs.read_files(spark, raw_dir, source), source,
+    return load_files(spark, wh, fs.read_files(spark, raw_dir, source, nested), source,
                       crash_before_commit)
 
 
+def _open(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files of these paths, hashed as they are opened."""
+    exact = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]   # no glob signs
+    df = spark.read.format("binaryFile").load(exact)
+    return fs.with_hash(df.withColumn("file_name", fs.basename(F.col("path"))))
+
+
 def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: str,
                crash_before_commit: bool = False) -> dict:
-    """Land the given files (path, file_name, content, ...) of one source.
+    """Land the given files (path, content, ...) of one source, in two passes.
 
-    Only the five counts reach the driver.  Used by the batch loader and by the
-    streaming drip's ``foreachBatch``.
+    The first hashes every file and keeps paths and hashes alone, as a written
+    table; the manifest decides which are new.  The second opens the new files,
+    ``OPEN_FILES`` at a time.  File contents are neither cached nor shuffled; the
+    driver sees counts and, like Spark's own file listing, the new paths.  Used by
+    the batch loader and by the streaming drip's ``foreachBatch``.
     """
     init_schema(spark, wh)
     table = RAW_TABLES[source]
     batch = uuid.uuid4().hex
-    files = fs.with_hash(listed).persist(StorageLevel.MEMORY_AND_DISK)
-    firsts = None
-    try:
-        seen = files.count()                       # reads and hashes every file once
-        # first path per content hash, on metadata only (contents never shuffle
-        # for this); then drop hashes the manifest already holds
-        loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
-        firsts = (files.select("file_hash", "path").groupBy("file_hash")
-                  .agg(F.min("path").alias("path"))
-                  .join(loaded, "file_hash", "left_anti")
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-        n_new = firsts.count() if seen else 0
-        if n_new == 0:                             # nothing new: a rerun stops here
-            return {"source": source, "files_seen": int(seen), "loaded_files": 0,
-                    "skipped_files": int(seen), "loaded_rows": 0}
-        # pick the new files' rows without moving file contents: the path list
-        # is broadcast when its measured size allows, else a shuffle join
-        picks = F.broadcast(firsts) if n_new <= BROADCAST_PATHS else firsts
-        new = files.join(picks, ["file_hash", "path"], "left_semi")
-        rows = fs.PARSERS[source](spark, new)
+    hashed = _written(fs.with_hash(listed).select("path", "file_hash"), "hashed-files")
+    seen = hashed.count()
+    loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
+    firsts = _written(hashed.groupBy("file_hash").agg(F.min("path").alias("path"))
+                      .join(loaded, "file_hash", "left_anti"), "new-files")
+    new = [r.path for r in firsts.select("path").orderBy("path").toLocalIterator()]
+    if not new:                                # nothing new: a rerun stops here
+        return {"source": source, "files_seen": int(seen), "loaded_files": 0,
+                "skipped_files": int(seen), "loaded_rows": 0}
+    for at in range(0, len(new), OPEN_FILES):
+        rows = fs.PARSERS[source](spark, _open(spark, new[at:at + OPEN_FILES]))
         (rows.withColumn("loaded_at", F.current_timestamp())
          .withColumn("batch_id", F.lit(batch))
          .write.mode("append").partitionBy("batch_id").parquet(wh.raw(table)))
-        if crash_before_commit:
-            raise CrashForTest(f"simulated crash after writing batch {batch}")
-        written = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}") \
-            .parquet(wh.raw(table)).where(F.col("batch_id") == batch)   # partition-pruned
-        counts = written.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n"))
-        manifest_rows = (firsts.join(counts, "file_hash", "left")
-                         .select("file_hash", F.lit(source).alias("source_system"),
-                                 F.col("path").alias("file_path"),
-                                 F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded"),
-                                 F.current_timestamp().alias("loaded_at"),
-                                 F.lit("loaded").alias("status"),
-                                 F.lit(batch).alias("batch_id")))
-        # commit point
-        manifest_rows.write.mode("append").partitionBy("batch_id").parquet(wh.manifest)
-        committed = read_manifest(spark, wh).where(F.col("batch_id") == batch)
-        loaded_files, loaded_rows = committed.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()
-    finally:
-        files.unpersist()
-        if firsts is not None:
-            firsts.unpersist()
+    if crash_before_commit:
+        raise CrashForTest(f"simulated crash after writing batch {batch}")
+    written = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}") \
+        .parquet(wh.raw(table)).where(F.col("batch_id") == batch)   # partition-pruned
+    counts = _written(written.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n")), "row-counts")
+    if counts.join(firsts, "file_hash", "left_anti").limit(1).count():
+        raise RuntimeError(f"a file changed while batch {batch} was being loaded; load again")
+    manifest_rows = (firsts.join(counts, "file_hash", "left")
+                     .select("file_hash", F.lit(source).alias("source_system"),
+                             F.col("path").alias("file_path"),
+                             F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded"),
+                             F.current_timestamp().alias("loaded_at"),
+                             F.lit("loaded").alias("status"),
+                             F.lit(batch).alias("batch_id")))
+    # commit point
+    manifest_rows.write.mode("append").partitionBy("batch_id").parquet(wh.manifest)
+    committed = read_manifest(spark, wh).where(F.col("batch_id") == batch)
+    loaded_files, loaded_rows = committed.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()
     return {"source": source, "files_seen": int(seen), "loaded_files": int(loaded_files),
             "skipped_files": int(seen - loaded_files), "loaded_rows": int(loaded_rows)}
 
 
 def ingest(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str = "all",
-           reset: bool = False) -> dict:
+           reset: bool = False, nested: bool = False) -> dict:
     """K-3: load all sources (or one), optionally after a reset."""
     init_schema(spark, wh)
     if reset:
         reset_schema(spark, wh)
     sources = list(RAW_TABLES) if source == "all" else [source]
-    return {s: load_source(spark, wh, raw_dir, s) for s in sources}
+    return {s: load_source(spark, wh, raw_dir, s, nested=nested) for s in sources}
 
 
-def manifest_coverage(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str) -> DataFrame:
+def manifest_coverage(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str,
+                      nested: bool = False) -> DataFrame:
     """C-16: files on disk whose content hash is not in the manifest (none after a load)."""
-    files = fs.with_hash(fs.read_files(spark, raw_dir, source)).select("path", "file_hash")
+    files = fs.with_hash(fs.read_files(spark, raw_dir, source, nested)).select("path", "file_hash")
     return files.join(read_manifest(spark, wh).select("file_hash"), "file_hash", "left_anti")

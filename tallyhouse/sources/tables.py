@@ -76,7 +76,7 @@ select case when k % 7 = 0 then replace(sku,'BB-','BLB') else sku end as sku, pr
 union all select sku, product_name, category, cast(round(unit_cost * 1.2, 2) as decimal(12,2)), unit_price, 'product_master.xlsx' from c where k % 250 = 0
 """),
     ("bank_deposits", """
-select deposit_date, channel, cast(sum(amount) as decimal(14,2)) as net_deposit from (
+select deposit_date, channel, cast(sum(amount) as decimal(38,2)) as net_deposit from (
   select odate as deposit_date, channel, cast(round(case when channel='amazon' then gross * 0.85 else gross * 1.00 end, 2) as decimal(14,2)) as amount from {fx_lines}
   union all select cast(odate + lag_days * interval '1' day as date), channel, cast(round(case when channel='amazon' then -gross * 0.85 else -gross * 1.00 end, 2) as decimal(14,2)) from {fx_lines} where refunded) t
 group by deposit_date, channel

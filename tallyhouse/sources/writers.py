@@ -114,7 +114,11 @@ def write_workbooks(raw: DataFrame, out: str, rows_per_book: int = BOOK_ROWS) ->
     ship_package(raw.sparkSession)
     n_books = _buckets(raw, rows_per_book)
     book = F.pmod(F.xxhash64("sku", "unit_cost"), F.lit(n_books)).alias("book")
-    out = out.rstrip("/")
+    # A path without a scheme belongs to the default file system, as for Spark.
+    jvm = raw.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(out.rstrip("/"))
+    out = str(path.getFileSystem(raw.sparkSession.sparkContext._jsc.hadoopConfiguration())
+              .makeQualified(path).toString())
 
     def build(pdf):
         import pandas as pd
@@ -129,8 +133,7 @@ def write_workbooks(raw: DataFrame, out: str, rows_per_book: int = BOOK_ROWS) ->
         data = workbook.build_workbook(
             "Product master", ["SKU", "Product Name", "Category", "Unit Cost", "Unit Price"],
             rows, hidden=("Discontinued_DO_NOT_USE", ["SKU", "Note"], []))
-        uri = out if "://" in out else "file:///" + out.split(":", 1)[-1].lstrip("/") \
-            if out.startswith("file:") else f"file://{out}"
+        uri = out if "://" in out else "file:///" + out.split(":", 1)[-1].lstrip("/")
         fsys, path = pafs.FileSystem.from_uri(uri)
         fsys.create_dir(path, recursive=True)
         with fsys.open_output_stream(f"{path}/product_master_{b:03d}.xlsx") as f:

@@ -42,3 +42,24 @@ def test_dense_key_matches_global_row_number(spark):
         f"product_key, quantity, gross_revenue from "
         f"(select *, count(*) over (partition by activity_date) as _dn from t) l").fetchall())
     assert got_rows == want
+
+
+def test_order_is_the_same_for_every_bucket_size(spark):
+    from pyspark.sql import functions as F
+    content = content_sql("product_key", "quantity", "order_id")
+    df = spark.range(3000).select(
+        F.lit(dt.date(2024, 7, 1)).alias("activity_date"), F.lit("BB-X-0001").alias("product_key"),
+        F.lit(1).alias("quantity"), F.col("id").alias("order_id"))
+    one = {r.order_id: r.k for r in dense_key(df, "k", "activity_date", F.expr(content)).collect()}
+    many = {r.order_id: r.k for r in dense_key(df, "k", "activity_date", F.expr(content),
+                                               rows_per_bucket=10).collect()}
+    assert one == many and sorted(one.values()) == list(range(1, 3001))
+
+
+def test_one_sku_and_price_still_spread_over_buckets(spark):
+    from pyspark.sql import functions as F
+    content = content_sql("product_key", "quantity", "order_id")
+    df = spark.range(20_000).select(F.lit("BB-X-0001").alias("product_key"), F.lit(1).alias("quantity"),
+                                    F.col("id").alias("order_id"))
+    sizes = [r["count"] for r in df.groupBy(F.expr(content).substr(1, 1)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.2 * 20_000 / 16

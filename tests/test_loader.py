@@ -183,3 +183,34 @@ def test_views_and_cli(spark, landing, wh, tmp_path, capsys):
                  "SELECT count(*) AS n FROM fact_order_lines"]) == 0
     # no fact date is a published night here, so consumers see nothing
     assert "|0|" in capsys.readouterr().out.replace(" ", "")
+
+
+def test_raw_reads_prune_partitions_without_a_join(spark, landing, wh):
+    jobs.run_load(spark, wh, landing)
+    plan = mf.read_raw(spark, wh, "pos_transactions")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "batch_id" in plan.split("PartitionFilters")[1][:200]
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_dead_batches_are_deleted(spark, landing, wh):
+    with pytest.raises(mf.CrashForTest):
+        mf.load_source(spark, wh, landing, "pos", crash_before_commit=True)
+    mf.load_source(spark, wh, landing, "pos")
+    assert mf.drop_dead_batches(spark, wh) == 1 and mf.drop_dead_batches(spark, wh) == 0
+    assert counts(spark, wh)["pos_transactions"] == EXPECTED_ROWS["pos_transactions"]
+
+
+def test_failed_gate_keeps_the_previous_build_and_unchanged_inputs_are_not_rebuilt(spark, landing, wh, tmp_path):
+    seed = tmp_path / "bank.csv"
+    put(seed, BANK_SEED)
+    bank = fs.read_bank_seed(spark, str(seed))
+    cats = ("Decor", "Kitchen")
+    first = jobs.run_pipeline(spark, landing, wh, dt.date(2024, 7, 9), bank, categories=cats)["build"]
+    again = jobs.run_pipeline(spark, landing, wh, dt.date(2024, 7, 10), bank, categories=cats)["build"]
+    assert again["build_id"] == first["build_id"] and again["unchanged"] and not first["unchanged"]
+    put(tmp_path / "landing/pos/store_02_2024-07-05.csv", POS_01.replace("store_01", "store_02"))
+    with pytest.raises(jobs.PipelineError):
+        jobs.run_pipeline(spark, landing, wh, dt.date(2024, 7, 11), bank, categories=("Bedding",))
+    assert jobs.current_build(spark, wh) == first["build_id"]
+    assert jobs.drop_old_builds(spark, wh) == 1
+    assert jobs.Built(spark, wh).dim_date.count() > 0

@@ -152,3 +152,58 @@ def test_bank_seed(spark, tmp_path):
     write(p, "channel,bank_net_revenue\namazon,8989862.73\npos,6049528.53\nshopify,13582122.73\n")
     got = {r.channel: r.bank_net_revenue for r in fs.read_bank_seed(spark, str(p)).collect()}
     assert got["pos"] == Decimal("6049528.53")
+
+
+def test_csv_any_width_quotes_and_short_rows(spark, tmp_path):
+    d = tmp_path / "raw"
+    extra = [f"extra_{i}" for i in range(40)]
+    cells = ",".join(str(i) for i in range(40))
+    write(d / "amazon/settlement_2024-07-08.csv",
+          ",".join([*extra, "amazon_order_id", "sku", "quantity", "gross_amount", "fee_amount", "net_amount",
+                    "currency", "settlement_date", "note"]) + "\n"
+          + cells + ',AMZ-1,BB-DEC-0001,2,20.00,3.00,17.00,USD,2024-07-08,"two\nlines, and a ""quote"""\n'
+          + cells + ",AMZ-2,BB-DEC-0002,1,10.00,1.50,8.50\r\n"
+          + cells + ',AMZ-3,"BB,COMMA",,,,,,2024-07-09,\n')
+    rows = {r.amazon_order_id: r for r in fs.scan(spark, str(d), "amazon").collect()}
+    assert set(rows) == {"AMZ-1", "AMZ-2", "AMZ-3"}
+    assert rows["AMZ-1"].net_amount == Decimal("17.00") and str(rows["AMZ-1"].settlement_date) == "2024-07-08"
+    assert rows["AMZ-2"].currency is None and rows["AMZ-2"].settlement_date is None
+    assert rows["AMZ-3"].sku == "BB,COMMA" and rows["AMZ-3"].quantity is None
+
+
+def test_pos_quoted_line_feed_is_one_row(spark, tmp_path):
+    d = tmp_path / "raw"
+    write(d / "pos/store_01_2024-07-01.csv", "note,store_id,timestamp,sku,quantity,amount,txn_type\n"
+          '"two\nlines",store_01,2024-07-01 12:00:00,BB-DEC-0001,2,20.00,sale\n')
+    (row,) = fs.scan(spark, str(d), "pos").collect()
+    assert (row.store_id, row.quantity, row.txn_type) == ("store_01", 2, "sale")
+
+
+@pytest.mark.parametrize("line, message", [
+    ("store_01,2024-07-01 12:00:00,BB-DEC-0001,2,20.00,sale,more", "more fields"),
+    ('store_01,2024-07-01 12:00:00,"BB-DEC-0001,2,20.00,sale', "open quote")])
+def test_malformed_csv_fails(spark, tmp_path, line, message):
+    d = tmp_path / "raw"
+    write(d / "pos/store_01_2024-07-01.csv", "store_id,timestamp,sku,quantity,amount,txn_type\n" + line + "\n")
+    with pytest.raises(Exception, match=message):
+        fs.scan(spark, str(d), "pos").collect()
+
+
+@pytest.mark.parametrize("key", ["sku", "quantity", "price", "order_id"])
+def test_order_entry_without_a_required_key_fails(spark, tmp_path, key):
+    order = json.loads(json.dumps(ORDER_A))
+    (order if key == "order_id" else order["line_items"][1]).pop(key)
+    write(tmp_path / "raw/shopify/orders_page_000.json", json.dumps({"orders": [ORDER_B, order]}))
+    with pytest.raises(Exception, match=f"without '{key}'"):
+        fs.scan(spark, str(tmp_path / "raw"), "shopify").collect()
+
+
+def test_only_files_directly_in_a_source_folder_count(spark, tmp_path):
+    d = tmp_path / "raw"
+    head = "store_id,timestamp,sku,quantity,amount,txn_type\n"
+    write(d / "pos/now.csv", head)
+    write(d / "pos/archive/old.csv", head)
+    write(d / "product_master_old.xlsx", b"no workbook")
+    assert [r.file_name for r in fs.read_files(spark, str(d), "pos").collect()] == ["now.csv"]
+    assert fs.read_files(spark, str(d), "pos", nested=True).count() == 2
+    assert fs.read_files(spark, str(d), "product").count() == 0
