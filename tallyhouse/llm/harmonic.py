@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import map_batches
-from tallyhouse.llm.tokens import END_ID, CachedTokenizer, tokenizer_path
+from tallyhouse.llm.tokens import END_ID, worker_tokenizer
 
 CAPACITY = 4096
 SLACK = 1 / 64
@@ -137,7 +137,7 @@ def encode_with_end(vocabulary: str = VOCABULARY) -> Callable[[], Callable[[str
     """Ids by a public vocabulary file, then the end id."""
 
     def make():
-        tok = CachedTokenizer(tokenizer_path(vocabulary))
+        tok = worker_tokenizer(vocabulary)
         end = np.array([END_ID], dtype="<u4").tobytes()
         return lambda text: tok.encode(text) + end
 

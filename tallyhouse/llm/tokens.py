@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from functools import lru_cache
 
 END_ID = 2
 
@@ -132,6 +133,12 @@ class CachedTokenizer:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def worker_tokenizer(name: str) -> CachedTokenizer:
+    """One tokenizer a worker process, so its cache serves all tasks that it runs."""
+    return CachedTokenizer(tokenizer_path(name))
+
+
 def tokenizer_path(name: str) -> str:
     """Where a worker finds the vocabulary file; a path is taken as it is."""
     if os.path.sep in name:
