@@ -3,6 +3,7 @@ very long texts, ties, repeated rows, and extra columns whose names clash."""
 
 from __future__ import annotations
 
+SF_SMALL, SF_MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 CLASHING = ("score", "shard", "slot", "size", "fp", "label", "component_id", "key", "overlap", "secrets", "ids",
             "text_key", "kept_key", "row", "quality_score", "benchmark_overlap", "secret_spans", "n_words", "start")
 LONG = " ".join(f"word{i % 977} and some, more." for i in range(40_000)) + " token = \"abcdef123456\""

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow.parquet as pq
 from edges import TEXTS, docs, edge_docs, no_docs
 
-from conftest import SF_MID
+from edges import SF_MID
 from tallyhouse.llm import masked_lm, quality_model, queries
 
 
@@ -112,3 +112,15 @@ def test_language_model_edges(spark):
         assert (by[d].n_tokens, by[d].log_likelihood, by[d].mean_log_likelihood) == (0, 0.0, None)
     assert by[4].n_tokens == 40_000 * 4 + 3 and by[4].log_likelihood < 0
     assert masked_lm.score_corpus(no_docs(spark)).count() == 0
+
+
+def test_vocabulary_is_the_most_frequent_words(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 900}" for _ in range(300)) for _ in range(40)]
+    number = masked_lm.vocabulary(docs(spark, texts), size=34)
+    counts = {}
+    for t in texts:
+        for w in t.encode().split():
+            counts[w] = counts.get(w, 0) + 1
+    want = sorted(counts, key=lambda w: (-counts[w], w))[:32]
+    assert len(counts) > 8 * 34 and number == {w: k + 2 for k, w in enumerate(want)}

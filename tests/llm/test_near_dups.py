@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from edges import TEXTS, docs, edge_docs, no_docs
 
-from conftest import SF_SMALL
+from edges import SF_SMALL
 from tallyhouse.llm import near_dups, queries
 from tallyhouse.llm.components import components
 

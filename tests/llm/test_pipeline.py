@@ -8,7 +8,7 @@ from test_near_dups import naive_components, naive_fingerprint
 from test_scans import naive_base, naive_overlap
 
 import corpus_pipeline
-from conftest import SF_SMALL
+from edges import SF_SMALL
 from tallyhouse.llm.common import table, written
 from tallyhouse.llm.tokens import CachedTokenizer, tokenizer_path
 

@@ -10,7 +10,7 @@ import pytest
 from compare import compare
 from edges import TEXTS, docs, edge_docs, no_docs
 
-from conftest import SF_SMALL
+from edges import SF_SMALL
 from tallyhouse.llm import decontaminate, queries, rules, secret_scan
 
 
@@ -73,8 +73,9 @@ BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 def test_battery_tells_random_from_text():
     rng = random.Random(9)
-    for alphabet in (BASE64, BASE64[:62], "0123456789ABCDEF"):
-        ps = [secret_scan.random_p("".join(rng.choices(alphabet, k=48))) for _ in range(200)]
+    # The smaller the alphabet, the less a character tells: hex needs more of them.
+    for alphabet, size in ((BASE64, 48), (BASE64[:62], 48), ("0123456789ABCDEF", 96)):
+        ps = [secret_scan.random_p("".join(rng.choices(alphabet, k=size))) for _ in range(200)]
         assert sorted(ps)[150] < 1e-4, alphabet[:10]
     for text in ("thisIsAVeryLongMethodNameForTheTest", "incomprehensibilities_and_more", "/usr/local/share/doc/readme",
                  "a" * 64, "0123456789abcdef0123456789abcdef0123456789abcdef", BASE64, "1234567890" * 5,
@@ -175,13 +176,13 @@ def test_rule_edges(spark):
     for d in (1, 2, 8):
         assert (by[d].n_words, by[d].n_lines, by[d].n_repeat_words, by[d].kept) == (0, 0, 0, False)
     assert by[5].n_words == 1 and by[5].word_chars == 200_000
-    assert by[4].n_repeat_words == by[4].n_words - 4 and by[4].base_failed
+    assert by[4].n_repeat_words == by[4].n_words - 3 and by[4].base_failed   # all but token = "..."
     assert rules.apply_rules(no_docs(spark)).count() == 0
 
 
 def test_rules_reject_each_kind_and_keep_prose(spark):
-    prose = "\n".join(f"The history of the town number {i} is long and it was told by {i * 7} people in the square."
-                      for i in range(12))
+    prose = "\n".join(f"The w{i} of x{i} is {a} and the {b}{i} was told by y{i} to {a}{b} in the z{i}."
+                      for i, (a, b) in enumerate([("long", "square"), ("green", "house"), ("small", "river")] * 4))
     bad = {"symbols": " ".join(f"w{i}$$$ the" for i in range(60)), "shout": " ".join(f"WORD{'ABCDEFG'[i % 7]}{i}" for i in range(60)),
            "stop": " ".join(f"zq{i}x" for i in range(80)), "lines": "\n".join(["the one line", *["the same line"] * 9, "of it"]),
            "repeat": "one two three four five six " * 20}

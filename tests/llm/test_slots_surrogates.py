@@ -9,7 +9,7 @@ import xxhash
 from edges import TEXTS, docs, edge_docs, no_docs
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from edges import SF_MID, SF_SMALL
 from tallyhouse.llm import queries, slots, surrogates
 from tallyhouse.llm.common import written
 from tallyhouse.session import scratch_path

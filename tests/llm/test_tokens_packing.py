@@ -9,7 +9,7 @@ from edges import TEXTS, edge_docs, no_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import SF_SMALL
+from edges import SF_SMALL
 from tallyhouse.llm import harmonic, idblocks, queries
 from tallyhouse.llm.tokens import CachedTokenizer, tokenizer_path
 
