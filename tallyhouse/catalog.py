@@ -1,10 +1,10 @@
 """Registered queries: name -> (Spark builder, oracle SQL).
 
 Every query reads the driver tables through the fixture views (so its work
-grows with them) and returns a lazy DataFrame.  The oracle text is the same
-result stated in plain SQL for DuckDB; queries whose semantics SQL cannot state
-(file round trips, the streaming drip) have no oracle entry and are checked
-against brute-force expectations in ``tests/``.
+grows with them).  Most are lazy; the file, loader and job queries write their
+files, and ``materialize="table"`` queries their intermediates, while the result
+is being built.  The oracle text is the same result stated in plain SQL for
+DuckDB.
 """
 
 from __future__ import annotations

@@ -724,6 +724,35 @@ def q_manifest_coverage(m, spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+@register("provenance", """
+select 'amazon_settlements' as table_name, cast(count(distinct settlement_date) as bigint) as files,
+  cast(count(*) as bigint) as rows_landed, cast(0 as bigint) as files_that_differ from raw_amazon_settlements
+union all select 'pos_transactions', cast(count(distinct store_id || strftime(txn_timestamp, '%Y-%m')) as bigint),
+  cast(count(*) as bigint), 0 from raw_pos_transactions""")
+def q_provenance(m, spark, sf):
+    """P-16, now(): landed rows per file against the manifest: same file name, same
+    number of rows, a load time."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources.files import basename
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    for source, folder in (("amazon", _landing_settlements(spark, m)), ("pos", _landing_pos(spark, m))):
+        mf.load_source(spark, wh, folder, source, nested=True)
+    rows = [mf.read_raw(spark, wh, t).select(F.lit(t).alias("table_name"), "file_hash", "source_file", "loaded_at")
+            for t in ("amazon_settlements", "pos_transactions")]
+    landed = rows[0].unionByName(rows[1]).groupBy("table_name", "file_hash").agg(
+        F.min("source_file").alias("first"), F.max("source_file").alias("last"), F.count(F.lit(1)).alias("n"),
+        F.count("loaded_at").alias("timed"))
+    known = mf.read_manifest(spark, wh).select("file_hash", "rows_loaded", basename(F.col("file_path")).alias("name"))
+    same = (F.col("first") == F.col("name")) & (F.col("last") == F.col("name")) & \
+        (F.col("n") == F.col("rows_loaded")) & (F.col("timed") == F.col("n"))
+    return landed.join(known, "file_hash", "left").groupBy("table_name").agg(
+        F.count(F.lit(1)).cast("bigint").alias("files"), F.sum("n").cast("bigint").alias("rows_landed"),
+        F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).cast("bigint").alias("files_that_differ"))
+
+
 @register("pipeline_gate", f"""
 select channel, warehouse_net_revenue, gap, status, 'published' as ledger_status,
   cast({_RAW_COUNT} as bigint) as rows_loaded, cast(0 as bigint) as rows_reloaded

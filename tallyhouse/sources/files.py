@@ -14,7 +14,7 @@ reaches the driver.
   either header, any width and column order, extra or missing columns land in
   one shape, and a malformed record fails the job;
 * POS encoding (S3): a file that is not valid UTF-8 is decoded as windows-1252;
-* workbooks (S4): ``mapInPandas``, one workbook per task, parsed with the
+* workbooks (S4): ``mapInPandas``, one workbook at a time, parsed with the
   standard library (zip + XML), header on row 2 of the first sheet.
 """
 
@@ -293,7 +293,7 @@ _PRODUCT_OUT = ("sku string, product_name string, category string, unit_cost dou
 
 
 def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> DataFrame:
-    """S4: product master rows from workbooks, one workbook per task.
+    """S4: product master rows from workbooks, parsed one at a time.
 
     Header on ``header_row`` (the first row holds a merged title), first sheet
     in workbook order (hidden sheets after it are not read).
@@ -303,17 +303,11 @@ def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> Dat
     extra = _carry(files)
 
     def parse(batches):
-        import pandas as pd
         for pdf in batches:
-            out = []
             for i in range(len(pdf)):
                 rows = workbook.product_rows(bytes(pdf["content"].iloc[i]),
                                              pdf["file_name"].iloc[i], header_row, sheet)
-                for c in extra:
-                    rows[c] = pdf[c].iloc[i]
-                out.append(rows)
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-                columns=list(PRODUCT_COLUMNS) + extra)
+                yield rows.assign(**{c: pdf[c].iloc[i] for c in extra})
 
     schema = _PRODUCT_OUT + "".join(f", {c} string" for c in extra)
     rows = files.select("file_name", "content", *extra).mapInPandas(parse, schema)
