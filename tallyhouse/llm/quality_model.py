@@ -163,9 +163,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> np.nd
     for label in (0, 1):
         part = usable.where(F.col("label") == label).orderBy(order, "label_id").limit(per_class)
         sample = part if sample is None else sample.union(part)
-    # The sample's size is fixed, so it is broadcast: no text is shuffled.
+    # The sample's size is fixed, so it is broadcast: only its own texts are shuffled.
     texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text") \
-        .join(F.broadcast(sample), "label_id").select("label_id", "label", "text")
+        .join(F.broadcast(sample), "label_id").groupBy("label_id") \
+        .agg(F.min("label").alias("label"), F.min("text").alias("text"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
