@@ -14,8 +14,8 @@ reaches the driver.
   either header, any width and column order, extra or missing columns land in
   one shape, and a malformed record fails the job;
 * POS encoding (S3): a file that is not valid UTF-8 is decoded as windows-1252;
-* workbooks (S4): ``mapInPandas``, one workbook at a time, parsed with the
-  standard library (zip + XML), header on row 2 of the first sheet.
+* workbooks (S4): unzipped one at a time in ``mapInPandas``, the sheet parsed by
+  ``from_xml``, header on row 2 of the first sheet.
 """
 
 from __future__ import annotations
@@ -287,34 +287,76 @@ def parse_pos(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 # --- S4: product workbooks ---------------------------------------------------
 
-PRODUCT_COLUMNS = ("sku", "product_name", "category", "unit_cost", "unit_price", "source_file")
-_PRODUCT_OUT = ("sku string, product_name string, category string, unit_cost double, "
-                "unit_price double, source_file string")
+# Workbook header -> landed column.
+PRODUCT_HEADERS = {"SKU": "sku", "Product Name": "product_name", "Category": "category",
+                   "Unit Cost": "unit_cost", "Unit Price": "unit_price"}
+_RICH_TEXT = "t: string, r: array<struct<t: string>>"
+_SHEET = ("sheetData struct<row: array<struct<_r: int, c: array<struct<"
+          f"_r: string, _t: string, v: string, `is`: struct<{_RICH_TEXT}>>>>>>")
+_STRINGS = f"si array<struct<{_RICH_TEXT}>>"
+
+
+def _rich(s: Column) -> Column:
+    """The text of a string item: plain, or of its runs."""
+    return F.coalesce(s["t"], F.array_join(F.transform(s["r"], lambda r: F.coalesce(r["t"], F.lit(""))), ""))
 
 
 def parse_products(files: DataFrame, header_row: int = 2, sheet: int = 0) -> DataFrame:
-    """S4: product master rows from workbooks, parsed one at a time.
+    """S4: product master rows from workbooks.
 
-    Header on ``header_row`` (the first row holds a merged title), first sheet
-    in workbook order (hidden sheets after it are not read).
+    Python unzips one workbook at a time; the sheet's and the shared strings' XML are
+    parsed by Spark.  Header on ``header_row`` (the first row holds a merged title),
+    first sheet in workbook order (hidden sheets after it are not read).  Rows
+    without any value are skipped; columns are bound by header name.
     """
     from tallyhouse.session import ship_package
     ship_package(files.sparkSession)
     extra = _carry(files)
+    keep = ["file_name", *extra]
 
-    def parse(batches):
+    def unzip(batches):
+        import pandas as pd
         for pdf in batches:
             for i in range(len(pdf)):
-                rows = workbook.product_rows(bytes(pdf["content"].iloc[i]),
-                                             pdf["file_name"].iloc[i], header_row, sheet)
-                yield rows.assign(**{c: pdf[c].iloc[i] for c in extra})
-
-    schema = _PRODUCT_OUT + "".join(f", {c} string" for c in extra)
-    rows = files.select("file_name", "content", *extra).mapInPandas(parse, schema)
-    return rows.select("sku", "product_name", "category",
-                       F.col("unit_cost").cast("decimal(12,2)").alias("unit_cost"),
-                       F.col("unit_price").cast("decimal(12,2)").alias("unit_price"),
-                       "source_file", *extra)
+                xml, strings = workbook.sheet_parts(bytes(pdf["content"].iloc[i]), sheet)
+                yield pd.DataFrame([[*(pdf[c].iloc[i] for c in keep), xml, strings]],
+                                   columns=[*keep, "xml", "strings"])
+
+    schema = "".join(f"{c} string, " for c in keep) + "xml string, strings string"
+    options = {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}
+    books = files.select("content", *keep).mapInPandas(unzip, schema).select(
+        F.col("file_name").alias("source_file"), *extra,
+        F.from_xml("xml", _SHEET, options)["sheetData"]["row"].alias("rows"),
+        F.from_xml("strings", _STRINGS, options)["si"].alias("strings"))
+
+    def value(c: Column) -> Column:
+        text = F.when(c["_t"] == "s", _rich(F.get(F.col("strings"), c["v"].cast("int")))) \
+            .when(c["_t"] == "inlineStr", _rich(c["is"])).otherwise(c["v"])
+        return F.nullif(text, F.lit(""))
+
+    def letters(c: Column) -> Column:
+        return F.regexp_extract(c["_r"], "^[A-Z]+", 0)
+
+    def cell(row: Column, letter: Column) -> Column:
+        return value(F.get(F.filter(row["c"], lambda c: letters(c) == letter), F.lit(0)))
+
+    head = F.get(F.filter("rows", lambda r: r["_r"] == header_row), F.lit(0))["c"]
+    placed = books.withColumn("head", head).select(
+        "source_file", *extra, "strings",
+        *[letters(F.get(F.filter("head", _named(value, header)), F.lit(0))).alias(f"at_{name}")
+          for header, name in PRODUCT_HEADERS.items()],
+        F.explode(F.filter("rows", lambda r: (r["_r"] > header_row)
+                           & F.exists(r["c"], lambda c: value(c).isNotNull()))).alias("row"))
+    cells = placed.select("source_file", *extra, *[cell(F.col("row"), F.col(f"at_{n}")).alias(n)
+                                                   for n in PRODUCT_HEADERS.values()])
+    whole = F.regexp_replace("sku", r"^(-?[0-9]+)\.0+$", "$1")     # a number in a text column
+    return cells.select(whole.alias("sku"), "product_name", "category",
+                        *[F.col(c).cast("double").cast("decimal(12,2)").alias(c) for c in ("unit_cost", "unit_price")],
+                        "source_file", *extra)
+
+
+def _named(value, header: str):
+    return lambda c: F.trim(value(c)) == header
 
 
 # --- S5: bank control seed ---------------------------------------------------

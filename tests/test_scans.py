@@ -207,3 +207,27 @@ def test_only_files_directly_in_a_source_folder_count(spark, tmp_path):
     assert [r.file_name for r in fs.read_files(spark, str(d), "pos").collect()] == ["now.csv"]
     assert fs.read_files(spark, str(d), "pos", nested=True).count() == 2
     assert fs.read_files(spark, str(d), "product").count() == 0
+
+
+def test_workbook_shared_and_rich_strings(spark, tmp_path):
+    import io
+    import zipfile
+    ns = workbook.NS["m"]
+    plain = zipfile.ZipFile(io.BytesIO(workbook.build_workbook("T", ["SKU"], [])))
+    strings = ["Title", "SKU", "Unit Price", "BB-DEC-0001", "Product Name"]
+    items = "".join(f"<si><t>{s}</t></si>" for s in strings) + \
+        '<si><r><t>Big </t></r><r><rPr><b/></rPr><t xml:space="preserve">lamp &amp; co </t></r></si>'
+    sheet = (f'<worksheet xmlns="{ns}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c></row>'
+             '<row r="2"><c r="B2" t="s"><v>1</v></c><c r="C2" t="s"><v>4</v></c><c r="AA2" t="s"><v>2</v></c></row>'
+             '<row r="3"><c r="B3" t="s"><v>3</v></c><c r="C3" t="s"><v>5</v></c><c r="AA3"><v>12.5</v></c></row>'
+             '<row r="4"><c r="B4"><v>77</v></c></row><row r="5"><c r="B5"/></row></sheetData></worksheet>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name in plain.namelist():
+            z.writestr(name, sheet if name == "xl/worksheets/sheet1.xml" else plain.read(name))
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}">{items}</sst>')
+    write(tmp_path / "raw/product_master.xlsx", out.getvalue())
+    rows = {r.sku: r for r in fs.scan(spark, str(tmp_path / "raw"), "product").collect()}
+    assert set(rows) == {"BB-DEC-0001", "77"}
+    assert rows["BB-DEC-0001"].product_name.split() == ["Big", "lamp", "&", "co"]
+    assert rows["BB-DEC-0001"].unit_price == Decimal("12.50") and rows["77"].category is None
