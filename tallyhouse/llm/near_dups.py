@@ -29,7 +29,6 @@ from tallyhouse.llm.components import components
 
 SHINGLE = 3
 SEED = 42
-HALVES, WIDTH = 2, 32        # segments and their bits; the distance is at most two
 DISTANCE = 2
 CROWD = 32
 _RUN = 1 << 16               # shingles that are counted at once

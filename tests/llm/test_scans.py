@@ -64,8 +64,8 @@ def test_secret_query_by_brute_force(spark):
             hashlib.sha256(joined.encode()).hexdigest()]
     for r in queries.op7_secret_scan(spark, SF_SMALL).collect():
         assert [r.n_assign, r.n_access, r.n_hex, r.base_sha256] == want[r.doc_id]
-        assert ",".join(s for s in r.spans.split(",") if not s.startswith("random")) == ",".join(
-            s for s in r.spans.split(",") if s and not s.startswith("random"))
+        fixed = ",".join(s for s in r.spans.split(",") if not s.startswith("random"))
+        assert hashlib.sha256(fixed.encode()).hexdigest() == r.base_sha256
 
 
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
