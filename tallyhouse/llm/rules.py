@@ -1,7 +1,7 @@
 """Quality rules: a threshold table compiled into one projection.
 
 Every measure is a built-in expression over the text's words and lines, so the
-whole table runs as one projection on the executors' JVM, without user functions
+whole table runs in one pass on the executors' JVM, without user functions
 and without a shuffle.
 """
 
@@ -90,22 +90,26 @@ def _repeated_words(words: Column) -> Column:
     return _let(words, of)
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Each measure of a text as an expression; null texts count as empty."""
-    text = F.coalesce(text, F.lit(""))
-    space = f"[{SPACE}]+"
-    words = F.filter(F.split(text, space), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+
+
+def lines_of(text: Column) -> Column:
+    """The lines that have a word."""
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
+
+
+def measures(text: Column, words: Column, lines: Column) -> dict[str, Column]:
+    """Each measure of a text as an expression."""
     size = lambda a: F.size(a).cast("bigint")
     return {
         "n_words": size(words),
-        "word_chars": F.length(F.regexp_replace(text, space, "")).cast("bigint"),
+        "word_chars": F.length(F.array_join(words, "")).cast("bigint"),
         "n_symbols": (F.octet_length(text) - F.octet_length(F.regexp_replace(text, f"[{SYMBOLS}]+", ""))).cast("bigint"),
-        "n_dup_lines": _let(lines, lambda x: size(x) - size(F.array_distinct(x))),
+        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"),
         "n_repeat_words": _repeated_words(words).cast("bigint"),
         "n_lines": size(lines),
-        "n_stop_words": size(F.filter(words, lambda w: F.array_contains(stop, F.lower(w)))),
+        "n_stop_words": size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))),
         # Words of three characters or more that have letters, none of them small.
         "n_shouted_words": size(F.filter(words, lambda w: (F.length(w) >= 3) & (w == F.upper(w)) & (w != F.lower(w)))),
     }
@@ -135,8 +139,13 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Null and empty texts have no words and fail the base check; other columns are
     ignored; repeated rows count each; an empty table gives none.
     """
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                           *[c.alias(n) for n, c in measures(F.col("text")).items()])
+    text = F.coalesce("text", F.lit(""))
+    # Words and lines are cut once: Spark keeps apart projections whose columns are
+    # dear and used several times.
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+                      words_of(text).alias("words"), lines_of(text).alias("lines"))
+    measured = cut.select("doc_id", *[c.alias(n) for n, c in measures(
+        F.col("text"), F.col("words"), F.col("lines")).items()])
     return measured.select("doc_id", *MEASURES, base_failed().alias("base_failed"),
                            (~base_failed() & verdict(rules)).alias("kept"))
 
