@@ -125,3 +125,26 @@ def test_vocabulary_is_the_most_frequent_words(spark):
             counts[w] = counts.get(w, 0) + 1
     want = sorted(counts, key=lambda w: (-counts[w], w))[:32]
     assert len(counts) > 8 * 34 and number == {w: k + 2 for k, w in enumerate(want)}
+
+
+def test_every_word_has_its_own_tokens(spark):
+    # Rare words are told apart, as targets and as neighbours.
+    common = " ".join(f"w{i}" for i in range(masked_lm.WORDS))
+    table = docs(spark, [common, common, "zebra zebu " + "x" * 300, "été 日本語"])
+    number, network = masked_lm.fit(table)
+    assert len(number.words) == masked_lm.WORDS - 2
+    rare = [b"zebra", b"zebu", "日本語".encode(), b"zebraa", b"\xff\x00", b"x" * 300]
+    spelled = [tuple(number.tokens([w])[0]) for w in rare]
+    assert len(set(spelled)) == len(rare) and all(min(t) >= masked_lm.WORDS for t in spelled)
+    text = {k: p for p, k in number.pieces.items()}
+    for w, t in zip(rare, spelled, strict=True):
+        assert b"".join(text[(k - masked_lm.WORDS) // 2] for k in t) == w and [k % 2 for k in t] == [0] * (len(t) - 1) + [1]
+    score = lambda t: masked_lm.pseudo_likelihood(masked_lm.split(t), number, network)
+    assert len({score(f"w1 {w} w2") for w in ("zebra", "zebu", "qqqq", "日本")}) == 4
+    assert score("w5 zebra w6") - score("w5 zebu w6") != score("zebra w5 w6") - score("zebu w5 w6")
+
+
+def test_the_rest_of_a_word_is_hidden():
+    ids, ends = np.array([10, 21, 22, 23, 30, 31]), np.array([1, 4, 4, 4, 5, 6])
+    assert masked_lm.places(ids, ends).tolist() == [[1, 1, 21, 22], [1, 10, 30, 31], [10, 21, 30, 31], [21, 22, 30, 31],
+                                                    [22, 23, 31, 1], [23, 30, 1, 1]]
