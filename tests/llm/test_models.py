@@ -148,3 +148,16 @@ def test_the_rest_of_a_word_is_hidden():
     ids, ends = np.array([10, 21, 22, 23, 30, 31]), np.array([1, 4, 4, 4, 5, 6])
     assert masked_lm.places(ids, ends).tolist() == [[1, 1, 21, 22], [1, 10, 30, 31], [10, 21, 30, 31], [21, 22, 30, 31],
                                                     [22, 23, 31, 1], [23, 30, 1, 1]]
+
+
+def test_every_place_is_a_target_once(spark):
+    for n in (0, 1, 20, 5000):
+        words = [b"w%d" % i for i in range(n)]
+        drawn = np.concatenate([masked_lm.round_places(words, n, k) for k in range(masked_lm.ROUNDS)])
+        assert sorted(drawn) == list(range(n))
+    # So in one short document every word is learnt as a left and as a right neighbour.
+    words = [f"v{i}" for i in range(60)]
+    number, network = masked_lm.fit(docs(spark, [" ".join(words)]))
+    ids = np.array([number.words[w.encode()] for w in words])
+    moved = (network.rows != masked_lm.Network.start().rows).any(axis=1)
+    assert moved[masked_lm.VOCABULARY + ids[:-1]].all() and moved[2 * masked_lm.VOCABULARY + ids[1:]].all()
