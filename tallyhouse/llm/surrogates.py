@@ -11,7 +11,7 @@ of the same type:
   never get the same surrogate.  Octets shift modulo 256; a valid card number
   gets a new check digit.
 * given names come from a list of the same gender and script; family names are
-  put together from syllables of the script.
+  put together from syllables of the script, one more every few attempts.
 
 One table has every distinct value of the corpus with its surrogate.  A surrogate
 that two values share, or that is itself a value of the corpus, is a collision:
@@ -22,6 +22,8 @@ letters), every mention of a value gets the same surrogate, in its own format.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +70,7 @@ _STARTS = (("(?=[A-Za-z0-9._%+-])", ("mail",)), ("(?=[0-9])", ("ip",)), (r"(?=\p
            ("(?=[0-9+(])", ("social", "phone", "card")), (r"(?=\p{Lu})", ("name",)))
 PATTERN = "|".join(f"{start}(?:{'|'.join(_FORMS[k] for k in kinds)})" for start, kinds in _STARTS)
 ROUNDS = 4
+LONGER = 3      # attempts after which made-up names get one more syllable
 
 
 def _let(value: Column, body) -> Column:
@@ -195,11 +198,12 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     draw = _digest(*seed, value)
     for (gender, script), names in GIVEN.items():
         listed = F.array(*map(F.lit, names))
-        out = out.when(kind == f"given-{gender}-{script}", _given(listed, draw, script))
+        out = out.when(kind == f"given-{gender}-{script}", _given(listed, draw, script, attempt))
     for script, syllables in SYLLABLES.items():
         both = F.array(*map(F.lit, GIVEN["f", script] + GIVEN["m", script]))
-        out = out.when(kind == f"given-n-{script}", _given(both, draw, script)) \
-            .when(kind == f"family-{script}", F.initcap(_syllables(script, draw, range(4))))
+        out = out.when(kind == f"given-n-{script}", _given(both, draw, script, attempt)) \
+            .when(kind == f"family-{script}", F.initcap(F.concat(_syllables(script, draw, range(4)),
+                                                                 _longer(script, draw, attempt))))
     return out.otherwise(value)
 
 
@@ -208,25 +212,35 @@ def _syllables(script: str, draw: Column, places: range) -> Column:
     return F.concat(*[F.element_at(listed, _number(draw, p, len(SYLLABLES[script])) + 1) for p in places])
 
 
-def _given(names: Column, draw: Column, script: str) -> Column:
+def _longer(script: str, draw: Column, attempt: Column) -> Column:
+    """One more syllable every ``LONGER`` attempts, so that free names never run out."""
+    listed = F.array(*map(F.lit, SYLLABLES[script]))
+    more = F.sequence(F.lit(0), (attempt / LONGER).cast("int"))
+    return F.array_join(F.transform(F.slice(more, F.lit(2), F.size(more)), lambda i: F.element_at(
+        listed, _number(_digest(draw, i.cast("string")), 0, len(SYLLABLES[script])) + 1)), "")
+
+
+def _given(names: Column, draw: Column, script: str, attempt: Column) -> Column:
     """A listed name and, as the lists are short, a second part after a hyphen."""
     return F.concat(F.element_at(names, _number(draw, 8, 65536) % F.size(names) + 1), F.lit("-"),
-                    F.initcap(_syllables(script, draw, range(9, 12))))
+                    F.initcap(F.concat(_syllables(script, draw, range(9, 12)), _longer(script, draw, attempt))))
 
 
 def surrogate_table(values: DataFrame, key: str, rounds: int = 32) -> DataFrame:
     """``kind, value, surrogate`` for the distinct (kind, value) rows of ``values``,
-    with no surrogate twice in a kind and none that is a value of its kind."""
+    with no surrogate twice in a kind and none that is a value of its kind.  Names
+    grow with the attempts, so all get one; a cipher keeps the length, so a value whose
+    forms are all taken (or that has nothing to shift) is an error after ``rounds``."""
     done, open_ = None, written(values.distinct().withColumn("attempt", F.lit(0)), "values")
     every = open_.select("kind", F.col("value").alias("surrogate"))
-    for _ in range(rounds):
+    made_up = F.col("kind").startswith("given") | F.col("kind").startswith("family")
+    norm = F.when(made_up, F.lower("surrogate")).otherwise(F.col("surrogate"))
+    for attempt in count(1):
         tried = written(open_.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)),
                         "surrogates")
-        norm = F.when(F.col("kind").startswith("given") | F.col("kind").startswith("family"), F.lower("surrogate")) \
-            .otherwise(F.col("surrogate"))
         free = tried.withColumn("surrogate", norm).join(every, ["kind", "surrogate"], "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", F.lower("surrogate").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+            free = free.join(done.select("kind", norm.alias("surrogate")), ["kind", "surrogate"], "left_anti")
         first = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value")
         kept = written(tried.join(first, ["kind", "value"], "left_semi").select("kind", "value", "surrogate"), "settled")
         done = kept if done is None else done.unionByName(kept)
@@ -234,7 +248,8 @@ def surrogate_table(values: DataFrame, key: str, rounds: int = 32) -> DataFrame:
             "kind", "value", (F.col("attempt") + 1).alias("attempt")), "values")
         if not open_.limit(1).count():
             return done
-    raise RuntimeError("no free surrogates are left for some values")
+        if attempt >= rounds and open_.where(~made_up).limit(1).count():
+            raise RuntimeError("no free surrogates are left for some values")
 
 
 def _in_form(kind: Column, form: Column, new: Column) -> Column:

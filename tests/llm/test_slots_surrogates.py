@@ -160,3 +160,23 @@ def test_surrogate_edges(spark):
     rows = surrogates.replace_entities(edge_docs(spark), "k").collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(TEXTS, key=str)
     assert surrogates.replace_entities(no_docs(spark), "k").count() == 0
+
+
+def test_more_names_than_short_surrogates(spark, monkeypatch):
+    # Two syllables a script give 16 names of four; 20 values need longer ones.
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: v[:2] for k, v in surrogates.SYLLABLES.items()})
+    values = spark.createDataFrame([(k, f"name{i}") for k in ("family-latin", "family-greek") for i in range(20)],
+                                   "kind string, value string")
+    rows = surrogates.surrogate_table(values, "k").collect()
+    assert len(rows) == 40 and len({(r.kind, r.surrogate) for r in rows}) == 40
+    assert max(len(r.surrogate) for r in rows if r.kind == "family-greek") > 8
+
+
+def test_settled_capitals_are_not_given_again(spark, monkeypatch):
+    # Account surrogates have capitals; an earlier round's must not be given a second time.
+    def short(kind, value, attempt, key):
+        return F.concat(F.lit("A"), (attempt / 2).cast("int").cast("string"))
+    monkeypatch.setattr(surrogates, "surrogate", short)
+    values = spark.createDataFrame([("account", f"X{i}") for i in range(3)], "kind string, value string")
+    rows = surrogates.surrogate_table(values, "k").collect()
+    assert sorted(r.surrogate for r in rows) == ["A0", "A1", "A2"]
