@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 from edges import edge_docs, no_docs
 from test_near_dups import naive_components, naive_fingerprint
-from test_scans import naive_base, naive_overlap
+from test_llm_scans import naive_base, naive_overlap
 
 import corpus_pipeline
 from edges import SF_SMALL
