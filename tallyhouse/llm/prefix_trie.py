@@ -369,10 +369,13 @@ def trie(turns: DataFrame, convs: DataFrame, run_bytes: int = RUN_BYTES) -> Data
                     lambda x: F.struct(x["path1"].alias("k1"), x["path2"].alias("k2"), F.lit(0).cast("long").alias("c"))),
     )).alias("x"), "n_leaves", "saved").groupBy("x.k1", "x.k2").agg(
         F.sum("x.c").alias("c"), F.sum("n_leaves").alias("l"), F.sum("saved").alias("s"))
-    root = convs.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")).where("n_convs > 0").crossJoin(
-        below.where("k1 = 0 and k2 = 0").agg(F.coalesce(F.sum("n_children"), F.lit(0)).alias("n_children"),
-                                             F.coalesce(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"),
-                                             F.coalesce(F.sum("saved"), F.lit(0)).alias("saved")))
+    counts = ["n_children", "n_leaves", "saved"]
+    root = convs.select(F.lit(1).cast("long").alias("n_convs"), "conv_id",
+                        *[F.lit(0).cast("long").alias(c) for c in counts]).unionByName(
+        below.where("k1 = 0 and k2 = 0").select(F.lit(0).cast("long").alias("n_convs"),
+                                                F.lit(None).cast("long").alias("conv_id"), *counts)).agg(
+        F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"),
+        *[F.sum(c).alias(c) for c in counts]).where("n_convs > 0").withColumn("n_leaves", F.greatest("n_leaves", F.lit(1)))
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
     root = root.select(zero.alias("k1"), zero.alias("k2"), none.alias("p1"), none.alias("p2"), zero.alias("depth"),
                        F.unhex(F.lit("")).alias("turn_id"), "n_convs", "conv_id", zero.alias("chars"), "n_children",

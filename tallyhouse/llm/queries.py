@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import (decontaminate, harmonic, idblocks, masked_lm, near_dups, prefix_trie, quality_model, rules,
-                            secret_scan, slots, surrogates)
+from tallyhouse.llm import (decontaminate, dual_tree, harmonic, idblocks, masked_lm, near_dups, prefix_trie, quality_model,
+                            rules, secret_scan, slots, surrogates)
 from tallyhouse.llm.common import long_id, table
 
 SURROGATE_KEY = "tallyhouse-surrogates-1"
@@ -74,6 +74,11 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idblocks.digests(idblocks.id_files(docs, harmonic.encode_with_end(ID_VOCABULARY)))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return dual_tree.search(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all conversations, rebuilt with shared heads."""
     turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
@@ -82,6 +87,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_surrogates, op2_quality, op3_pseudo_likelihood, op4_harmonic_packing, op5_near_duplicates, op6_virtual_slots,
-    op7_secret_scan, op8_decontamination, op9_quality_rules, op10_id_files, op13_prefix_trie)}
+    op7_secret_scan, op8_decontamination, op9_quality_rules, op10_id_files, op12_ranked_search,
+    op13_prefix_trie)}
 
-ORACLE_SQL: dict[str, str] = {"op8_decontamination": decontaminate.oracle_sql(), "op9_quality_rules": rules.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op8_decontamination": decontaminate.oracle_sql(), "op9_quality_rules": rules.oracle_sql(),
+                              "op12_ranked_search": dual_tree.oracle_sql()}
