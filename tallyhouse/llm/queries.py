@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import (decontaminate, dual_tree, harmonic, idblocks, masked_lm, near_dups, prefix_trie, quality_model,
-                            rules, secret_scan, slots, surrogates)
+                            rules, secret_scan, slots, surrogates, t_occurrence)
 from tallyhouse.llm.common import long_id, table
 
 SURROGATE_KEY = "tallyhouse-surrogates-1"
@@ -74,6 +74,11 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idblocks.digests(idblocks.id_files(docs, harmonic.encode_with_end(ID_VOCABULARY)))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and component of documents with similar sets."""
+    return t_occurrence.digests(t_occurrence.jaccard_classes(_documents(spark, sf_dir)))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return dual_tree.search(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -87,7 +92,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_surrogates, op2_quality, op3_pseudo_likelihood, op4_harmonic_packing, op5_near_duplicates, op6_virtual_slots,
-    op7_secret_scan, op8_decontamination, op9_quality_rules, op10_id_files, op12_ranked_search,
+    op7_secret_scan, op8_decontamination, op9_quality_rules, op10_id_files, op11_jaccard_join, op12_ranked_search,
     op13_prefix_trie)}
 
 ORACLE_SQL: dict[str, str] = {"op8_decontamination": decontaminate.oracle_sql(), "op9_quality_rules": rules.oracle_sql(),
