@@ -76,11 +76,12 @@ def linked(a: int, b: int, both: int, percent: int = PERCENT) -> bool:
 # --- shared shingles -------------------------------------------------------------
 
 _DEALT = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("key", pa.binary()),
-                    ("n", pa.int64()), ("vals", pa.binary()), ("keys", pa.binary()), ("sizes", pa.binary()),
-                    ("counts", pa.binary())])
-_DEALT_SQL = ("part int, doc_id long, text_key long, key binary, n long, vals binary, keys binary, sizes binary, "
-              "counts binary")
-_SHARED_SQL = "doc_id long, text_key long, key binary, n long, vals binary, freq binary"
+                    ("n", pa.int64()), ("target", pa.int32()), ("vals", pa.binary()), ("keys", pa.binary()),
+                    ("sizes", pa.binary()), ("counts", pa.binary())])
+_DEALT_SQL = ("part int, doc_id long, text_key long, key binary, n long, target int, vals binary, keys binary, "
+              "sizes binary, counts binary")
+_SHARED = pa.schema([*list(_DEALT)[1:], pa.field("freq", pa.binary())])
+_SHARED_SQL = _DEALT_SQL.removeprefix("part int, ") + ", freq binary"
 
 
 class _Dealer:
@@ -111,10 +112,9 @@ class _Dealer:
             yield from self.flush()
 
     def flush(self) -> Iterator[tuple]:
-        """Rows (part, doc_id, text_key, key, n, vals, keys, sizes, counts): of a bucket,
-        the lower bytes of the values of all sets that have some, set by set; of a value
-        that is frequent here, once with counts 0 (no set); and of a set, its frequent
-        values (vals) with its key."""
+        """Rows as in ``_DEALT``: of a bucket, the lower bytes of its ``n`` frequent values
+        and of the values of all sets that have some, set by set; and of the sets'
+        frequent values, a row for each target."""
         if not self.values:
             return
         values = np.concatenate(self.values)
@@ -126,8 +126,8 @@ class _Dealer:
         often[order] = np.repeat(count >= OFTEN, count)
         hot = values[order][starts[count >= OFTEN]]
         frequent = _stored(values[often], self._part(values[often]))
-        for d, at in _groups(doc[often]):
-            yield (d % self.buckets, None, None, self.keys[d], self.sizes[d], frequent[at].tobytes(), None, None, None)
+        for target, rows in _by_target(frequent, doc[often], self.keys, self.sizes, self.buckets):
+            yield (target, None, None, None, None, target, *rows[0])
         values, doc = values[~often], doc[~often]
         part, hot_part = self._part(values), self._part(hot)
         order = part.argsort(kind="stable")
@@ -137,21 +137,34 @@ class _Dealer:
             v, d = values[ends[b]:ends[b + 1]], doc[ends[b]:ends[b + 1]]
             h = hot[hot_part == b]
             if len(v) or len(h):
-                some, n = np.unique(d, return_counts=True)
-                yield (b, None, None, None, len(h), _low_bytes(np.concatenate([h, v])),
-                       b"".join(self.keys[k] for k in some.tolist()),
-                       np.array([self.sizes[k] for k in some.tolist()], dtype=np.int64).tobytes(),
-                       n.astype(np.int32).tobytes())
+                keys, sizes, counts = _sets_of(d, self.keys, self.sizes)
+                yield (b, None, None, None, len(h), None, _low_bytes(np.concatenate([h, v])), keys, sizes, counts)
         self.clear()
 
     def _part(self, values: np.ndarray) -> np.ndarray:
         return (values >> np.uint64(40)) * np.uint64(self.buckets) >> np.uint64(24)
 
 
-def _groups(sorted_ids: np.ndarray) -> Iterator[tuple[int, slice]]:
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(sorted_ids) != 0])) if len(sorted_ids) else []
-    for a, b in zip(starts, np.append(starts[1:], len(sorted_ids)) if len(sorted_ids) else [], strict=True):
-        yield int(sorted_ids[a]), slice(int(a), int(b))
+def _sets_of(d: np.ndarray, keys: list[bytes], sizes: list[int]) -> tuple[bytes, bytes, bytes]:
+    """Keys, sizes and numbers of values of the sets in an ascending array of sets."""
+    some, n = np.unique(d, return_counts=True)
+    return (b"".join(keys[k] for k in some.tolist()), np.array([sizes[k] for k in some.tolist()], dtype=np.int64).tobytes(),
+            n.astype(np.int32).tobytes())
+
+
+def _by_target(v: np.ndarray, d: np.ndarray, keys: list[bytes], sizes: list[int], targets: int,
+               *more: np.ndarray) -> Iterator[tuple[int, list]]:
+    """Values of sets (d), and whatever goes with them, dealt by the sets' keys:
+    (target, [(vals, keys, sizes, counts), *more])."""
+    if not len(v):
+        return
+    target = (np.frombuffer(b"".join(k[:4] for k in keys), dtype="<u4").astype(np.int64) * targets >> 32)[d]
+    order = np.lexsort((d, target))
+    v, d, target = v[order], d[order], target[order]
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(target) != 0]))
+    for a, b in zip(starts, np.append(starts[1:], len(v)), strict=True):
+        yield int(target[a]), [(v[a:b].tobytes(), *_sets_of(d[a:b], keys, sizes)),
+                               *(x[order][a:b].tobytes() for x in more)]
 
 
 def _low_bytes(values: np.ndarray) -> bytes:
@@ -181,7 +194,7 @@ def _deal_texts(buckets: int, size: int) -> Callable:
             for doc, text_key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 values = shingles(text.as_py(), size)
                 key = hashlib.md5(values.tobytes()).digest() if len(values) else None
-                rows.append((len(dealer.seen) % buckets, doc, text_key, key, len(values), None, None, None, None))
+                rows.append((len(dealer.seen) % buckets, doc, text_key, key, len(values), None, None, None, None, None))
                 if key:
                     for r in dealer.add(key, len(values), values):
                         rows.append(r)
@@ -205,9 +218,9 @@ def _deal_sets(buckets: int) -> Callable:
     return deal
 
 
-def _count_bucket(part: int, rows: list[tuple]) -> Iterator[tuple]:
-    """The shared values of each set in one bucket, with the number of sets that have
-    them (HOT: frequent in some chunk)."""
+def _count_bucket(part: int, rows: list[tuple], targets: int) -> Iterator[tuple]:
+    """The shared values of the sets in one bucket, with the number of sets that have
+    them (HOT: frequent in some chunk), a row for each target."""
     seen: set[bytes] = set()
     keys: list[bytes] = []
     sizes: list[int] = []
@@ -233,31 +246,29 @@ def _count_bucket(part: int, rows: list[tuple]) -> Iterator[tuple]:
     freq = np.repeat(np.where(np.isin(v[starts], np.concatenate(hot)), HOT, count), count)
     shared = freq > 1
     v, d, freq = v[shared], d[shared], freq[shared].astype(np.int32)
-    order = d.argsort(kind="stable")
-    v, d, freq = v[order], d[order], freq[order]
-    for k, at in _groups(d):
-        yield (None, None, keys[k], sizes[k], v[at].tobytes(), freq[at].tobytes())
-
-
-def _shared_values(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([*[_DEALT.field(c) for c in ("doc_id", "text_key", "key", "n", "vals")], ("freq", pa.binary())])
-    part, held = None, []
-    for b in batches:
-        out = []
-        for p, doc, text_key, key, n, vals, ks, ns, counts in zip(*(b.column(i).to_pylist() for i in range(9)), strict=True):
-            if ks is None:
-                # A document's own row, or a set's frequent values; buckets don't matter to them.
-                freq = None if vals is None else np.full(len(vals) // 8, HOT, dtype=np.int32).tobytes()
-                out.append((doc, text_key, key, n, vals, freq))
-                continue
-            if p != part:
-                if held:
-                    out += _count_bucket(part, held)
-                part, held = p, []
-            held.append((n, vals, ks, ns, counts))
-        yield _batch(out, schema)
-    if held:
-        yield _batch(list(_count_bucket(part, held)), schema)
+    for target, (sets, f) in _by_target(v, d, keys, sizes, targets, freq):
+        yield (None, None, None, None, target, *sets, f)
+
+
+def _shared_values(targets: int) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for b in batches:
+            out = []
+            for p, *row in zip(*(b.column(i).to_pylist() for i in range(10)), strict=True):
+                if row[6] is None or row[4] is not None:   # a document's own row, or frequent values: handed on
+                    out.append((*row, None))
+                    continue
+                if p != part:
+                    if held:
+                        out += _count_bucket(part, held, targets)
+                    part, held = p, []
+                held.append((row[3], *row[5:]))
+            yield _batch(out, _SHARED)
+        if held:
+            yield _batch(list(_count_bucket(part, held, targets)), _SHARED)
+
+    return run
 
 
 def _enough(percent: int) -> Callable:
@@ -265,40 +276,62 @@ def _enough(percent: int) -> Callable:
     many of the first of them a linked set may not miss all of."""
     schema = pa.schema([("key", pa.binary()), ("n", pa.int64()), ("vals", pa.binary()), ("few", pa.int32())])
 
-    def close(key: bytes, n: int, vals: list[bytes], freq: list[bytes]) -> list[tuple]:
-        v, at = np.unique(np.frombuffer(b"".join(vals), dtype=np.uint64), return_index=True)
-        least = least_shared(n, percent)
-        if len(v) < least:
-            return []
-        # Of a value that is listed twice (frequent in one chunk, not in another), both are HOT.
-        f = np.frombuffer(b"".join(freq), dtype=np.int32)[at]
-        return [(key, n, v[np.lexsort((v, f))].tobytes(), len(v) - least + 1)]
+    def close(number: dict[bytes, int], sizes: list[int], values: list, sets: list, freq: list) -> list[tuple]:
+        v, d, f = np.concatenate(values), np.concatenate(sets), np.concatenate(freq)
+        order = np.lexsort((v, d))
+        v, d, f = v[order], d[order], f[order]
+        # A value may be listed twice (frequent in one chunk, not in another); both are HOT.
+        once = np.concatenate([[True], (v[1:] != v[:-1]) | (d[1:] != d[:-1])])
+        v, d, f = v[once], d[once], f[once]
+        least = np.array([least_shared(n, percent) for n in sizes])
+        count = np.bincount(d, minlength=len(sizes))
+        enough = count >= least
+        v, f, d = v[enough[d]], f[enough[d]], d[enough[d]]
+        v = v[np.lexsort((v, f, d))]
+        keys, ends = list(number), np.cumsum(np.where(enough, count, 0))
+        return [(keys[k], sizes[k], v[ends[k] - count[k]:ends[k]].tobytes(), int(count[k] - least[k]) + 1)
+                for k in np.flatnonzero(enough).tolist()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n, vals, freq = None, 0, [], []
+        target, held = None, None
         for b in batches:
             out = []
-            for k, size, v, f in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if k != key:
-                    if key is not None:
-                        out += close(key, n, vals, freq)
-                    key, n, vals, freq = k, size, [], []
-                if not (vals and v == vals[-1]):           # the same frequent values, from another task's copy
-                    vals.append(v)
-                    freq.append(f)
+            for t, vals, ks, ns, counts, f in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+                if t != target:
+                    if held:
+                        out += close(*held)
+                    target, held, seen = t, ({}, [], [], [], []), set()
+                number, sizes, values, sets, freq = held
+                v, counts = np.frombuffer(vals, dtype=np.uint64), np.frombuffer(counts, dtype=np.int32)
+                keys = [ks[at:at + 16] for at in range(0, len(ks), 16)]
+                for k, n in zip(keys, np.frombuffer(ns, dtype=np.int64).tolist(), strict=True):
+                    if number.setdefault(k, len(number)) == len(sizes):
+                        sizes.append(n)
+                if f is None:                              # frequent values come again with each task's copy
+                    ends = np.cumsum(counts)
+                    new = np.ones(len(keys), dtype=bool)
+                    for i, k in enumerate(keys):
+                        mark = (k, hash(v[ends[i] - counts[i]:ends[i]].tobytes()))
+                        new[i] = mark not in seen
+                        seen.add(mark)
+                    v = v[np.repeat(new, counts)]
+                    keys, counts = [k for k, x in zip(keys, new.tolist(), strict=True) if x], counts[new]
+                values.append(v)
+                sets.append(np.repeat(np.array([number[k] for k in keys], dtype=np.int64), counts))
+                freq.append(np.full(len(v), HOT, dtype=np.int32) if f is None else np.frombuffer(f, dtype=np.int32))
             yield _batch(out, schema)
-        if key is not None:
-            yield _batch(close(key, n, vals, freq), schema)
+        if held:
+            yield _batch(close(*held), schema)
 
     return run
 
 
-def _candidates(dealt: DataFrame, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
-    counted = written(map_batches(dealt.repartition("part").sortWithinPartitions("part"), _shared_values, _SHARED_SQL,
-                                  rows=256), f"{name}-shared")
-    by_set = counted.where("vals is not null").select("key", "n", "vals", "freq").repartition("key") \
-        .sortWithinPartitions("key")
-    return counted, written(map_batches(by_set, _enough(percent), "key binary, n long, vals binary, few int", rows=2048),
+def _candidates(dealt: DataFrame, buckets: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    counted = written(map_batches(dealt.repartition("part").sortWithinPartitions("part"), _shared_values(buckets),
+                                  _SHARED_SQL, rows=256), f"{name}-shared")
+    by_set = counted.where("target is not null").select("target", "vals", "keys", "sizes", "counts", "freq") \
+        .repartition("target").sortWithinPartitions("target")
+    return counted, written(map_batches(by_set, _enough(percent), "key binary, n long, vals binary, few int", rows=64),
                             f"{name}-candidates")
 
 
@@ -311,11 +344,13 @@ def sets_and_candidates(docs: DataFrame, size: int = SHINGLE, percent: int = PER
     and ``key, n, vals, few`` of the distinct sets that may be linked with another."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    dealt = map_batches(rows, _deal_texts(_bucket_number(volume // 6), size), _DEALT_SQL)
-    counted, some = _candidates(dealt, percent, "texts")
+    buckets = _bucket_number(volume // 6)
+    counted, some = _candidates(map_batches(rows, _deal_texts(buckets, size), _DEALT_SQL), buckets, percent, "texts")
     left = some.agg(F.sum(F.octet_length("vals"))).first()[0] or 0
-    dealt = map_batches(some.select("key", "n", "vals"), _deal_sets(_bucket_number(left // 8)), _DEALT_SQL)
-    return counted.where("vals is null").select("doc_id", "text_key", "key", "n"), _candidates(dealt, percent, "sets")[1]
+    buckets = _bucket_number(left // 8)
+    dealt = map_batches(some.select("key", "n", "vals"), _deal_sets(buckets), _DEALT_SQL)
+    return counted.where("target is null").select("doc_id", "text_key", "key", "n"), \
+        _candidates(dealt, buckets, percent, "sets")[1]
 
 
 # --- T-occurrence search ----------------------------------------------------------
