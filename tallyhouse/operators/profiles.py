@@ -6,7 +6,7 @@ in :mod:`tallyhouse.sources.files`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -78,6 +78,16 @@ def missing_nights(stg_pos: DataFrame) -> DataFrame:
                     (span - F.col("nights_present")).cast("bigint").alias("missing_nights"))
 
 
+def absent_nights(stg_pos: DataFrame) -> DataFrame:
+    """F-7: every night without a file, between a store's first and last night.
+
+    Each night looks at the store's next one; only gaps are spread out, so the work
+    grows with the nights present and those missing, not with stores times dates."""
+    following = F.lead("night").over(Window.partitionBy("store_id").orderBy("night"))
+    gaps = store_nights(stg_pos).withColumn("next", following).where(F.datediff("next", "night") > 1)
+    return gaps.select("store_id", F.explode(F.sequence(F.date_add("night", 1), F.date_sub("next", 1))).alias("night"))
+
+
 def conflicting_costs(raw_products: DataFrame) -> DataFrame:
     """F-8 / A-14: SKUs (as landed) listed more than once, with their distinct costs."""
     g = raw_products.groupBy("sku").agg(

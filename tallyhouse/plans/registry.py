@@ -376,6 +376,19 @@ def q_missing_nights(m, spark, sf):
     return missing_nights(m.stg_pos)
 
 
+@register("absent_nights", r"""
+with n as (select distinct store_id, cast(nullif(regexp_extract(source_file, '(\d{4}-\d{2}-\d{2})', 1), '') as date) as night
+           from stg_pos),
+s as (select store_id, min(night) as first_night, max(night) as last_night from n where night is not null group by store_id),
+spine as (select store_id, cast(unnest(generate_series(first_night, last_night, interval '1' day)) as date) as night from s)
+select store_id, night from spine where not exists (
+  select 1 from n where n.store_id = spine.store_id and n.night = spine.night)""")
+def q_absent_nights(m, spark, sf):
+    """F-7: every missing (store, night)."""
+    from tallyhouse.operators.profiles import absent_nights
+    return absent_nights(m.stg_pos)
+
+
 @register("conflicting_costs", """
 select sku, cast(count(*) as bigint) as entries,
   cast(count(distinct cast(unit_cost as decimal(12,2))) as bigint) as distinct_costs,
@@ -411,7 +424,7 @@ def _nightly_gate(m):
 
 def _ledger(m, spark):
     """The gate's verdict on each night, and the ledger that publishing them wrote:
-    the last thirty nights are first recorded unverified, then replaced (K-5)."""
+    all nights are first recorded unverified, with other counts, then replaced (K-5)."""
     from pyspark.sql import functions as F
 
     from tallyhouse.session import scratch_path
@@ -422,8 +435,8 @@ def _ledger(m, spark):
     gate = spark.read.parquet(path)
     wh = mf.Warehouse(scratch_path(spark, "ledger"))
     nights = gate.select(F.lit(0).cast("bigint").alias("rows_loaded"), "status", "run_date")
-    last = nights.orderBy(F.desc("run_date")).limit(30)
-    pb.publish_all(spark, wh, last.withColumn("status", F.lit("unverified")))
+    pb.publish_all(spark, wh, nights.withColumn("status", F.lit("unverified")).withColumn(
+        "rows_loaded", F.lit(7).cast("bigint")))
     pb.publish_all(spark, wh, nights)
     return gate, pb.read_ledger(spark, wh)
 
@@ -457,6 +470,28 @@ def q_latest_publishes(m, spark, sf):
         gate.select("run_date", "failing_channels"), "run_date")
 
 
+@register("publish_probe", """
+with d as (select min(run_date) as run_date from nightly_gate union all select max(run_date) from nightly_gate
+           union all select date '1900-01-01')
+select run_date, exists (select 1 from nightly_gate g where g.run_date = d.run_date and g.status = 'published') as published
+from d""")
+def q_publish_probe(m, spark, sf):
+    """O-3: is a date published?  Asked of the first night, the last one and one that never ran."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import publish as pb
+    wh = mf.Warehouse(scratch_path(spark, "ledger"))
+    nights = _nightly_gate(m).select(F.lit(0).cast("bigint").alias("rows_loaded"), "status", "run_date")
+    pb.publish_all(spark, wh, nights)
+    ends = pb.read_ledger(spark, wh).agg(F.min("run_date"), F.max("run_date")).first()
+    asked = [*ends, dt.date(1900, 1, 1)]
+    return spark.createDataFrame([(d, pb.is_published(spark, wh, d)) for d in asked], "run_date date, published boolean")
+
+
 # --- file round trips (S1..S4, F-1, F-3, F-5) and the loader (K-1..K-3, S7, S8) --
 #
 # Each query writes the fixture's raw rows out in the messy landing format
@@ -535,8 +570,8 @@ select case when settlement_date < date '{DRIFT_DATE}' then 'landed' else 'renam
 from raw_amazon_settlements group by 1""")
 def q_settlement_layouts(m, spark, sf):
     """F-3: settlement files per header layout."""
-    from tallyhouse.sources.files import read_files, settlement_layouts
-    return settlement_layouts(read_files(spark, _landing_settlements(spark, m), "amazon", nested=True))
+    from tallyhouse.sources.files import Feed, settlement_layouts
+    return settlement_layouts(spark, Feed(_landing_settlements(spark, m), "amazon", nested=True))
 
 
 @register("csv_mixed_encoding", """
@@ -554,8 +589,8 @@ def q_non_utf8_files(m, spark, sf):
     """F-5: POS files that are not valid UTF-8 (the windows-1252 store)."""
     from pyspark.sql import functions as F
 
-    from tallyhouse.sources.files import non_utf8_files, read_files
-    return non_utf8_files(read_files(spark, _landing_pos(spark, m), "pos", nested=True)) \
+    from tallyhouse.sources.files import Feed, non_utf8_files
+    return non_utf8_files(spark, Feed(_landing_pos(spark, m), "pos", nested=True)) \
         .agg(F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
@@ -567,21 +602,64 @@ def q_workbook_roundtrip(m, spark, sf):
     return scan(spark, _landing_products(spark, m), "product", nested=True).drop("source_file")
 
 
-@register("load_idempotent", """
-select 'amazon_settlements' as table_name, cast(count(*) as bigint) as rows_visible,
-  cast(count(*) as bigint) as manifest_rows, cast(0 as bigint) as loaded_on_rerun from raw_amazon_settlements
-union all select 'pos_transactions', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_pos_transactions
-union all select 'product_master', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_product_master
-union all select 'shopify_orders', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_shopify_orders""")
-def q_load_idempotent(m, spark, sf):
-    """K-1..K-3, S7, S8: land all four written feeds with a crash before the
-    POS commit, rerun, and rerun again; visible rows and manifest counts must
-    equal one clean load, and the last rerun must load nothing."""
+# The landed columns of each table (all but the file's name).
+LANDED = {
+    "shopify_orders": ("order_id", "created_at", "sku", "quantity", "price", "record_type", "refund_amount"),
+    "amazon_settlements": ("amazon_order_id", "sku", "quantity", "gross_amount", "fee_amount", "net_amount", "currency",
+                           "settlement_date"),
+    "pos_transactions": ("store_id", "txn_timestamp", "sku", "quantity", "amount", "txn_type"),
+    "product_master": ("sku", "product_name", "category", "unit_cost", "unit_price")}
+TIMES = ("created_at", "txn_timestamp")
+
+
+def _checksum(table: str):
+    """A sum over rows of a hash of all landed columns: the same in any order."""
+    from pyspark.sql import functions as F
+    cells = [F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c in TIMES else F.col(c).cast("string"), F.lit("~"))
+             for c in LANDED[table]]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cells).cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def _checksum_sql(table: str) -> str:
+    cells = ", ".join(f"coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), '~')" if c in TIMES
+                      else f"coalesce(cast({c} as varchar), '~')" for c in LANDED[table])
+    return f"cast(sum(('0x' || substr(md5(concat_ws('|', {cells})), 1, 8))::bigint) as bigint)"
+
+
+def _loaded_sql(rerun: str, tables=tuple(LANDED)) -> str:
+    return " union all ".join(
+        f"select '{t}' as table_name, cast(count(*) as bigint) as rows_visible, cast(count(*) as bigint) as manifest_rows, "
+        f"{_checksum_sql(t)} as checksum, cast(0 as bigint) as {rerun} from raw_{t}" for t in tables)
+
+
+def _loaded(spark, wh, rerun: str, again: dict):
+    """Visible rows, manifest rows and checksum of each landed table, and what a rerun
+    loaded (rows by table)."""
     from functools import reduce
 
     from pyspark.sql import DataFrame
     from pyspark.sql import functions as F
 
+    from tallyhouse.sources import manifest as mf
+    table_of = F.create_map(*[F.lit(x) for kv in mf.RAW_TABLES.items() for x in kv])
+    zero = F.lit(0).cast("bigint")
+    parts = [mf.loaded_files(spark, wh).select(
+        F.element_at(table_of, F.col("source_system")).alias("table_name"), zero.alias("rows_visible"),
+        F.col("rows_loaded").alias("manifest_rows"), zero.alias("checksum"))]
+    parts += [mf.read_raw(spark, wh, t).select(F.lit(t).alias("table_name"), F.lit(1).cast("bigint").alias("rows_visible"),
+                                               zero.alias("manifest_rows"), _checksum(t).alias("checksum"))
+              for t in mf.RAW_TABLES.values()]
+    later = F.create_map(*[F.lit(x) for t in mf.RAW_TABLES.values() for x in (t, again.get(t, 0))])
+    sums = reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("rows_visible", "manifest_rows", "checksum")])
+    return sums.withColumn(rerun, F.element_at(later, F.col("table_name")).cast("bigint"))
+
+
+@register("load_idempotent", _loaded_sql("loaded_on_rerun"))
+def q_load_idempotent(m, spark, sf):
+    """K-1..K-3, S7, S8: land all four written feeds with a crash before the
+    POS commit, rerun, and rerun again; visible rows and manifest counts must
+    equal one clean load, and the last rerun must load nothing."""
     from tallyhouse.session import scratch_path
     from tallyhouse.sources import manifest as mf
     from tallyhouse.sources import writers as wr
@@ -598,42 +676,15 @@ def q_load_idempotent(m, spark, sf):
         pass
     mf.ingest(spark, wh, root, nested=True)                     # rerun after the crash
     rerun = mf.ingest(spark, wh, root, nested=True)             # must be a no-op
-    # visible rows and manifest rows per table, merged by a union + group-by
-    z = F.lit(0).cast("bigint")
-    parts = [mf.read_manifest(spark, wh).select(
-        F.element_at(F.create_map(*[F.lit(x) for kv in mf.RAW_TABLES.items() for x in kv]),
-                     F.col("source_system")).alias("table_name"),
-        z.alias("rows_visible"), F.col("rows_loaded").cast("bigint").alias("manifest_rows"))]
-    for table in mf.RAW_TABLES.values():
-        parts.append(mf.read_raw(spark, wh, table).select(
-            F.lit(table).alias("table_name"), F.lit(1).cast("bigint").alias("rows_visible"),
-            z.alias("manifest_rows")))
-    rerun_rows = F.create_map(*[F.lit(x) for t, st in
-                                ((mf.RAW_TABLES[s_], r) for s_, r in rerun.items())
-                                for x in (t, st["loaded_rows"])])
-    return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
-        F.sum("rows_visible").cast("bigint").alias("rows_visible"),
-        F.sum("manifest_rows").cast("bigint").alias("manifest_rows")).select(
-        "table_name", "rows_visible", "manifest_rows",
-        F.element_at(rerun_rows, F.col("table_name")).cast("bigint").alias("loaded_on_rerun"))
-
-
-@register("stream_drip", """
-select 'amazon_settlements' as table_name, cast(count(*) as bigint) as rows_visible,
-  cast(count(*) as bigint) as manifest_rows, cast(0 as bigint) as loaded_after_restart from raw_amazon_settlements
-union all select 'pos_transactions', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_pos_transactions
-union all select 'product_master', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_product_master
-union all select 'shopify_orders', cast(count(*) as bigint), cast(count(*) as bigint), 0 from raw_shopify_orders""")
+    return _loaded(spark, wh, "loaded_on_rerun", {mf.RAW_TABLES[n]: r["loaded_rows"] for n, r in rerun.items()})
+
+
+@register("stream_drip", _loaded_sql("loaded_after_restart"))
 def q_stream_drip(m, spark, sf):
     """ST-3: the written feeds landed by a file stream (availableNow, several
     micro-batches, foreachBatch -> exactly-once loader); then the stream is
     restarted from a *new* checkpoint, which re-offers every path, and the
     content-hash manifest must land nothing."""
-    from functools import reduce
-
-    from pyspark.sql import DataFrame
-    from pyspark.sql import functions as F
-
     from tallyhouse.session import scratch_path
     from tallyhouse.sources import manifest as mf
     from tallyhouse.sources import writers as wr
@@ -649,21 +700,35 @@ def q_stream_drip(m, spark, sf):
     after = {}
     for r in again:
         after[mf.RAW_TABLES[r["source"]]] = after.get(mf.RAW_TABLES[r["source"]], 0) + r["loaded_rows"]
-    z = F.lit(0).cast("bigint")
-    parts = [mf.read_manifest(spark, wh).select(
-        F.element_at(F.create_map(*[F.lit(x) for kv in mf.RAW_TABLES.items() for x in kv]),
-                     F.col("source_system")).alias("table_name"),
-        z.alias("rows_visible"), F.col("rows_loaded").cast("bigint").alias("manifest_rows"))]
-    for table in mf.RAW_TABLES.values():
-        parts.append(mf.read_raw(spark, wh, table).select(
-            F.lit(table).alias("table_name"), F.lit(1).cast("bigint").alias("rows_visible"),
-            z.alias("manifest_rows")))
-    restart = F.create_map(*[F.lit(x) for t in mf.RAW_TABLES.values() for x in (t, after.get(t, 0))])
-    return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(
-        F.sum("rows_visible").cast("bigint").alias("rows_visible"),
-        F.sum("manifest_rows").cast("bigint").alias("manifest_rows")).select(
-        "table_name", "rows_visible", "manifest_rows",
-        F.element_at(restart, F.col("table_name")).cast("bigint").alias("loaded_after_restart"))
+    return _loaded(spark, wh, "loaded_after_restart", after)
+
+
+@register("overlapping_loads", " union all ".join(
+    f"select '{t}' as table_name, cast(count(*) as bigint) as rows_visible, {_checksum_sql(t)} as checksum, "
+    f"{files} as files, 2 * {files} as manifest_rows from raw_{t}" for t, files in (
+        ("amazon_settlements", "cast(count(distinct settlement_date) as bigint)"),
+        ("pos_transactions", "cast(count(distinct store_id || strftime(txn_timestamp, '%Y-%m')) as bigint)"))))
+def q_overlapping_loads(m, spark, sf):
+    """K-1: a second loader lands the same files while the first one is between its
+    rows and its commit; each file counts once."""
+    from pyspark.sql import functions as F
+
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    rows = []
+    for source, root in (("amazon", _landing_settlements(spark, m)), ("pos", _landing_pos(spark, m))):
+        mf.load_source(spark, wh, root, source, nested=True, before_commit=lambda: mf.load_source(
+            spark, wh, root, source, nested=True))     # noqa: B023
+    for source in ("amazon", "pos"):
+        t = mf.RAW_TABLES[source]
+        of = F.col("source_system") == source
+        rows.append(mf.read_raw(spark, wh, t).agg(
+            F.count(F.lit(1)).alias("rows_visible"), F.sum(_checksum(t)).alias("checksum")).select(
+            F.lit(t).alias("table_name"), "rows_visible", "checksum",
+            F.lit(mf.loaded_files(spark, wh).where(of).count()).cast("bigint").alias("files"),
+            F.lit(mf.read_manifest(spark, wh).where(of).count()).cast("bigint").alias("manifest_rows")))
+    return rows[0].unionByName(rows[1])
 
 
 # --- jobs (D-1..D-7, K-7..K-9, S5, S10, C-16) and R-2 -----------------------------
@@ -724,6 +789,28 @@ def q_manifest_coverage(m, spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+@register("sense_report", """
+with f as (select cast(count(distinct settlement_date) as bigint) as n from raw_amazon_settlements),
+p as (select cast(count(distinct store_id || strftime(txn_timestamp, '%Y-%m')) as bigint) as n from raw_pos_transactions)
+select date '2001-08-01' as night, 'amazon' as source, n as files, 'present' as verdict, false as halts from f
+union all select date '2001-08-01', 'pos', n, 'present', false from p
+union all select date '2001-08-02', 'amazon', cast(0 as bigint), 'missing', true
+union all select date '2001-08-02', 'pos', n, 'present', true from p""")
+def q_sense_report(m, spark, sf):
+    """ST-4, C-9: two nights of landed files, the second one without settlements."""
+    import datetime as dt
+
+    from tallyhouse.plans.jobs import sense_report
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import writers as wr
+    root = scratch_path(spark, "nights")
+    wr.write_settlements(m.raw.amazon_settlements, f"{root}/2001-08-01/amazon", DRIFT_DATE)
+    for night in ("2001-08-01", "2001-08-02"):
+        wr.write_pos(spark, m.raw.pos_transactions, f"{root}/{night}/pos")
+    nights = spark.createDataFrame([(dt.date(2001, 8, 1),), (dt.date(2001, 8, 2),)], "night date")
+    return sense_report(spark, root, nights, ("amazon", "pos"), nested=True)
+
+
 @register("provenance", """
 select 'amazon_settlements' as table_name, cast(count(distinct settlement_date) as bigint) as files,
   cast(count(*) as bigint) as rows_landed, cast(0 as bigint) as files_that_differ from raw_amazon_settlements

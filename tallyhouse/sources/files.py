@@ -1,18 +1,20 @@
 """File-feed scans (S1..S7) and the file-level source profiles (F-1, F-3, F-5).
 
-Every feed is read once with the ``binaryFile`` source, which yields
-(path, length, modificationTime, content) per file on the executors.  The
-content hash (S7), the manifest anti-join (S8) and the parse all work on that
-one read, so a file's bytes cross the network once and nothing but counts ever
-reaches the driver.
-
-* order pages (S1): ``from_json`` with a superset schema (both discount shapes,
-  refund fields), ``explode`` of objects and line items;
-* settlement CSV (S2) and POS CSV (S3): records and fields are cut outside
-  quotes, so a quoted line feed or comma belongs to its field; each wanted
-  column's place is looked up once per file **by header name** -- so files with
-  either header, any width and column order, extra or missing columns land in
-  one shape, and a malformed record fails the job;
+A :class:`Feed` says where a source's files are; with ``chosen``, which of them are
+wanted (a table of files with their hashes, joined, so no list of paths is held on
+the driver) and, with ``since``, from which modification time on (pruned when
+files are listed).
+
+* order pages (S1): ``binaryFile`` and ``from_json`` with a superset schema (both
+  discount shapes, refund fields), ``explode`` of objects and line items;
+* settlement CSV (S2) and POS CSV (S3): Spark's ``text`` source, which splits files
+  of any size, in two passes.  The first keeps one row a file: its header, whether
+  it is valid UTF-8, whether a quoted field spans lines.  The second cuts each line
+  with ``from_csv`` and looks the wanted columns' places up in the file's header
+  **by name** -- so files with either header, any width and column order, extra or
+  missing columns land in one shape, and a malformed record fails the job.  Only
+  files with fields that span lines go through the multi-line ``csv`` source.  A
+  byte order mark is no part of a header;
 * POS encoding (S3): a file that is not valid UTF-8 is decoded as windows-1252;
 * workbooks (S4): unzipped one at a time in ``mapInPandas``, the sheet parsed by
   ``from_xml``, header on row 2 of the first sheet.
@@ -20,10 +22,13 @@ reaches the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.session import scratch_path
 from tallyhouse.sources import workbook
 
 # --- listing and hashing (S6, S7) -------------------------------------------
@@ -41,30 +46,81 @@ NESTED_PRODUCT = "product_master*.xlsx"
 SOURCE_ORDER = ("shopify", "amazon", "pos", "product")
 
 
-def read_files(spark: SparkSession, root: str, source: str, nested: bool = False) -> DataFrame:
-    """S6: the files of one source as (path, file_name, length, content).
+@dataclass(frozen=True)
+class Feed:
+    """S6: the files of one source under ``root``.
 
-    Only files directly in the source's folder count, unless ``nested``.  An
-    absent folder yields an empty frame (a missing source is sensed and reported
-    by the job, not raised by the scan).
+    Only files directly in the source's folder count, unless ``nested``.  ``everywhere``
+    takes the source's file pattern in any folder (for a stream's landing root, with
+    ``chosen``).  An absent folder has no files (a missing source is sensed and
+    reported by the job, not raised by the scan).
     """
-    sub, pattern = SOURCE_GLOBS[source]
-    base = root.rstrip("/") + (f"/{sub}" if sub else "")
-    reader = spark.read.format("binaryFile")
-    if nested and sub:
-        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        target = base
-    else:
-        target = f"{base}/{NESTED_PRODUCT if nested else pattern}"
-    try:
-        df = reader.load(target)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        schema = "path string, modificationTime timestamp, length bigint, content binary"
-        df = spark.createDataFrame([], schema)
-    return df.select("path", basename(F.col("path")).alias("file_name"), "length",
-                     "modificationTime", "content")
+
+    root: str
+    source: str
+    nested: bool = False
+    everywhere: bool = False
+    since: str | None = None            # a UTC time, exclusive
+    chosen: DataFrame | None = None     # key, file_hash
+
+    def _load(self, spark: SparkSession, form: str, schema: str, options: dict | None = None) -> DataFrame:
+        sub, pattern = SOURCE_GLOBS[self.source]
+        pattern = NESTED_PRODUCT if self.nested and not sub else pattern
+        base = self.root.rstrip("/") + (f"/{sub}" if sub else "")
+        reader = spark.read.format(form).options(**(options or {}))
+        if form not in ("binaryFile", "text"):
+            reader = reader.schema(schema)
+        if self.since is not None:
+            reader = reader.option("modifiedAfter", self.since).option("timeZone", "UTC")
+        if self.everywhere or (self.nested and sub):
+            reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+            target = self.root if self.everywhere else base
+        else:
+            target = f"{base}/{pattern}"
+        found = [F.col("_metadata.file_path").alias("key")]
+        try:
+            df = reader.load(target)
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            df = spark.createDataFrame([], f"{schema}, _metadata struct<file_path: string, file_name: string, "
+                                           "file_size: bigint, file_block_start: bigint>")
+        # A chosen file is read only as long as it is the one that was hashed.
+        rows = df.select("*", *found, F.col("_metadata.file_size").alias("_size"),
+                         decoded_name(F.col("_metadata.file_name")).alias("file_name"),
+                         F.col("_metadata.file_block_start").alias("_block"),
+                         F.monotonically_increasing_id().alias("_at"))     # the order within a file's block
+        return rows if self.chosen is None else rows.join(self.chosen.select("key", "file_hash"), "key")
+
+    def files(self, spark: SparkSession) -> DataFrame:
+        """path, file_name, length, modificationTime, content, key (and file_hash)."""
+        df = self._load(spark, "binaryFile", BINARY_SCHEMA)
+        return df.withColumn("file_name", basename(F.col("path"))).drop("_size", "_block", "_at")
+
+    def lines(self, spark: SparkSession) -> DataFrame:
+        """The lines as they are (bytes): value, key, file_name, _size, _block, _at (and file_hash)."""
+        return self._load(spark, "text", "value string")
+
+    def records(self, spark: SparkSession, schema: str, encoding: str) -> DataFrame:
+        """Records by the multi-line CSV source: the schema's columns, key, file_name, ..."""
+        return self._load(spark, "csv", schema, {"multiLine": "true", "encoding": encoding, **CSV_OPTIONS})
+
+    def only(self, chosen: DataFrame | None, since: str | None) -> Feed:
+        return replace(self, chosen=chosen, since=since)
+
+
+BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+CSV_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
+
+
+def decoded_name(name: Column) -> Column:
+    """A file name as it is (``_metadata`` has it encoded as a URL)."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
+def read_files(spark: SparkSession, root: str, source: str, nested: bool = False) -> DataFrame:
+    """S6: the files of one source as (path, file_name, length, content, ...)."""
+    return Feed(root, source, nested).files(spark)
 
 
 def basename(path: Column) -> Column:
@@ -153,55 +209,87 @@ def discount_shapes(files: DataFrame) -> DataFrame:
 
 # --- CSV by header name (S2, S3) ---------------------------------------------
 
-# Cut at line feeds and commas outside quotes.  A field is matched with the comma
-# before it, so that empty fields are found, too.
-_RECORD = r'[^"\r\n]*+(?:"[^"]*+"[^"\r\n]*+)*+'
-_FIELD = r',([^",]*+(?:"[^"]*+"[^",]*+)*+)'
+def csv_verdicts(spark: SparkSession, feed: Feed) -> DataFrame:
+    """One row a file, written as a table: ``key, file_name, size, raw_header, header,
+    utf8, spans, width``.
+
+    ``header`` is the first line that is not blank, decoded; ``spans`` tells whether a
+    quoted field has line feeds; ``width`` is the header's number of fields.  A file
+    with an open quote fails the job.  Files without any line have no row.
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")    # for windows-1252
+    raw = F.col("value")
+    quotes = F.octet_length(raw) - F.octet_length(F.replace(raw, F.lit('"'), F.lit("")))
+    first = (F.col("_block") == 0) & (F.trim(raw) != "")
+    per_file = feed.lines(spark).groupBy("key").agg(
+        F.first("file_name").alias("file_name"), F.first("_size").alias("size"),
+        F.min_by(raw, F.when(first, F.col("_at"))).alias("raw_header"),
+        F.bool_and(F.is_valid_utf8(raw)).alias("utf8"), F.sum(quotes).alias("quotes"),
+        F.bool_or(quotes % 2 == 1).alias("spans"))
+    header = F.coalesce(decoded(F.col("raw_header"), F.col("utf8")), F.lit(""))
+    width = F.regexp_count(F.regexp_replace("header", '"[^"]*"', ""), F.lit(",")) + 1
+    checked = F.when(F.col("quotes") % 2 == 1, F.raise_error(F.concat(
+        F.lit("CSV file with an open quote: "), F.col("file_name")))).otherwise(header)
+    return _scratch(per_file.withColumn("header", checked).withColumn("width", width).drop("quotes"), "csv-headers")
+
 
+def _scratch(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _fields(record: Column) -> Column:
-    """The fields of a record, unquoted; empty ones are NULL."""
-    def plain(f: Column) -> Column:
-        bare = F.when(f.startswith('"') & f.endswith('"'),
-                      F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
-        return F.nullif(bare, F.lit(""))
 
-    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1)), plain)
+def decoded(raw: Column, utf8: Column) -> Column:
+    """A string's bytes as UTF-8 where the file is valid UTF-8, else as windows-1252."""
+    return F.when(utf8, raw).otherwise(F.decode(raw.cast("binary"), "windows-1252"))
 
 
-def _header(first_record: Column) -> Column:
-    return F.transform(_fields(first_record), lambda f: F.trim(f))
+def _cells(text: Column, width: int) -> Column:
+    """The fields of one record, as an array of ``width``; empty ones are NULL."""
+    record = F.from_csv(text, F.lit(_cell_schema(width)), {**CSV_OPTIONS, "maxColumns": str(width + 20_480)})
+    return F.array(*[F.nullif(record[f"c{k}"], F.lit("")) for k in range(width)])
 
 
-def csv_records(files: DataFrame, text: Column, names: dict[str, tuple[str, ...]]) -> DataFrame:
+def _cell_schema(width: int) -> str:
+    return ", ".join(f"c{k} string" for k in range(width))
+
+
+def csv_records(spark: SparkSession, feed: Feed, names: dict[str, tuple[str, ...]]) -> DataFrame:
     """One row per record of every file: ``source_file`` and a string column for
     each of ``names`` (column -> header names, the first that the file has).
 
-    The first record of each file is its header, whatever its width; blank lines
-    are skipped.  Short records end in NULLs.  A record with more fields than the
-    header, or a file with an open quote, fails the job.  ``_has_<column>`` says
-    whether the file has the column.
+    The first line of each file is its header, whatever its width; blank lines
+    are skipped (and a line of the first block that is the header again).  Short
+    records end in NULLs.  A record with more fields than the header, or a file with
+    an open quote, fails the job.  ``_has_<column>`` says whether the file has the
+    column.  The headers are read when this is called.
     """
-    extra = _carry(files)
-    blank = lambda r: F.trim(r) != ""
-    per_file = files.select(F.col("file_name").alias("source_file"), *extra, text.alias("_text")).select(
-        "source_file", *extra,
-        F.when(F.pmod(F.length(F.regexp_replace("_text", '[^"]', "")), F.lit(2)) == 1, F.raise_error(
-            F.concat(F.lit("CSV file with an open quote: "), F.col("source_file"))))
-        .otherwise(F.filter(F.regexp_extract_all("_text", F.lit(_RECORD), F.lit(0)), blank)).alias("_records"))
-    per_file = per_file.where(F.size("_records") > 0).withColumn("_header", _header(F.col("_records")[0]))
+    verdicts = csv_verdicts(spark, feed)
+    most, spanning = verdicts.agg(F.max("width"), F.collect_set(F.when(F.col("spans"), F.col("utf8")))).first()
+    width = (most or 0) + 1                     # one more, to see records that are too long
+    header = F.transform(_cells(F.col("header"), width), lambda f: F.trim(f))
     at = {c: F.greatest(F.lit(0).cast("bigint"), F.coalesce(*[
         F.nullif(F.array_position("_header", F.lit(h)), F.lit(0)) for h in heads], F.lit(0).cast("bigint")))
         for c, heads in names.items()}
-    placed = per_file.select("source_file", *extra, F.size("_header").alias("_width"),
-                             *[p.cast("int").alias(f"_at_{c}") for c, p in at.items()],
-                             F.explode(F.slice("_records", 2, F.size("_records"))).alias("_record"))
-    parsed = placed.withColumn("_fields", _fields(F.col("_record")))
-    whole = F.when(F.size("_fields") > F.col("_width"), F.raise_error(
-        F.concat(F.lit("CSV record with more fields than its header: "), F.col("source_file")))) \
-        .otherwise(F.col("_fields"))
-    return parsed.withColumn("_fields", whole).select(
-        "source_file", *extra, *[(F.col(f"_at_{c}") > 0).alias(f"_has_{c}") for c in names],
+    placed = verdicts.withColumn("_header", header).select(
+        "key", "raw_header", "_header", "utf8", "spans", "width", *[p.cast("int").alias(f"_at_{c}") for c, p in at.items()])
+    extra = ["file_hash"] if feed.chosen is not None else []
+    keep = ["file_name", *extra, "width", *[f"_at_{c}" for c in names]]
+    lines = feed.lines(spark).join(placed.where("not spans"), "key").where(
+        (F.trim("value") != "") & ~((F.col("_block") == 0) & (F.col("value") == F.col("raw_header"))))
+    rows = lines.select(*keep, _cells(decoded(F.col("value"), F.col("utf8")), width).alias("_fields"))
+    for utf8 in spanning:
+        whole = feed.records(spark, _cell_schema(width), "UTF-8" if utf8 else "windows-1252")
+        cells = F.array(*[F.nullif(F.col(f"c{k}"), F.lit("")) for k in range(width)])
+        rows = rows.unionByName(
+            whole.join(placed.where(F.col("spans") & (F.col("utf8") == F.lit(utf8))), "key")
+            .withColumn("_fields", cells).where(F.transform("_fields", lambda f: F.trim(f)) != F.col("_header"))
+            .select(*keep, "_fields"))
+    too_long = F.exists(F.slice("_fields", F.col("width") + 1, F.lit(width)), lambda f: f.isNotNull())
+    fields = F.when(too_long, F.raise_error(F.concat(
+        F.lit("CSV record with more fields than its header: "), F.col("file_name")))).otherwise(F.col("_fields"))
+    return rows.withColumn("_fields", fields).select(
+        F.col("file_name").alias("source_file"), *extra, *[(F.col(f"_at_{c}") > 0).alias(f"_has_{c}") for c in names],
         *[F.when(F.col(f"_at_{c}") > 0, F.get("_fields", F.col(f"_at_{c}") - 1)).alias(c) for c in names])
 
 
@@ -225,64 +313,54 @@ SETTLEMENT_COLUMNS = ("amazon_order_id", "sku", "quantity", "gross_amount", "fee
                       "net_amount", "currency", "settlement_date")
 
 
-def parse_settlements(files: DataFrame) -> DataFrame:
+def parse_settlements(spark: SparkSession, feed: Feed) -> DataFrame:
     """S2: settlement rows from CSV files in either header layout, bound by name.
 
     Every landed column is read under its own name or, in the newer layout, under
     the one in :data:`SETTLEMENT_RENAME`.  Columns a file lacks land as NULL (a
-    missing currency becomes USD in staging).
+    missing currency becomes USD in staging), but a file without order ids fails.
     """
     newer = {v: k for k, v in SETTLEMENT_RENAME.items()}
     names = {c: (c, *([newer[c]] if c in newer else [])) for c in SETTLEMENT_COLUMNS}
-    typed = csv_records(files, F.decode(F.col("content"), "UTF-8"), names)
+    typed = csv_records(spark, feed, names)
     return typed.select(
-        "amazon_order_id", "sku", F.col("quantity").cast("int").alias("quantity"),
+        required("amazon_order_id", "settlement").alias("amazon_order_id"), "sku",
+        F.col("quantity").cast("int").alias("quantity"),
         *[F.col(c).cast("decimal(12,2)").alias(c)
           for c in ("gross_amount", "fee_amount", "net_amount")],
         "currency", F.col("settlement_date").cast("date").alias("settlement_date"),
-        "source_file", *_carry(files))
+        "source_file", *_carry(typed))
 
 
-def settlement_layouts(files: DataFrame) -> DataFrame:
-    """F-3: settlement files per header layout (landed / renamed)."""
-    header = _header(F.regexp_extract(F.decode(F.col("content"), "UTF-8"), f"^{_RECORD}", 0))
-    layout = F.when(F.array_contains(header, "amazon_order_id"), F.lit("landed")) \
-        .when(F.array_contains(header, "order_id") & F.array_contains(header, "item_sku"),
+def settlement_layouts(spark: SparkSession, feed: Feed) -> DataFrame:
+    """F-3: settlement files per header layout (landed / renamed / unknown)."""
+    names = F.transform(F.split(F.coalesce("header", F.lit("")), ","), lambda f: F.trim(F.replace(f, F.lit('"'), F.lit(""))))
+    layout = F.when(F.array_contains(names, "amazon_order_id"), F.lit("landed")) \
+        .when(F.array_contains(names, "order_id") & F.array_contains(names, "item_sku"),
               F.lit("renamed")).otherwise(F.lit("unknown"))
+    files = feed.files(spark).select("key").join(csv_verdicts(spark, feed).select("key", "header"), "key", "left")
     return files.groupBy(layout.alias("layout")).agg(F.count(F.lit(1)).cast("bigint").alias("files"))
 
 
-def decode_utf8_or_cp1252(spark: SparkSession) -> Column:
-    """Text of ``content``: UTF-8 when valid, else windows-1252.
-
-    Spark 4 only accepts that charset under ``spark.sql.legacy.javaCharsets``,
-    which is a runtime setting; it is switched on for the decode.
-    """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    raw = F.col("content")
-    return F.when(F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")) \
-        .otherwise(F.decode(raw, "windows-1252"))
-
-
-def non_utf8_files(files: DataFrame) -> DataFrame:
+def non_utf8_files(spark: SparkSession, feed: Feed) -> DataFrame:
     """F-5: files whose bytes are not valid UTF-8."""
-    return files.where(~F.is_valid_utf8(F.col("content").cast("string"))).select("file_name", "length")
+    return csv_verdicts(spark, feed).where("not utf8").select("file_name", F.col("size").alias("length"))
 
 
 POS_COLUMNS = ("store_id", "txn_timestamp", "sku", "quantity", "amount", "txn_type")
 
 
-def parse_pos(spark: SparkSession, files: DataFrame) -> DataFrame:
+def parse_pos(spark: SparkSession, feed: Feed) -> DataFrame:
     """S3: POS rows; ``timestamp`` lands as ``txn_timestamp``; extra columns
     (such as ``note``) are ignored; negatives and txn_type are kept."""
     names = {c: ("timestamp" if c == "txn_timestamp" else c,) for c in POS_COLUMNS}
-    rec = csv_records(files, decode_utf8_or_cp1252(spark), names)
+    rec = csv_records(spark, feed, names)
     col = {c: required(c, "POS") for c in POS_COLUMNS}
     return rec.select(
         col["store_id"].alias("store_id"), col["txn_timestamp"].cast("timestamp").alias("txn_timestamp"),
         col["sku"].alias("sku"), col["quantity"].cast("int").alias("quantity"),
         col["amount"].cast("decimal(12,2)").alias("amount"), col["txn_type"].alias("txn_type"),
-        "source_file", *_carry(files))
+        "source_file", *_carry(rec))
 
 
 # --- S4: product workbooks ---------------------------------------------------
@@ -368,13 +446,13 @@ def read_bank_seed(spark: SparkSession, path: str) -> DataFrame:
 
 
 PARSERS = {
-    "shopify": lambda spark, files: parse_orders(files),
-    "amazon": lambda spark, files: parse_settlements(files),
+    "shopify": lambda spark, feed: parse_orders(feed.files(spark)),
+    "amazon": parse_settlements,
     "pos": parse_pos,
-    "product": lambda spark, files: parse_products(files),
+    "product": lambda spark, feed: parse_products(feed.files(spark)),
 }
 
 
 def scan(spark: SparkSession, root: str, source: str, nested: bool = False) -> DataFrame:
     """Read and parse every file of one source under ``root`` (no manifest)."""
-    return PARSERS[source](spark, read_files(spark, root, source, nested))
+    return PARSERS[source](spark, Feed(root, source, nested))

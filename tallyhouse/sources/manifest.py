@@ -4,28 +4,33 @@ Storage layout under a warehouse folder (any Hadoop-compatible path)::
 
     raw/<table>/batch_id=<id>/part-*.parquet     landed rows + file_hash
     raw/file_manifest/batch_id=<id>/part-*.parquet
+    raw/file_stats/part-*.parquet                path, length, time -> hash
 
 Commit protocol (no transactional table format needed):
 
-1. hash the source's files (a ``binaryFile`` read of which only path and hash are
-   kept);
+1. list the source's files; those whose path, length and modification time have a
+   known hash are not opened (unless ``verify``), the others are hashed;
 2. keep the first file per hash (sorted path) and drop hashes the manifest
    already records as ``loaded`` (a ``left_anti`` join) -- this is S8;
-3. open those files, parse them and append their rows under a fresh ``batch_id``;
+3. open those files, parse them and append their rows under a fresh ``batch_id``.
+   Which files these are stays a table that the scans join; none is listed by the
+   driver;
 4. append one manifest row per loaded file, zero-row files included.  **This
    append is the commit point.**
 
 Readers see only the partitions of batches that the manifest has, so rows
 written by a batch that died before step 4 are invisible and the file is simply
-loaded again by the next run.  Concurrent
-loaders of the same warehouse are not supported (as with one database
-transaction per file, serial runs are the contract).
+loaded again by the next run.
+
+Loaders may overlap.  If two commit the same content, the manifest has two rows of
+one hash; readers take the earlier one (by load time, then batch) and leave out the
+rows of the other, so every content counts once, whichever loader ends first.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -58,8 +63,7 @@ RAW_SCHEMAS = {
                       "unit_cost decimal(12,2), unit_price decimal(12,2), source_file string",
 }
 PROVENANCE = "file_hash string, loaded_at timestamp, batch_id string"
-# Files that one read opens; a load of more goes on with the next ones.
-OPEN_FILES = 50_000
+STATS_SCHEMA = "key string, length bigint, modified timestamp, file_hash string, hashed_at timestamp"
 
 
 class CrashForTest(RuntimeError):
@@ -80,6 +84,10 @@ class Warehouse:
     def mart(self, name: str, build_id: str) -> str:
         return f"{self.root.rstrip('/')}/marts/build_id={build_id}/{name}"
 
+    @property
+    def file_stats(self) -> str:
+        return self.raw("file_stats")
+
     @property
     def build_log(self) -> str:
         return f"{self.root.rstrip('/')}/marts/_builds"
@@ -131,6 +139,8 @@ def init_schema(spark: SparkSession, wh: Warehouse) -> None:
     if not _exists(spark, wh.manifest):
         _empty(spark, MANIFEST_SCHEMA).write.mode("append").partitionBy("batch_id") \
             .parquet(wh.manifest)
+    if not _exists(spark, wh.file_stats):
+        _empty(spark, STATS_SCHEMA).write.mode("append").parquet(wh.file_stats)
 
 
 def reset_schema(spark: SparkSession, wh: Warehouse) -> None:
@@ -145,9 +155,26 @@ def reset_schema(spark: SparkSession, wh: Warehouse) -> None:
 
 
 def read_manifest(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The manifest as it was written, overlapping loads included."""
     return spark.read.schema(MANIFEST_SCHEMA).parquet(wh.manifest)
 
 
+def _ranked(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    first = Window.partitionBy("file_hash").orderBy("loaded_at", "batch_id")
+    return read_manifest(spark, wh).where(F.col("status") == "loaded").withColumn("_rank", F.row_number().over(first))
+
+
+def loaded_files(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """K-1: one manifest row for each loaded content: of the batches that loaded it,
+    the earliest."""
+    return _ranked(spark, wh).where("_rank = 1").drop("_rank")
+
+
+def overlaps(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """``file_hash, batch_id`` of contents that an earlier batch has loaded, too."""
+    return _ranked(spark, wh).where("_rank > 1").select("file_hash", "batch_id")
+
+
 def committed_batches(spark: SparkSession, wh: Warehouse) -> list[str]:
     """The batches that a manifest row commits: one a load, so a short list."""
     return sorted(r.batch_id for r in read_manifest(spark, wh).where(F.col("status") == "loaded")
@@ -159,21 +186,22 @@ def read_raw(spark: SparkSession, wh: Warehouse, table: str,
     """Committed rows of one raw table (rows of uncommitted batches are invisible).
 
     The batch is the commit unit and the partition column, so committed rows are
-    found by pruning partitions, without a join.  By default every committed
-    version of a file counts (a corrected file re-sent under the same name is
-    appended, quirk Q-2).  With ``supersede_by_path`` only the newest committed
+    found by pruning partitions, without a join; only where loads have overlapped
+    are the later batch's rows of the shared files joined away.  By default every
+    committed version of a file counts (a corrected file re-sent under the same name
+    is appended, quirk Q-2).  With ``supersede_by_path`` only the newest committed
     version of each path is read, so a corrected file replaces the rows of the one
     it corrects.
     """
     rows = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}").parquet(wh.raw(table)) \
         .where(F.col("batch_id").isin(committed_batches(spark, wh)))
     if not supersede_by_path:
-        return rows
+        twice = overlaps(spark, wh)
+        return rows if twice.isEmpty() else rows.join(twice, ["file_hash", "batch_id"], "left_anti")
     # one manifest row per file version: the window is over the manifest,
     # never over data rows
     newest = Window.partitionBy("file_path").orderBy(F.col("loaded_at").desc(), F.col("batch_id").desc())
-    latest = read_manifest(spark, wh).where(F.col("status") == "loaded") \
-        .withColumn("_v", F.row_number().over(newest)).where("_v = 1")
+    latest = loaded_files(spark, wh).withColumn("_v", F.row_number().over(newest)).where("_v = 1")
     return rows.join(latest.select("file_hash", "batch_id"), ["file_hash", "batch_id"], "left_semi")
 
 
@@ -190,53 +218,79 @@ def raw_tables(spark: SparkSession, wh: Warehouse, bank_deposits: DataFrame | No
 
 
 def load_source(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str,
-                crash_before_commit: bool = False, nested: bool = False) -> dict:
+                crash_before_commit: bool = False, nested: bool = False, **options) -> dict:
     """K-2: land every not-yet-loaded file of one source; returns the counts."""
-    return load_files(spark, wh, fs.read_files(spark, raw_dir, source, nested), source,
-                      crash_before_commit)
+    return load_files(spark, wh, fs.Feed(raw_dir, source, nested), crash_before_commit=crash_before_commit, **options)
+
+
+STAT = ["key", "length", "modified"]
 
 
-def _open(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The files of these paths, hashed as they are opened."""
-    exact = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in paths]   # no glob signs
-    df = spark.read.format("binaryFile").load(exact)
-    return fs.with_hash(df.withColumn("file_name", fs.basename(F.col("path"))))
+def _earliest(files: DataFrame) -> str | None:
+    """Just before the earliest modification time of some files, for ``Feed.since``."""
+    return files.agg(F.date_format(F.min("modified") - F.expr("interval 1 second"),
+                                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
 
 
-def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: str,
-               crash_before_commit: bool = False) -> dict:
-    """Land the given files (path, content, ...) of one source, in two passes.
+def _hashes(spark: SparkSession, wh: Warehouse, feed: fs.Feed, offered: DataFrame | None, verify: bool) -> DataFrame:
+    """S6, S7: ``key, path, length, modified, file_hash`` of every file.
 
-    The first hashes every file and keeps paths and hashes alone, as a written
-    table; the manifest decides which are new.  The second opens the new files,
-    ``OPEN_FILES`` at a time.  File contents are neither cached nor shuffled; the
-    driver sees counts and, like Spark's own file listing, the new paths.  Used by
-    the batch loader and by the streaming drip's ``foreachBatch``.
+    Only files without a known hash for their path, length and time are opened.
+    """
+    def known() -> DataFrame:
+        return spark.read.schema(STATS_SCHEMA).parquet(wh.file_stats).groupBy(*STAT).agg(
+            F.max_by("file_hash", "hashed_at").alias("file_hash"))
+
+    listed = feed.files(spark) if offered is None else offered
+    stat = [F.col("key"), F.col("path"), F.col("length"), F.col("modificationTime").alias("modified")]
+    seen = _written(listed.select(*stat), "listed-files")
+    fresh = seen if verify else seen.join(known(), STAT, "left_anti")
+    since = _earliest(fresh)
+    if since is not None:
+        opened = feed.only(None, since).files(spark) if offered is None else offered
+        fs.with_hash(opened.select(*stat, "content")).drop("content").join(fresh.select(*STAT), STAT, "left_semi") \
+            .select(*STAT, "file_hash", F.current_timestamp().alias("hashed_at")) \
+            .write.mode("append").parquet(wh.file_stats)
+    return seen.join(known(), STAT)
+
+
+def load_files(spark: SparkSession, wh: Warehouse, feed: fs.Feed, offered: DataFrame | None = None,
+               crash_before_commit: bool = False, verify: bool = False,
+               before_commit: Callable[[], object] | None = None) -> dict:
+    """Land the not-yet-loaded files of a feed, or of those ``offered`` (path, content,
+    key, ..., such as a stream's batch of them).
+
+    ``verify`` hashes all files again, also those whose path, length and time are
+    known.  File contents are neither cached nor shuffled with few new files; the
+    driver sees counts alone.  ``before_commit`` is called when the rows are written.
     """
     init_schema(spark, wh)
+    source = feed.source
     table = RAW_TABLES[source]
     batch = uuid.uuid4().hex
-    hashed = _written(fs.with_hash(listed).select("path", "file_hash"), "hashed-files")
+    hashed = _hashes(spark, wh, feed, offered, verify)
     seen = hashed.count()
     loaded = read_manifest(spark, wh).where(F.col("status") == "loaded").select("file_hash")
-    firsts = _written(hashed.groupBy("file_hash").agg(F.min("path").alias("path"))
+    firsts = _written(hashed.groupBy("file_hash").agg(F.min(F.struct("path", *STAT)).alias("f")).select("file_hash", "f.*")
                       .join(loaded, "file_hash", "left_anti"), "new-files")
-    new = [r.path for r in firsts.select("path").orderBy("path").toLocalIterator()]
-    if not new:                                # nothing new: a rerun stops here
+    since = _earliest(firsts)
+    if since is None:                          # nothing new: a rerun stops here
         return {"source": source, "files_seen": int(seen), "loaded_files": 0,
                 "skipped_files": int(seen), "loaded_rows": 0}
-    for at in range(0, len(new), OPEN_FILES):
-        rows = fs.PARSERS[source](spark, _open(spark, new[at:at + OPEN_FILES]))
-        (rows.withColumn("loaded_at", F.current_timestamp())
-         .withColumn("batch_id", F.lit(batch))
-         .write.mode("append").partitionBy("batch_id").parquet(wh.raw(table)))
+    rows = fs.PARSERS[source](spark, feed.only(firsts.select("key", "file_hash"), since))
+    (rows.withColumn("loaded_at", F.current_timestamp())
+     .withColumn("batch_id", F.lit(batch))
+     .write.mode("append").partitionBy("batch_id").parquet(wh.raw(table)))
     if crash_before_commit:
         raise CrashForTest(f"simulated crash after writing batch {batch}")
+    still = feed.only(None, since).files(spark).select("key", "length", F.col("modificationTime").alias("modified"))
+    if not firsts.join(still, STAT, "left_anti").isEmpty():
+        raise RuntimeError(f"a file changed while batch {batch} was being loaded; load again")
+    if before_commit:
+        before_commit()
     written = spark.read.schema(f"{RAW_SCHEMAS[table]}, {PROVENANCE}") \
         .parquet(wh.raw(table)).where(F.col("batch_id") == batch)   # partition-pruned
-    counts = _written(written.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n")), "row-counts")
-    if counts.join(firsts, "file_hash", "left_anti").limit(1).count():
-        raise RuntimeError(f"a file changed while batch {batch} was being loaded; load again")
+    counts = written.groupBy("file_hash").agg(F.count(F.lit(1)).alias("n"))
     manifest_rows = (firsts.join(counts, "file_hash", "left")
                      .select("file_hash", F.lit(source).alias("source_system"),
                              F.col("path").alias("file_path"),
@@ -246,21 +300,22 @@ def load_files(spark: SparkSession, wh: Warehouse, listed: DataFrame, source: st
                              F.lit(batch).alias("batch_id")))
     # commit point
     manifest_rows.write.mode("append").partitionBy("batch_id").parquet(wh.manifest)
-    committed = read_manifest(spark, wh).where(F.col("batch_id") == batch)
-    loaded_files, loaded_rows = committed.agg(
+    committed = loaded_files(spark, wh).where(F.col("batch_id") == batch)
+    loaded_files_, loaded_rows = committed.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()
-    return {"source": source, "files_seen": int(seen), "loaded_files": int(loaded_files),
-            "skipped_files": int(seen - loaded_files), "loaded_rows": int(loaded_rows)}
+    return {"source": source, "files_seen": int(seen), "loaded_files": int(loaded_files_),
+            "skipped_files": int(seen - loaded_files_), "loaded_rows": int(loaded_rows)}
 
 
 def ingest(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str = "all",
-           reset: bool = False, nested: bool = False) -> dict:
-    """K-3: load all sources (or one), optionally after a reset."""
+           reset: bool = False, nested: bool = False, verify: bool = False) -> dict:
+    """K-3: load all sources (or one), optionally after a reset; ``verify`` as in
+    :func:`load_files`."""
     init_schema(spark, wh)
     if reset:
         reset_schema(spark, wh)
     sources = list(RAW_TABLES) if source == "all" else [source]
-    return {s: load_source(spark, wh, raw_dir, s, nested=nested) for s in sources}
+    return {s: load_source(spark, wh, raw_dir, s, nested=nested, verify=verify) for s in sources}
 
 
 def manifest_coverage(spark: SparkSession, wh: Warehouse, raw_dir: str, source: str,

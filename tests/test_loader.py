@@ -214,3 +214,36 @@ def test_failed_gate_keeps_the_previous_build_and_unchanged_inputs_are_not_rebui
     assert jobs.current_build(spark, wh) == first["build_id"]
     assert jobs.drop_old_builds(spark, wh) == 1
     assert jobs.Built(spark, wh).dim_date.count() > 0
+
+
+def test_overlapping_loads_count_once(spark, landing, wh):
+    def second():
+        assert mf.load_source(spark, wh, landing, "pos")["loaded_files"] == 2
+
+    mf.load_source(spark, wh, landing, "pos", before_commit=second)
+    assert mf.read_manifest(spark, wh).count() == 4 and mf.loaded_files(spark, wh).count() == 2
+    for supersede in (False, True):
+        assert mf.read_raw(spark, wh, "pos_transactions", supersede).count() == EXPECTED_ROWS["pos_transactions"]
+
+
+def test_rerun_opens_no_known_file_unless_verifying(spark, landing, wh, tmp_path):
+    import os
+    path = tmp_path / "landing/pos/store_01_2024-07-01.csv"
+    mf.load_source(spark, wh, landing, "pos")
+    stat = os.stat(path)
+    put(path, POS_01.replace("10.00", "11.00"))            # same length and time, other bytes
+    os.utime(path, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert mf.load_source(spark, wh, landing, "pos")["loaded_files"] == 0
+    assert mf.load_source(spark, wh, landing, "pos", verify=True)["loaded_files"] == 1
+    assert mf.load_source(spark, wh, landing, "pos")["loaded_files"] == 0
+
+
+def test_republishing_many_dates_is_one_append(spark, wh):
+    nights = spark.range(400).selectExpr("cast(date '2024-01-01' + cast(id as int) as date) as run_date",
+                                         "id as rows_loaded", "'unverified' as status")
+    pb.publish_all(spark, wh, nights)
+    pb.publish_all(spark, wh, nights.selectExpr("run_date", "rows_loaded + 1 as rows_loaded", "'published' as status"))
+    rows = pb.read_ledger(spark, wh).collect()
+    assert len(rows) == 400 and {r.status for r in rows} == {"published"}
+    assert sum(r.rows_loaded for r in rows) == sum(range(1, 401))
+    assert pb.read_entries(spark, wh).select("version").distinct().count() == 2

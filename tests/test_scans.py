@@ -72,8 +72,8 @@ def test_settlement_two_layouts(spark, tmp_path):
     write(d / "amazon/settlement_2024-08-19.csv",   # no currency column
           "order_id,item_sku,units,revenue,commission,net_proceeds,settle_date\n"
           "AMZ-15,BB-BAT-0006,2,4.00,0.60,3.40,2024-08-19\n")
-    files = fs.read_files(spark, str(d), "amazon")
-    raw = fs.parse_settlements(files)
+    feed = fs.Feed(str(d), "amazon")
+    raw = fs.parse_settlements(spark, feed)
     rows = {r.amazon_order_id: r for r in raw.collect()}
     assert set(rows) == {f"AMZ-{i}" for i in range(10, 16)}
     assert rows["AMZ-14"].sku == "BB-BAT-0005" and rows["AMZ-14"].quantity == 1
@@ -83,7 +83,7 @@ def test_settlement_two_layouts(spark, tmp_path):
     assert usd[11].net_amount_usd == Decimal("6.21")      # 8.50 * 0.73 = 6.205 -> 6.21
     assert usd[12].original_currency == "USD" and usd[13].original_currency == "USD"
     assert usd[15].original_currency == "USD"
-    layouts = {r.layout: r.files for r in fs.settlement_layouts(files).collect()}
+    layouts = {r.layout: r.files for r in fs.settlement_layouts(spark, feed).collect()}
     assert layouts == {"landed": 1, "renamed": 3}
 
 
@@ -102,9 +102,9 @@ def test_pos_mixed_encoding(spark, tmp_path):
     write(d / "pos/store_07_2024-07-02.csv",
           "store_id,timestamp,sku,quantity,amount,txn_type\n"
           "store_07,2024-07-02 00:40:00,BB-KIT-0004,1,4.00,sale\n")
-    files = fs.read_files(spark, str(d), "pos")
-    assert [r.file_name for r in fs.non_utf8_files(files).collect()] == ["store_11_2024-07-01.csv"]
-    raw = fs.parse_pos(spark, files)
+    feed = fs.Feed(str(d), "pos")
+    assert [r.file_name for r in fs.non_utf8_files(spark, feed).collect()] == ["store_11_2024-07-01.csv"]
+    raw = fs.parse_pos(spark, feed)
     rows = raw.collect()
     assert len(rows) == 6
     assert sum(1 for r in rows if r.txn_type == "training") == 1
@@ -120,7 +120,7 @@ def test_pos_missing_required_column_fails(spark, tmp_path):
     write(d / "pos/store_02_2024-07-01.csv", "store_id,timestamp,quantity,amount,txn_type\n"
           "store_02,2024-07-01 12:00:00,1,2.00,sale\n")
     with pytest.raises(Exception, match="without column 'sku'"):
-        fs.parse_pos(spark, fs.read_files(spark, str(d), "pos")).collect()
+        fs.parse_pos(spark, fs.Feed(str(d), "pos")).collect()
 
 
 def test_product_workbook(spark, tmp_path):
@@ -231,3 +231,65 @@ def test_workbook_shared_and_rich_strings(spark, tmp_path):
     assert set(rows) == {"BB-DEC-0001", "77"}
     assert rows["BB-DEC-0001"].product_name.split() == ["Big", "lamp", "&", "co"]
     assert rows["BB-DEC-0001"].unit_price == Decimal("12.50") and rows["77"].category is None
+
+
+SETTLED = ("order_id,item_sku,units,revenue,commission,net_proceeds,currency,settle_date\n"
+           "AMZ-{},BB-DEC-0001,2,20.00,3.00,17.00,USD,2024-07-08\n")
+
+
+@pytest.mark.parametrize("spans", [False, True])
+def test_byte_order_mark_keeps_ids(spark, tmp_path, spans):
+    d = tmp_path / "raw"
+    head, row = SETTLED.format(5).splitlines()
+    more = ',"two\nlines"' if spans else ","
+    write(d / "amazon/with mark+.csv", ("\ufeff" + head + ",note\n" + row + more + "\n").encode())
+    write(d / "pos/marked.csv", "\ufeffstore_id,timestamp,sku,quantity,amount,txn_type\n"
+          "store_01,2024-07-01 12:00:00,BB-DEC-0001,2,20.00,sale\n")
+    (r,) = fs.scan(spark, str(d), "amazon").collect()
+    assert (r.amazon_order_id, r.currency, r.source_file) == ("AMZ-5", "USD", "with mark+.csv")
+    assert [(x.layout, x.files) for x in fs.settlement_layouts(spark, fs.Feed(str(d), "amazon")).collect()] == [
+        ("renamed", 1)]
+    assert fs.scan(spark, str(d), "pos").first().store_id == "store_01"
+
+
+def test_quoted_line_feeds_in_both_encodings(spark, tmp_path):
+    d = tmp_path / "raw"
+    head = "note,store_id,timestamp,sku,quantity,amount,txn_type\n"
+    body = '"Chef\x92s\r\n\npick, ""rare""",store_1{0},2024-07-01 12:00:00,BB-DEC-0001,{0},20.00,sale\n'
+    write(d / "pos/odd.csv", (head + body.format(1) + body.format(2)).encode("latin-1"))
+    write(d / "pos/even.csv", head + body.format(3).replace("\x92", "’"))
+    write(d / "pos/plain.csv", (head + "Chef\x92s,store_14,2024-07-01 12:00:00,BB-DEC-0001,4,20.00,sale\n")
+          .encode("latin-1"))
+    rows = fs.scan(spark, str(d), "pos").collect()
+    assert sorted((r.store_id, r.quantity, r.source_file) for r in rows) == [
+        ("store_11", 1, "odd.csv"), ("store_12", 2, "odd.csv"), ("store_13", 3, "even.csv"), ("store_14", 4, "plain.csv")]
+
+
+def test_large_csv_files_are_split_and_not_read_as_binary(spark, tmp_path):
+    d = tmp_path / "raw"
+    head, row = SETTLED.format("{}").splitlines()
+    write(d / "amazon/large.csv", head + "\n" + "".join(row.format(k) + "\n" for k in range(4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32768")
+    try:
+        rows = fs.scan(spark, str(d), "amazon")
+        assert "binaryFile" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert fs.Feed(str(d), "amazon").lines(spark).rdd.getNumPartitions() > 4
+        assert sorted(int(r.amazon_order_id[4:]) for r in rows.collect()) == list(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_settlements_without_order_ids_fail(spark, tmp_path):
+    write(tmp_path / "raw/amazon/odd.csv", "id,sku\n1,BB-DEC-0001\n")
+    with pytest.raises(Exception, match="without column 'amazon_order_id'"):
+        fs.scan(spark, str(tmp_path / "raw"), "amazon").collect()
+
+
+def test_files_without_lines(spark, tmp_path):
+    write(tmp_path / "raw/amazon/empty.csv", "")             # Spark does not list files of zero bytes
+    write(tmp_path / "raw/amazon/blank.csv", "\n\n")
+    assert fs.scan(spark, str(tmp_path / "raw"), "amazon").count() == 0
+    layouts = fs.settlement_layouts(spark, fs.Feed(str(tmp_path / "raw"), "amazon"))
+    assert [(r.layout, r.files) for r in layouts.collect()] == [("unknown", 1)]
+    assert fs.scan(spark, str(tmp_path / "nothing"), "pos").count() == 0
