@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import map_batches, written
@@ -46,6 +46,11 @@ _HEAD = np.dtype([("low", "<u8"), ("n", "u1"), ("width", "u1"), ("odd", "u1"), (
 _BIT_LENGTHS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
+def _room(width: int) -> int:
+    """The bytes of the smallest number type that holds so many bits."""
+    return next(b for b in (1, 2, 4, 8) if width <= 8 * b)
+
+
 def _bit_length(x: np.ndarray) -> np.ndarray:
     return np.searchsorted(_BIT_LENGTHS, x, side="right").astype(np.uint8)
 
@@ -74,7 +79,9 @@ def _encode_chunk(v: np.ndarray, percentile: float) -> list[bytes]:
         packed: list[bytes] = [b""] * len(part)
         for w in np.unique(widths[widths > 0]):
             which = np.flatnonzero(widths == w)
-            raw = ((rest[which][:, :, None] >> np.arange(w, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+            room = _room(int(w))
+            raw = np.unpackbits(rest[which].astype(f"<u{room}").view(np.uint8).reshape(len(which), n, room), axis=2,
+                                count=int(w), bitorder="little")
             for k, row in zip(which, np.packbits(raw.reshape(len(which), -1), axis=1, bitorder="little"), strict=True):
                 packed[k] = row.tobytes()
         heads = np.zeros(len(part), dtype=_HEAD)
@@ -90,6 +97,11 @@ def _encode_chunk(v: np.ndarray, percentile: float) -> list[bytes]:
     return out
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+
+
 def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
     """The numbers of the blocks that start at ``starts`` in ``raw``."""
     data = np.frombuffer(raw, np.uint8)
@@ -106,19 +118,27 @@ def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
         for which in np.array_split(same, -(-len(same) // 512)):
             bits = np.unpackbits(data[body[which][:, None] + np.arange((n * w + 7) // 8)], axis=1,
                                  count=n * w, bitorder="little").reshape(len(which), n, w)
-            padded = np.zeros((len(which), n, 64), np.uint8)
+            room = _room(w)
+            padded = np.zeros((len(which), n, 8 * room), np.uint8)
             padded[:, :, :w] = bits
-            out[which, :n] = np.packbits(padded, axis=2, bitorder="little").view("<u8")[:, :, 0]
-    for k in np.flatnonzero(heads["odd"]):
-        odd, at = int(heads["odd"][k]), int(body[k] + sizes[k])
-        high = np.frombuffer(raw, "<u8", odd, at + odd) << np.uint64(widths[k])
-        out[k, data[at:at + odd]] |= high
+            out[which, :n] = np.packbits(padded, axis=2, bitorder="little").view(f"<u{room}")[:, :, 0]
+    odd = heads["odd"].astype(np.int64)
+    at = body + sizes
+    of = np.repeat(np.arange(len(starts)), odd)
+    high = np.frombuffer(data[_ranges(at + odd, 8 * odd)].tobytes(), "<u8") << widths[of].astype(np.uint64)
+    out[of, data[_ranges(at, odd)]] |= high
     out += heads["low"][:, None]
     return out.ravel() if (counts == BLOCK).all() else out[np.arange(BLOCK) < counts[:, None]]
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: without one it is on Spark's default file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    """The store and path of a folder; a path without a scheme is a mounted one."""
+    """The store and path of a folder; a path without a scheme is a local one."""
     if folder.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + folder[len("file:"):].lstrip("/")
     return pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
@@ -229,13 +249,15 @@ def write_files(docs: DataFrame, folder: str, encode: Callable[[], Callable[[str
     Tasks hold ranges of doc_ids and start a new file after ``file_ids`` ids.  A
     file's name has its attempt in it, and only files of finished tasks are in the
     list, so a task that is run again does no harm.  Ties of doc_id stand in the
-    order of their texts, rows without doc_id come first, null texts are empty, an
+    order of their texts' hashes, rows without doc_id come first, null texts are empty, an
     empty table gives no file.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # A doc_id of very many rows is parted by the hash of their texts.
+    by = ["doc_id", F.xxhash64("text")]
+    ordered = rows.repartitionByRange(n, *by).sortWithinPartitions(*by, "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = filesystem(folder)
@@ -295,7 +317,7 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
 
 def id_files(docs: DataFrame, encode: Callable[[], Callable[[str | None], bytes]]) -> DataFrame:
     """Write the documents' id files to the shared folder and read them back."""
-    folder = scratch_path(docs.sparkSession, "token-ids")
+    folder = qualified(docs.sparkSession, scratch_path(docs.sparkSession, "token-ids"))
     return read_files(write_files(docs, folder, encode), folder)
 
 

@@ -22,7 +22,6 @@ letters), every mention of a value gets the same surrogate, in its own format.
 
 from __future__ import annotations
 
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +55,8 @@ _GIVENS = "|".join(w for ws in GIVEN.values() for w in ws)
 _CAPITAL = r"[\p{Lu}][\p{Ll}]+(?:-[\p{Lu}][\p{Ll}]+)?"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _FORMS = {
-    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # One class for the whole domain: repeated groups would recurse, a level for each label.
+    "mail": r"(?<![A-Za-z0-9._%+-])(?=[._%+-]*+[A-Za-z0-9])[A-Za-z0-9._%+-]++@(?=[A-Za-z0-9])[A-Za-z0-9.-]*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z])(?!\.[0-9])",
     "account": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "social": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
@@ -71,6 +71,7 @@ _STARTS = (("(?=[A-Za-z0-9._%+-])", ("mail",)), ("(?=[0-9])", ("ip",)), (r"(?=\p
 PATTERN = "|".join(f"{start}(?:{'|'.join(_FORMS[k] for k in kinds)})" for start, kinds in _STARTS)
 ROUNDS = 4
 LONGER = 3      # attempts after which made-up names get one more syllable
+KEPT_LENGTH = 8     # attempts after which numbers and addresses grow, too
 
 
 def _let(value: Column, body) -> Column:
@@ -196,15 +197,22 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "card", card).when(kind == "account", shifted(F.lit(2), n - 1)) \
         .when(kind == "social", shifted(zero, n - 1))
     draw = _digest(*seed, value)
+    # When so many forms of the value's own length were taken: one more letter or digit an attempt.
+    more = F.sequence(F.lit(1), F.greatest(attempt - KEPT_LENGTH, F.lit(1)))
+    digits = F.array_join(F.transform(more, lambda i: _number(_digest(draw, i.cast("string")), 0, 10).cast("string")), "")
+    letters = F.translate(digits, "0123456789", "abcdefghij")
+    grown = _let(out, lambda o: F.when((attempt <= KEPT_LENGTH) | o.isNull(), o).when(kind == "mail", F.concat(letters, o))
+                 .otherwise(F.concat(o, F.when(kind == "ip", ".").otherwise(""), digits)))
+    name = F.when(F.lit(False), value)
     for (gender, script), names in GIVEN.items():
         listed = F.array(*map(F.lit, names))
-        out = out.when(kind == f"given-{gender}-{script}", _given(listed, draw, script, attempt))
+        name = name.when(kind == f"given-{gender}-{script}", _given(listed, draw, script, attempt))
     for script, syllables in SYLLABLES.items():
         both = F.array(*map(F.lit, GIVEN["f", script] + GIVEN["m", script]))
-        out = out.when(kind == f"given-n-{script}", _given(both, draw, script, attempt)) \
+        name = name.when(kind == f"given-n-{script}", _given(both, draw, script, attempt)) \
             .when(kind == f"family-{script}", F.initcap(F.concat(_syllables(script, draw, range(4)),
                                                                  _longer(script, draw, attempt))))
-    return out.otherwise(value)
+    return F.coalesce(grown, name, value)
 
 
 def _syllables(script: str, draw: Column, places: range) -> Column:
@@ -226,16 +234,16 @@ def _given(names: Column, draw: Column, script: str, attempt: Column) -> Column:
                     F.initcap(F.concat(_syllables(script, draw, range(9, 12)), _longer(script, draw, attempt))))
 
 
-def surrogate_table(values: DataFrame, key: str, rounds: int = 32) -> DataFrame:
+def surrogate_table(values: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` for the distinct (kind, value) rows of ``values``,
-    with no surrogate twice in a kind and none that is a value of its kind.  Names
-    grow with the attempts, so all get one; a cipher keeps the length, so a value whose
-    forms are all taken (or that has nothing to shift) is an error after ``rounds``."""
+    with no surrogate twice in a kind and none that is a value of its kind.  Surrogates
+    grow with the attempts, so all values get one, also where all forms of a value's
+    length are taken or it has nothing to shift."""
     done, open_ = None, written(values.distinct().withColumn("attempt", F.lit(0)), "values")
     every = open_.select("kind", F.col("value").alias("surrogate"))
     made_up = F.col("kind").startswith("given") | F.col("kind").startswith("family")
     norm = F.when(made_up, F.lower("surrogate")).otherwise(F.col("surrogate"))
-    for attempt in count(1):
+    while True:
         tried = written(open_.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)),
                         "surrogates")
         free = tried.withColumn("surrogate", norm).join(every, ["kind", "surrogate"], "left_anti")
@@ -248,8 +256,6 @@ def surrogate_table(values: DataFrame, key: str, rounds: int = 32) -> DataFrame:
             "kind", "value", (F.col("attempt") + 1).alias("attempt")), "values")
         if not open_.limit(1).count():
             return done
-        if attempt >= rounds and open_.where(~made_up).limit(1).count():
-            raise RuntimeError("no free surrogates are left for some values")
 
 
 def _in_form(kind: Column, form: Column, new: Column) -> Column:
@@ -262,12 +268,17 @@ def _in_form(kind: Column, form: Column, new: Column) -> Column:
             new.substr(F.length(F.regexp_replace(form.substr(F.lit(1), i + 1), f"[^{signs}]", "")), F.lit(1)))
             .otherwise(c)), "")
 
+    def fitting(signs: str) -> Column:
+        # A surrogate that has grown stands as it is.
+        own = F.length(F.regexp_replace(form, f"[^{signs}]", ""))
+        return F.when(F.length(new) == own, filled(signs)).otherwise(new)
+
     cased = F.array_join(F.zip_with(F.split(form, ""), F.split(new, ""),
                                     lambda a, b: F.when(a.rlike("[A-Z]"), F.upper(b)).otherwise(b)), "")
     return F.when(kind == "keep", form).when(kind == "mail", cased).when(kind == "ip", new) \
-        .when(kind == "account", filled("A-Z0-9")) \
+        .when(kind == "account", fitting("A-Z0-9")) \
         .when(kind.startswith("given") | kind.startswith("family"), F.when(form == F.upper(form), F.upper(new)).otherwise(new)) \
-        .otherwise(filled("0-9"))
+        .otherwise(fitting("0-9"))
 
 
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:

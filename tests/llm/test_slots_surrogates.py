@@ -180,3 +180,27 @@ def test_settled_capitals_are_not_given_again(spark, monkeypatch):
     values = spark.createDataFrame([("account", f"X{i}") for i in range(3)], "kind string, value string")
     rows = surrogates.surrogate_table(values, "k").collect()
     assert sorted(r.surrogate for r in rows) == ["A0", "A1", "A2"]
+
+
+def test_odd_mails_end_no_job(spark):
+    """Domains of very many labels, and mentions with nothing to replace."""
+    labels = "x@" + "a." * 50_000 + "com"
+    texts = ["see %@-.com now", "see %%@x.com now", labels, "x@" + "a" * 1_000_000, "@" * 100_000, "a.b@c..d.example.com",
+             "1" * 1_000_000, "+1 " * 100_000, "AB12 " + "CD34 " * 100_000, "Mr. " + "Aa" * 100_000, "1.2.3." * 100_000]
+    out = [r.text for r in surrogates.replace_entities(docs(spark, texts), "k").orderBy("doc_id").collect()]
+    assert out[:2] == texts[:2] and out[3] == texts[3]
+    assert out[2] != labels and len(out[2]) == len(labels) and out[2].endswith(".com")
+
+
+def test_surrogates_grow_when_their_length_is_used_up(spark):
+    mails = [f"{a}@{b}.de" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    values = spark.createDataFrame([("mail", m) for m in mails], "kind string, value string")
+    rows = surrogates.surrogate_table(values, "k").collect()
+    assert len(rows) == len({r.surrogate for r in rows}) == 676 and not {r.surrogate for r in rows} & set(mails)
+    assert all(r.surrogate.endswith(".de") for r in rows)
+    both = {r.value: r.surrogate for r in rows}
+    one = surrogates._in_form(F.lit("mail"), F.lit("A@B.de"), F.lit(both["a@b.de"]))
+    assert spark.range(1).select(one).first()[0].lower() == both["a@b.de"]
+    shown = spark.range(1).select(surrogates._in_form(F.lit("social"), F.lit("123-45-6789"), F.lit("9876543210")),
+                                  surrogates._in_form(F.lit("social"), F.lit("123-45-6789"), F.lit("987654321"))).first()
+    assert tuple(shown) == ("9876543210", "987-65-4321")
