@@ -67,3 +67,28 @@ def test_only_bounded_windows_are_unpartitioned(plans):
     # nightly gate: one running window over nights (bounded by the calendar)
     w = windows(plans["nightly_gate"])
     assert len(w) == 1 and w[0][0] == ""
+
+
+def test_checks_read_few_tables_and_use_the_counts_of_the_build(spark):
+    from tallyhouse.operators import checks as chk
+    from tallyhouse.plans import jobs, registry
+    from tallyhouse.plans.models import Models
+    from tallyhouse.sources.tables import adapter_raw
+    from pyspark.sql import functions as F
+    built = registry._built(Models(adapter_raw(spark, SF_SMALL)), spark)
+    assert built.metrics["fact_order_lines"]["rows"] == built.fact_order_lines.count()
+    assert set(built.metrics) == set(jobs.BUILT_TABLES) and built.metrics["pos_classified"]["line_type"] == 0
+    for df in (chk.check_results(chk.gate_checks(built, registry.DATA_CATEGORIES)), chk.model_assertions(built)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert 0 < plan.count("FileScan parquet") < 20
+    # Rows that break a rule are counted while they are written, and then found by the check.
+    lines = built.pos_classified.withColumn("line_type", F.when(F.col("quantity") > 1, "odd").otherwise(F.col("line_type")))
+    from tallyhouse.session import scratch_path
+    path = scratch_path(spark, "odd")
+    counted = jobs._write_all(spark, {"pos_classified": lines}, {"pos_classified": path})
+    assert counted["pos_classified"]["line_type"] == lines.where("line_type = 'odd'").count() > 0
+    built.metrics |= counted
+    built.pos_classified = spark.read.parquet(path)
+    failing = {r.check_name: r.failing_rows for r in
+               chk.check_results(chk.gate_checks(built, registry.DATA_CATEGORIES)).collect() if r.failing_rows}
+    assert failing == {"accepted_values:pos_classified.line_type": 1}
