@@ -44,14 +44,14 @@ class CachedTokenizer:
 
     ``cache_pieces`` bounds each of the cache's two generations: when the young
     one is full it becomes the old one, and pieces still in use move back.  The
-    strings of special tokens are ordinary text.
+    strings of added tokens (special ones, too) become these, as in the library.
     """
 
     def __init__(self, path: str, cache_pieces: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.cache_pieces = cache_pieces
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -98,6 +98,8 @@ class CachedTokenizer:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(a in text for a in self.added):             # the library looks for these first
+            return self.plain(text)
         cut = text.replace(" ", "\0 ").replace("\n", "\0\n")
         if "\0" not in text and not _LOOSE_STOP.search(text):
             cut = cut.replace(",", "\0,").replace(".", "\0.")

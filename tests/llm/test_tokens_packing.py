@@ -170,3 +170,13 @@ def test_id_files_edges(spark):
         assert r.start == at and r.n_tokens >= 1
         at += r.n_tokens
     assert idblocks.id_files(no_docs(spark), encode).count() == 0
+
+
+def test_ids_are_those_of_a_bare_library_tokenizer():
+    from tokenizers import Tokenizer
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        own, bare = CachedTokenizer(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
+        texts = [r["text"] or "" for r in small_texts()[:60]] + ODD
+        for text in [*texts, "<|endoftext|> hello", "a <|startoftext|>b", "x<|endoftext|>\n, y. " * 50, "<|ENDOFTEXT|> z"]:
+            want = np.array(bare.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            assert own.encode(text) == want, text[:60]
