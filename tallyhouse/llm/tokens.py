@@ -47,7 +47,7 @@ class CachedTokenizer:
     strings of added tokens (special ones, too) become these, as in the library.
     """
 
-    def __init__(self, path: str, cache_pieces: int = 300_000):
+    def __init__(self, path: str, cache_pieces: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
