@@ -26,7 +26,7 @@ _PIECE = re.compile(f"[ \n,.]?[{_EDGE}](?:[^ ]*[{_EDGE}])?|[,.]")
 # Letters (ASCII, Latin-1) behind a space or a line feed.
 _WORD = re.compile(r"[ \n][A-Za-zÀ-ÖØ-öø-ÿ]+")
 # A comma or full stop that is not behind a letter or digit.
-_LOOSE_STOP = re.compile(r"(?<![A-Za-zÀ-ÖØ-öø-ÿ0-9])[,.]")
+_LOOSE_STOP = re.compile(r"[,.](?<![A-Za-zÀ-ÖØ-öø-ÿ0-9][,.])")
 # Words on which the short way is tried before it is used.
 _PROBES = ("the", "Word", "QUALITY", "thandertion", "I", "été", "Straße", "ÑANDÚ")
 
