@@ -955,3 +955,55 @@ def q_fact_order_lines_small_buckets(m, spark, sf):
     from tallyhouse.operators.marts import ORDER_FACT_CONTENT
     return dense_key(m.order_lines, "order_line_key", "activity_date", F.expr(ORDER_FACT_CONTENT),
                      rows_per_bucket=16, chunk=2)
+
+
+# The month whose files come late, and the day whose orders do.
+LATE_MONTH, LATE_DAY = "1995-03", "1995-03-15"
+_FACT_CELLS = {
+    "fact_order_lines": ("order_line_key", "activity_date", "channel", "store_id", "product_key", "quantity", "gross_revenue"),
+    "fact_settlements": ("settlement_key", "order_id", "activity_date", "channel", "product_key", "quantity",
+                         "gross_amount_usd", "fee_amount_usd", "net_amount_usd", "original_currency")}
+
+
+@register("late_files_refresh", " union all ".join(f"""
+select '{t}' as fact, strftime(activity_date, '%Y-%m') as month, cast(count(*) as bigint) as n_rows,
+  cast(sum(('0x' || substr(md5(concat_ws('|', {", ".join(f"coalesce(cast({c} as varchar), '~')" for c in cells)})), 1, 8))::bigint)
+       as bigint) as checksum, strftime(activity_date, '%Y-%m') = '{LATE_MONTH}' as written_again
+from {t} group by 2""" for t, cells in _FACT_CELLS.items()))
+def q_late_files_refresh(m, spark, sf):
+    """K-8, D-3: facts in monthly parts.  All files but one month's settlements, one
+    store's and one day's orders, and the retried order lines are loaded and taken in;
+    then these come late.  Both facts by month, keys included, and whether the second
+    refresh wrote that month again."""
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+    from pyspark.sql import functions as F
+
+    from tallyhouse.plans import monthly
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources import manifest as mf
+    from tallyhouse.sources import writers as wr
+    orders, settlements, pos = m.raw.shopify_orders, m.raw.amazon_settlements, m.raw.pos_transactions
+    in_month = lambda c: F.date_format(c, "yyyy-MM") == LATE_MONTH
+    late_order = (F.col("source_file") == "orders_page_999.json") | (F.to_date("created_at") == F.lit(LATE_DAY).cast("date"))
+    late_pos = (F.col("store_id") == "store_01") & in_month("txn_timestamp")
+    wh = mf.Warehouse(scratch_path(spark, "warehouse"))
+    again: dict[str, list[str]] = {}
+    for late in (False, True):
+        root = scratch_path(spark, "landing-late" if late else "landing-early")
+        of = lambda c: c if late else ~c  # noqa: B023, E731
+        wr.write_order_pages(orders.where(of(late_order)), f"{root}/shopify", DRIFT_DATE)
+        wr.write_settlements(settlements.where(of(in_month("settlement_date"))), f"{root}/amazon", DRIFT_DATE)
+        wr.write_pos(spark, pos.where(of(late_pos)), f"{root}/pos")
+        for source in ("shopify", "amazon", "pos"):
+            mf.load_source(spark, wh, root, source, nested=True)
+        again = monthly.refresh(spark, wh)
+    out = []
+    for t, cells in _FACT_CELLS.items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cells])
+        out.append(monthly.fact(spark, wh, t).groupBy(monthly.month_of("activity_date").alias("month")).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("checksum"))
+            .select(F.lit(t).alias("fact"), "month", "n_rows", "checksum", F.col("month").isin(again[t]).alias("written_again")))
+    return reduce(DataFrame.unionByName, out)

@@ -92,6 +92,13 @@ class Warehouse:
     def build_log(self) -> str:
         return f"{self.root.rstrip('/')}/marts/_builds"
 
+    def parts(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/parts/{table}"
+
+    @property
+    def part_log(self) -> str:
+        return self.parts("_refreshes")
+
     @property
     def publish_log(self) -> str:
         return f"{self.root.rstrip('/')}/ops/publish_log"
