@@ -3,8 +3,10 @@
 Records are hashed into a fixed number of slots (thousands) by their doc_id; the
 bytes of each slot are summed, and a versioned map says which shard holds each
 slot.  A new version is the old map with few slots edited, so rebalancing and
-growing move no other record.  Everything runs as DataFrame and SQL functions;
-what is handled in one row is the slot table alone, whose size is fixed.
+growing move no other record.  Where many rows share an id, or have none, their
+slot is crowded; its rows are dealt to all slots, each by a hash of the whole
+record.  Everything runs as DataFrame and SQL functions; what is handled in one
+row is the slot table alone, whose size is fixed.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from tallyhouse.session import scratch_path
 
 SLOTS = 4096
 SHARDS = 24
+# A slot is crowded with more rows than this many times the mean, and this many more:
+# far beyond what distinct ids give.
+CROWD_TIMES, CROWD_MORE = 8, 64
 
 
 def slot_of(key: Column, slots: int = SLOTS) -> Column:
@@ -25,12 +30,23 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot`` of every row: size is the text's
-    UTF-8 bytes (null: none) plus 8 for the id."""
+    """``doc_id, size, text_crc32, virtual_slot, copy`` of every row: size is the text's
+    UTF-8 bytes (null: none) plus 8 for the id; ``copy`` tells equal rows apart once
+    the records are written."""
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
     return docs.select(doc_id.alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
                        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-                       slot_of(doc_id, slots).alias("virtual_slot"))
+                       slot_of(doc_id, slots).alias("virtual_slot"), F.monotonically_increasing_id().alias("copy"))
+
+
+def spread(rows: DataFrame, slots_used: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``rows`` (written records), those of crowded slots dealt to all slots."""
+    mean = F.sum("n").over(Window.partitionBy()) / slots
+    crowded = slots_used.withColumn("limit", CROWD_TIMES * mean + CROWD_MORE).where("n > limit") \
+        .select("virtual_slot", F.lit(True).alias("crowded"))
+    dealt = F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "copy"), F.lit(slots)).cast("int")
+    return rows.join(F.broadcast(crowded), "virtual_slot", "left").select(
+        "doc_id", "size", "text_crc32", F.when(F.col("crowded"), dealt).otherwise(F.col("virtual_slot")).alias("virtual_slot"))
 
 
 def slot_table(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -93,7 +109,7 @@ class MapStore:
         self.spark, self.folder = spark, folder
 
     def save(self, slot_map: DataFrame, version: int) -> DataFrame:
-        slot_map.coalesce(1).write.parquet(f"{self.folder}/version={version}")
+        slot_map.repartition(1).write.parquet(f"{self.folder}/version={version}")
         return self.load(version)
 
     def load(self, version: int) -> DataFrame:
@@ -119,18 +135,24 @@ def place(rows: DataFrame, slots_used: DataFrame, slot_map: DataFrame) -> DataFr
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """Every row of ``docs`` with its shard and place; byte sums are near equal.
+    """Every row of ``docs`` with its shard and place, and ``next_shard``, its shard in
+    the map's second version, which has one shard more; byte sums are near equal.
 
-    Rows of one doc_id share a slot, rows without one share a slot of their own;
-    null texts count as empty; other columns are ignored; an empty table gives none.
+    Rows of one doc_id share a slot unless it is crowded (as that of rows without an id
+    often is): then each row, equal ones too, has a slot of its own draw.  Null texts
+    count as empty; very long texts as one record, so a text longer than a shard's
+    share makes its shard larger; other columns are ignored; an empty table gives none.
     """
     spark = docs.sparkSession
     rows = written(records(docs, slots), "shard-records")
-    used = written(slot_table(rows, slots).coalesce(1), "slot-bytes")
+    rows = spread(rows, written(slot_table(rows, slots).repartition(1), "slot-rows"), slots)
+    used = written(slot_table(rows, slots).repartition(1), "slot-bytes")
     store = MapStore(spark, scratch_path(spark, "slot-map"))
-    return place(rows, used, store.save(first_map(used, shards, slots), 1))
+    first = store.save(first_map(used, shards, slots), 1)
+    second = store.save(grow(first, used), 2).select("virtual_slot", F.col("shard").alias("next_shard"))
+    return place(rows, used, first).join(F.broadcast(second), "virtual_slot")
 
 
 def digests(placed: DataFrame) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+                         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard")

@@ -2,9 +2,10 @@
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
+import pytest
 import xxhash
 from edges import TEXTS, docs, edge_docs, no_docs
 from pyspark.sql import functions as F
@@ -45,6 +46,27 @@ def test_shards_by_brute_force(spark):
     assert max(loads.values()) - min(loads.values()) <= 0.01 * min(loads.values())
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_are_spread(spark, shared):
+    table = spark.read.parquet(f"{SF_MID}/documents.parquet").select(
+        F.when(F.col("doc_id") % 3 == 0, F.lit(shared).cast("long")).otherwise(F.col("doc_id")).alias("doc_id"), "text")
+    copies = table.where("doc_id = 4").crossJoin(spark.range(3000)).select("doc_id", "text")      # equal rows
+    table = table.unionByName(copies)
+    rows = slots.assign_shards(table).collect()
+    loads, nexts, places = defaultdict(int), defaultdict(int), defaultdict(list)
+    for r in rows:
+        loads[r.shard] += r["size"]
+        nexts[r.next_shard] += r["size"]
+        places[r.shard].append(r.slot)
+        assert r.next_shard in (r.shard, 24)
+    assert len(rows) == table.count() and sorted(loads) == list(range(24)) and sorted(nexts) == list(range(25))
+    assert max(loads.values()) <= 1.01 * min(loads.values())
+    assert max(nexts.values()) < 1.15 * sum(nexts.values()) / 25
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    whole = table.select("doc_id", F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("c"))
+    assert Counter((r.doc_id, r.c) for r in whole.collect()) == Counter((r.doc_id, r.text_crc32) for r in rows)
+
+
 def test_growing_moves_slots_into_the_new_shard_alone(spark):
     table = spark.read.parquet(f"{SF_MID}/documents.parquet")
     rows = written(slots.records(table), "t")
