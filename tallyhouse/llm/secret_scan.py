@@ -8,9 +8,17 @@ ordinary text written in that alphabet:
   so its statistic follows a noncentral distribution whose centre grows with the
   length; a random string's is small.  The lower tail is the first p-value.
 * runs: changes between small letters, capitals, digits and signs.  Ordinary
-  names change rarely; the upper binomial tail is the second p-value.
-* lag-one serial correlation, and too even a spread, strike out sequences such as
-  alphabets, counters and repeated blocks (p-value 1).
+  names change rarely; the upper binomial tail is the second p-value.  Where the
+  encoding has one class alone the test says nothing and is left out.
+* lag-one serial correlation, of vowels and consonants: in words they alternate,
+  in a random string neighbours know nothing of each other.  The lower binomial
+  tail of the alternations among neighbouring letters is the third p-value; it is
+  left out where the alphabet's letters end at F.
+
+How often ordinary text repeats a character or changes class depends on the
+encoding, so each has its own rates.  Serial correlation of the codes beyond
+chance, and too even a spread, strike out sequences such as alphabets, counters
+and repeated blocks (p-value 1).
 
 Fisher's method joins the p-values.  The false-discovery rate is controlled by
 Benjamini and Hochberg's rule over the candidates of the whole table, apart for
@@ -43,17 +51,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-# Encodings: characters, alphabet size, coincidence rate of ordinary text in it.
+# Encodings: name, characters, alphabet size; in ordinary text written in it, the
+# coincidence rate, the rate of class changes and of vowel changes (None: no test).
 _ENCODINGS = (
-    ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 16, 0.1),
-    ("small", re.compile(r"[a-z]+|[A-Z]+"), 26, 0.055),
-    ("base32", re.compile(r"[A-Z2-7]+"), 32, 0.055),
-    ("base36", re.compile(r"[a-z0-9]+|[A-Z0-9]+"), 36, 0.055),
-    ("letters", re.compile(r"[A-Za-z]+"), 52, 0.05),
-    ("base62", re.compile(r"[A-Za-z0-9]+"), 62, 0.05),
-    ("base64", re.compile(r"[A-Za-z0-9+/_-]+"), 66, 0.05),
+    ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 16, 0.1, 0.2, None),
+    ("letters of one case", re.compile(r"[a-z]+|[A-Z]+"), 26, 0.06, None, 0.6),
+    ("base32", re.compile(r"[A-Z2-7]+"), 32, 0.055, 0.12, 0.6),
+    ("base36", re.compile(r"[a-z0-9]+|[A-Z0-9]+"), 36, 0.055, 0.2, 0.6),
+    ("letters", re.compile(r"[A-Za-z]+"), 52, 0.05, 0.3, 0.6),
+    ("base62", re.compile(r"[A-Za-z0-9]+"), 62, 0.05, 0.3, 0.6),
+    ("base64", re.compile(r"[A-Za-z0-9+/_-]+"), 66, 0.05, 0.3, 0.6),
 )
-CHANGE_RATE = 0.3      # changes of character class in ordinary names
+_VOWELS = frozenset("aeiouAEIOU")
 VETO = 1e-3            # level of the tests that strike out sequences
 FDR = 0.01
 LENGTHS = (20, 32, 64)  # where the classes of lengths begin
@@ -89,6 +98,12 @@ def _class(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
+def _fisher(ps: list[float]) -> float:
+    """Fisher's joint p-value of independent ones."""
+    half = -sum(math.log(max(p, 1e-30)) for p in ps)
+    return math.exp(-half) * sum(half ** i / math.factorial(i) for i in range(len(ps)))
+
+
 def random_p(candidate: str) -> float:
     """The joint p-value that the string is ordinary text; small: it looks random."""
     body = candidate.strip("=-_+/")
@@ -96,7 +111,7 @@ def random_p(candidate: str) -> float:
     counts = Counter(body)
     if n < LENGTHS[0] or body.isdigit() or sum(v for c, v in counts.items() if c.isalnum()) < 0.75 * n:
         return 1.0
-    size, rate = next(((a, r) for _, form, a, r in _ENCODINGS if form.fullmatch(body)), (66, 0.05))
+    _, _, size, rate, changing, alternating = next((e for e in _ENCODINGS if e[1].fullmatch(body)), _ENCODINGS[-1])
     chi = size * sum(v * v for v in counts.values()) / n - n
     if chi_squared_below(chi, size - 1) < VETO:
         return 1.0
@@ -105,15 +120,18 @@ def random_p(candidate: str) -> float:
     var = sum((x - mean) ** 2 for x in codes)
     if not var:
         return 1.0
-    r = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:], strict=False)) / var
+    pairs = list(zip(body, body[1:], strict=False))
+    r = sum((ord(a) - mean) * (ord(b) - mean) for a, b in pairs) / var
     if 2 * _normal(-abs(r * math.sqrt(n) + 1 / math.sqrt(n))) < VETO:
         return 1.0
-    uniform = max(chi_squared_below(chi, size - 1, n * (size * rate - 1)), 1e-30)
-    classes = [_class(c) for c in body]
-    runs = max(binomial_at_least(sum(a != b for a, b in zip(classes, classes[1:], strict=False)), n - 1, CHANGE_RATE),
-               1e-30)
-    half = -math.log(uniform) - math.log(runs)
-    return math.exp(-half) * (1 + half)
+    ps = [chi_squared_below(chi, size - 1, n * (size * rate - 1))]
+    if changing is not None:
+        ps.append(binomial_at_least(sum(_class(a) != _class(b) for a, b in pairs), n - 1, changing))
+    if alternating is not None:
+        letters = [(a in _VOWELS, b in _VOWELS) for a, b in pairs if a.isalpha() and b.isalpha()]
+        # at most k changes: at least m - k neighbours of one kind
+        ps.append(binomial_at_least(sum(a == b for a, b in letters), len(letters), 1 - alternating))
+    return _fisher(ps)
 
 
 def p_bin(p: float) -> int:

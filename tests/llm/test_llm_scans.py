@@ -83,6 +83,28 @@ def test_battery_tells_random_from_text():
         assert secret_scan.random_p(text) > 1e-3, text
 
 
+SMALL = BASE64[26:52]
+
+
+@pytest.mark.parametrize("alphabet, size, share", [
+    (BASE64[:26] + "234567", 32, 0.88), (BASE64[:26] + "234567", 40, 0.93), (SMALL + BASE64[52:62], 32, 0.9),
+    ("0123456789ABCDEF", 32, 0.9), (BASE64[:62], 24, 0.9), (BASE64[:52], 32, 0.9), (SMALL, 32, 0.7), (SMALL, 64, 0.95)])
+def test_battery_by_encoding(alphabet, size, share):
+    rng = random.Random(5)
+    found = sum(secret_scan.random_p("".join(rng.choices(alphabet, k=size))) <= 0.01 for _ in range(1000))
+    assert found >= share * 1000
+
+
+@pytest.mark.parametrize("join", ["".join, "_".join, "/".join, lambda w: "".join(w).upper(),
+                                  lambda w: "".join(x.title() for x in w), lambda w: "".join(w) + "20240131",
+                                  lambda w: "".join(f"{x}{len(x)}" for x in w)])
+def test_words_run_together_are_not_random(join):
+    rng = random.Random(6)
+    words = sorted({w.lower() for r in small() for w in re.findall("[A-Za-z]{2,}", r["text"] or "")})
+    ps = [secret_scan.random_p(join(rng.choices(words, k=rng.randint(4, 9)))) for _ in range(1000)]
+    assert sum(p <= 0.01 for p in ps) <= 10
+
+
 def test_false_discovery_rule():
     assert secret_scan.accepted_bin({0: 1000}, 0.01) == secret_scan.LAST_BIN + 1
     # 10 of 1010 at 1e-5 or less: 1010 * 1e-5 / 10 is below the rate.
