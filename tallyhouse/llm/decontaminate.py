@@ -9,6 +9,7 @@ numbers, which maps to offsets in the original text.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -87,18 +88,16 @@ _RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids"
                      ("spans", pa.list_(_SPAN))])
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of bounded size, read one after the other."""
-    items = benchmark.select(F.col("item_id").cast("string"), "text").where("item_id is not null and text is not null")
-    blocks: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for row in items.toLocalIterator():
-        size += len(row[1])
-        if blocks[-1] and size > block_bytes:
-            blocks.append([])
-            size = len(row[1])
-        blocks[-1].append((row[0], row[1]))
-    return blocks
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in blocks of bounded size.  Spark deals them to blocks in a written
+    table; the driver holds one block at a time."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text") \
+        .where("item_id is not null and text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(size / block_bytes))
+    dealt = written(items.repartition(n).select(F.spark_partition_id().alias("block"), "item_id", "text"), "benchmark")
+    for block in range(n):
+        yield [(r.item_id, r.text) for r in dealt.where(F.col("block") == block).collect()]
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, result: str = "overlap",
