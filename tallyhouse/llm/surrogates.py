@@ -18,6 +18,12 @@ that two values share, or that is itself a value of the corpus, is a collision:
 all but the first of those values get the surrogate of the next attempt, until
 none is left.  As the table is keyed by the normalised value (digits alone, small
 letters), every mention of a value gets the same surrogate, in its own format.
+
+Coreference: a word that some mention of a document has as a given or family name is
+that name wherever it stands alone in the document ("Mrs Mary Jones ... Jones
+replied"), with the part it has in the first of these mentions.  A given name whose
+mention tells no gender ("Dr Olivia Brown") is the gendered one of the same letters,
+where the corpus has one ("Ms Olivia Brown").
 """
 
 from __future__ import annotations
@@ -234,22 +240,29 @@ def _given(names: Column, draw: Column, script: str, attempt: Column) -> Column:
                     F.initcap(F.concat(_syllables(script, draw, range(9, 12)), _longer(script, draw, attempt))))
 
 
+def _is_name(kind: Column | str) -> Column:
+    kind = F.col(kind) if isinstance(kind, str) else kind
+    return kind.startswith("given") | kind.startswith("family")
+
+
 def surrogate_table(values: DataFrame, key: str) -> DataFrame:
     """``kind, value, surrogate`` for the distinct (kind, value) rows of ``values``,
-    with no surrogate twice in a kind and none that is a value of its kind.  Surrogates
-    grow with the attempts, so all values get one, also where all forms of a value's
-    length are taken or it has nothing to shift."""
+    with no surrogate twice in a kind and none that is a value of its kind (given names
+    of all genders counting as one).  Surrogates grow with the attempts, so all values
+    get one, also where all forms of a value's length are taken or it has nothing to
+    shift."""
     done, open_ = None, written(values.distinct().withColumn("attempt", F.lit(0)), "values")
-    every = open_.select("kind", F.col("value").alias("surrogate"))
-    made_up = F.col("kind").startswith("given") | F.col("kind").startswith("family")
-    norm = F.when(made_up, F.lower("surrogate")).otherwise(F.col("surrogate"))
+    space = F.regexp_replace("kind", "^given-[fmn]", "given").alias("space")
+    every = open_.select(space, F.col("value").alias("surrogate"))
+    norm = F.when(_is_name("kind"), F.lower("surrogate")).otherwise(F.col("surrogate")).alias("surrogate")
     while True:
         tried = written(open_.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)),
                         "surrogates")
-        free = tried.withColumn("surrogate", norm).join(every, ["kind", "surrogate"], "left_anti")
+        free = tried.select("kind", "value", space, norm).join(every, ["space", "surrogate"], "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", norm.alias("surrogate")), ["kind", "surrogate"], "left_anti")
-        first = free.groupBy("kind", "surrogate").agg(F.min("value").alias("value")).select("kind", "value")
+            free = free.join(done.select(space, norm), ["space", "surrogate"], "left_anti")
+        first = free.groupBy("space", "surrogate").agg(F.min(F.struct("value", "kind")).alias("own")) \
+            .select("own.kind", "own.value")
         kept = written(tried.join(first, ["kind", "value"], "left_semi").select("kind", "value", "surrogate"), "settled")
         done = kept if done is None else done.unionByName(kept)
         open_ = written(tried.join(first, ["kind", "value"], "left_anti").select(
@@ -277,26 +290,59 @@ def _in_form(kind: Column, form: Column, new: Column) -> Column:
                                     lambda a, b: F.when(a.rlike("[A-Z]"), F.upper(b)).otherwise(b)), "")
     return F.when(kind == "keep", form).when(kind == "mail", cased).when(kind == "ip", new) \
         .when(kind == "account", fitting("A-Z0-9")) \
-        .when(kind.startswith("given") | kind.startswith("family"), F.when(form == F.upper(form), F.upper(new)).otherwise(new)) \
+        .when(_is_name(kind), F.when(form == F.upper(form), F.upper(new)).otherwise(new)) \
         .otherwise(fitting("0-9"))
 
 
+def _with_bare_names(found: DataFrame) -> DataFrame:
+    """``row, doc_id, gaps, mentions``: the words that are names in some mention are
+    mentions by themselves as well; gaps are the texts between all mentions."""
+    # The first of a document's parts with a form decides what the form is alone.
+    names = F.array_distinct(F.filter(F.flatten("mentions"), lambda p: _is_name(p["kind"])))
+    forms = F.transform(F.sort_array(F.array_distinct(F.transform("names", lambda p: F.struct(
+        F.length(p["form"]).alias("n"), p["form"].alias("form")))), asc=False), lambda x: x["form"])
+    # Forms are letters and hyphens; longer ones come first.
+    pattern = F.when(F.size("names") == 0, F.lit(PATTERN)).otherwise(F.concat(
+        F.lit(PATTERN + r"|(?<![\p{L}])(?=\p{Lu})(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}])")))
+
+    def parts(mention: Column) -> Column:
+        bare = F.get(F.filter("names", lambda p: p["form"] == mention), F.lit(0))
+        alone = F.rlike(mention, F.lit(rf"^{_CAPITAL}$"))
+        return F.coalesce(F.when(alone, F.when(bare.isNotNull(), F.array(bare))), parts_of(mention))
+
+    ready = found.withColumn("names", names).withColumn("pattern", pattern)
+    return written(ready.select("row", "doc_id", F.split("text", F.col("pattern"), -1).alias("gaps"), F.transform(
+        F.regexp_extract_all("text", F.col("pattern"), F.lit(0)), parts).alias("mentions")), "names")
+
+
+def _one_gender(values: DataFrame) -> DataFrame:
+    """``kind, value, own``: ``own`` is the kind that the value's surrogate is drawn
+    for, a gendered one for given names without gender where there is one."""
+    known = values.where(F.col("kind").rlike("^given-[fm]-")).groupBy(
+        F.regexp_replace("kind", "^given-[fm]", "given-n").alias("kind"), "value").agg(F.min("kind").alias("own"))
+    return written(values.join(known, ["kind", "value"], "left").select(
+        "kind", "value", F.coalesce("own", "kind").alias("own")), "kinds")
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """``doc_id, text, n_entities`` for each row, entities replaced.
 
-    Null texts stay null with no entities, empty ones empty; equal rows get equal
-    results; rows without doc_id are treated like any; other columns are ignored; an
-    empty table gives none.  The same key gives the same cipher for any corpus.
+    Null texts stay null with no entities, empty ones empty; texts of any length are
+    searched whole; equal rows get equal results; rows without doc_id are treated like
+    any; other columns are ignored; an empty table gives none.  The same key gives the
+    same cipher for any corpus.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    found = written(rows.where(has).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", PATTERN, -1).alias("gaps"),
-        F.transform(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), parts_of).alias("mentions")), "mentions")
+    found = _with_bare_names(written(rows.where(has).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text",
+        F.transform(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)), parts_of).alias("mentions")), "mentions"))
     parts = found.select("row", F.posexplode("mentions").alias("at", "parts")) \
         .select("row", "at", F.posexplode("parts").alias("part", "p")) \
         .select("row", "at", "part", "p.kind", "p.value", "p.form")
-    table = surrogate_table(parts.where("kind <> 'keep'").select("kind", "value"), key)
+    kinds = _one_gender(parts.where("kind <> 'keep'").select("kind", "value").distinct())
+    drawn = surrogate_table(kinds.select(F.col("own").alias("kind"), "value"), key).withColumnRenamed("kind", "own")
+    table = kinds.join(drawn, ["own", "value"]).select("kind", "value", "surrogate")
     new = parts.join(table, ["kind", "value"], "left").select(
         "row", "at", "part", _in_form(F.col("kind"), F.col("form"), F.col("surrogate")).alias("new"))
     whole = new.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "part", "new"))).alias("new"))

@@ -226,3 +226,49 @@ def test_surrogates_grow_when_their_length_is_used_up(spark):
     shown = spark.range(1).select(surrogates._in_form(F.lit("social"), F.lit("123-45-6789"), F.lit("9876543210")),
                                   surrogates._in_form(F.lit("social"), F.lit("123-45-6789"), F.lit("987654321"))).first()
     assert tuple(shown) == ("9876543210", "987-65-4321")
+
+
+def by_plain_python(texts, first):
+    """Names of each text by the rules, in plain Python: the mentions that carry a form
+    of address, then their words wherever they stand alone."""
+    out = []
+    for t in texts:
+        names = {w for m in re.finditer(r"\b(?:Mrs|Ms|Mr|Dr)\.? ([A-Z][a-z]+)(?: ([A-Z][a-z]+))?", t) for w in m.groups() if w}
+        out.append(re.sub(r"[A-Za-z]+", lambda m: first[m[0]] if m[0] in names else m[0], t))
+    return out
+
+
+def test_bare_names_follow_their_mentions(spark):
+    texts = ["Mrs Olivia Jones met Dr Bertil Smith. Jones replied to Smith; Smithson, Jonesy and jones did not.",
+             "Ms Olivia Brown left. Olivia said so, and Brown's friend (Brown) too.",
+             "Dr Olivia Brown came back.", "Jones and Smith stand here without any mention.", "Mr Wu saw Wu. Wu"]
+    out = [r.text for r in surrogates.replace_entities(docs(spark, texts), "k").orderBy("doc_id").collect()]
+    first = {}
+    for w in ("Olivia", "Jones", "Bertil", "Smith", "Brown", "Wu"):
+        source, place = {"Olivia": (0, 1), "Jones": (0, 2), "Bertil": (0, 5), "Smith": (0, 6), "Brown": (1, 2), "Wu": (4, 1)}[w]
+        first[w] = out[source].split()[place].strip(".")
+    assert len(set(first.values())) == len(first) and not set(first) & set(first.values())
+    assert out == by_plain_python(texts, first)
+    assert first["Olivia"].split("-")[0] in surrogates.GIVEN["f", "latin"]
+
+
+def test_hyphened_names_and_very_many_names(spark):
+    many = " ".join(f"Mr {chr(65 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)} was here." for k in range(3000))
+    bare = " ".join(f"{chr(65 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(3000))
+    texts = ["Ms Anna Lund-Berg and Mr Lund. Lund-Berg, Lund", many + " " + bare]
+    out = [r.text for r in surrogates.replace_entities(docs(spark, texts), "k").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Ms (\S+) (\S+) and Mr (\S+)\. (\S+), (\S+)", out[0])
+    assert m[2] == m[4] and m[3] == m[5] and m[2] != m[3] and "Lund" not in out[0]
+    words = out[1].split()
+    assert words[1:12_000:4] == words[12_000:] and len(set(words[12_000:])) == 3000
+    assert not set(words[12_000:]) & set(bare.split())
+
+
+def test_given_names_of_all_genders_stay_distinct(spark, monkeypatch):
+    def short(kind, value, attempt, key):
+        return F.concat(F.lit("N"), attempt.cast("string"))
+    monkeypatch.setattr(surrogates, "surrogate", short)
+    values = spark.createDataFrame([("given-f-latin", "a"), ("given-n-latin", "b"), ("given-m-latin", "a"), ("given-n-greek", "b")],
+                                   "kind string, value string")
+    rows = surrogates.surrogate_table(values, "k").collect()
+    assert len(rows) == 4 and len({r.surrogate for r in rows if "latin" in r.kind}) == 3
