@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 and read again as the next one's ``docs``.  All but the last return the columns
-of ``documents``.
+of ``documents``, whatever further ones there are and whatever their names.  Texts
+of any length are taken whole; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -28,26 +29,31 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.  Null and empty texts have the
+    model's bias as their only score; repeated rows stay or go together."""
     score = _free(docs, "quality_score")
     margins = quality_model.fit(docs, table(spark, sf_dir, "labels"))
     return quality_model.score(docs, margins, score).where(F.col(score) >= quality_model.THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that of the smallest doc_id (rows
+    without one last), of several such rows the one with the smallest hash of its text,
+    one of equal rows.  Null and empty texts are a group."""
     return near_dups.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
+    """Documents that are not contaminated by the benchmark.  Null and empty texts have
+    no words, so they stay; so do all where the benchmark is empty."""
     overlap = _free(docs, "benchmark_overlap")
     found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"), result=overlap)
     return found.where(~decontaminate.contaminated(overlap)).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced (and n_chars counted again)."""
+    """All documents, secrets in their texts replaced (and n_chars counted again).  Null
+    and empty texts stay as they are."""
     spans = _free(docs, "secret_spans")
     found = secret_scan.find_secrets(docs, spans, redact_as=REDACTED)
     if "n_chars" in docs.columns:
@@ -58,7 +64,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the remaining documents in their training sequences."""
+    """The pieces of the remaining documents in their training sequences.  Null texts are
+    empty: their end token alone; rows without doc_id are packed like any."""
     return harmonic.digests(harmonic.pack(docs, harmonic.encode_with_end()))
 
 
