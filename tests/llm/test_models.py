@@ -161,3 +161,56 @@ def test_every_place_is_a_target_once(spark):
     ids = np.array([number.words[w.encode()] for w in words])
     moved = (network.rows != masked_lm.Network.start().rows).any(axis=1)
     assert moved[masked_lm.VOCABULARY + ids[:-1]].all() and moved[2 * masked_lm.VOCABULARY + ids[1:]].all()
+
+
+def test_documents_are_spelled_once_and_steps_are_the_plain_ones(spark, monkeypatch):
+    # The rounds and the scores read token numbers; no step spells words again.
+    rng = random.Random(8)
+    texts = [None, "", *(" ".join(rng.choice(["the", "of", f"w{rng.random():.3f}", "Straße"]) for _ in range(rng.randrange(1, 80)))
+                         for _ in range(60))]
+    calls, spell = [], masked_lm.spell
+    monkeypatch.setattr(masked_lm, "spell", lambda *a: calls.append(a) or spell(*a))
+    scored = {r.doc_id: r for r in masked_lm.score_corpus(docs(spark, texts)).collect()}
+    assert len(calls) == 1 and len(scored) == len(texts)
+    number = calls[0][1]
+    for r in spell(docs(spark, texts), number).collect():
+        words = masked_lm.split(texts[r.doc_id])
+        assert np.frombuffer(r.ids, "<u2").tolist() == number.tokens(words)[0].tolist()
+        assert r.checksum == zlib.crc32(b" ".join(words)) and scored[r.doc_id].n_tokens == len(words)
+    # A step against the gradient of each row by itself.
+    draw, n, size = np.random.default_rng(4), 300, masked_lm.CLASSES
+    tokens, around = np.minimum(draw.zipf(1.3, n) + 1, masked_lm.VOCABULARY - 1), draw.integers(0, 40, (n, 4)) ** 2
+    net, used = masked_lm.Network.start(), np.zeros(masked_lm.Network.ROWS, dtype=np.float32)
+    before = net.rows.astype(np.float64)
+    net.learn(tokens, around, 0.2, used)
+    change, times = np.zeros_like(before), np.zeros(masked_lm.Network.ROWS)
+    for t, a in zip(tokens, net.inputs(around), strict=True):
+        h = np.append(np.tanh(before[a, :-1].sum(axis=0)), 1)
+        back = 0
+        for at, target in ((net.KINDS, t // size), (net.TOKENS + t // size * size, t % size)):
+            rows = before[at:at + size]
+            g = np.exp(rows @ h) / np.exp(rows @ h).sum() - (np.arange(size) == target)
+            change[at:at + size] += g[:, None] * h
+            times[at:at + size] += 1
+            back = back + g @ rows
+        change[a, :-1] += np.clip(back * (1 - h * h), -1, 1)[:-1]
+        times[a] += 1
+    assert (used == times).all()
+    assert np.abs(before - 0.2 * change / np.sqrt(np.maximum(times, 1))[:, None] - net.rows).max() < 1e-5
+
+
+def test_pieces_count_every_substring(spark, monkeypatch):
+    rng = random.Random(9)
+    counted = {bytes(rng.choice(b"abcd\xff\x00") for _ in range(rng.randrange(1, 30))): rng.randrange(1, 50) for _ in range(200)}
+    counted[b"xy" * 70_000] = 3
+    want = {}
+    for w, n in counted.items():
+        for size in range(2, masked_lm.LONGEST + 1):
+            for k in range(len(w) - size + 1):
+                want[w[k:k + size]] = want.get(w[k:k + size], 0) + n * (size - 1)
+    monkeypatch.setattr(masked_lm, "_GATHERED", 1000)
+    found = []
+    summed = masked_lm._summed
+    monkeypatch.setattr(masked_lm, "_summed", lambda *a: found.append(summed(*a)) or found[0])
+    masked_lm.pieces(spark.createDataFrame([(bytearray(w), n) for w, n in counted.items()], "word binary, n long"), {})
+    assert {bytes(r.word): r.n for r in found[0].collect()} == want
