@@ -301,8 +301,11 @@ def _with_bare_names(found: DataFrame) -> DataFrame:
     names = F.array_distinct(F.filter(F.flatten("mentions"), lambda p: _is_name(p["kind"])))
     forms = F.transform(F.sort_array(F.array_distinct(F.transform("names", lambda p: F.struct(
         F.length(p["form"]).alias("n"), p["form"].alias("form")))), asc=False), lambda x: x["form"])
+    # A form of address that is a name here ("Mr Sra") is one everywhere; the names behind it stand alone.
+    address = F.array_join(F.filter(forms, lambda f: f.isin([w for ws in ADDRESS.values() for w in ws])), "|")
     # Forms are letters and hyphens; longer ones come first.
     pattern = F.when(F.size("names") == 0, F.lit(PATTERN)).otherwise(F.concat(
+        F.when(address != "", F.concat(F.lit(r"(?<![\p{L}])(?:"), address, F.lit(r")(?!-?[\p{L}])|"))).otherwise(""),
         F.lit(PATTERN + r"|(?<![\p{L}])(?=\p{Lu})(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}])")))
 
     def parts(mention: Column) -> Column:

@@ -272,3 +272,12 @@ def test_given_names_of_all_genders_stay_distinct(spark, monkeypatch):
                                    "kind string, value string")
     rows = surrogates.surrogate_table(values, "k").collect()
     assert len(rows) == 4 and len({r.surrogate for r in rows if "latin" in r.kind}) == 3
+
+
+def test_a_form_of_address_that_is_a_name(spark):
+    # "Sra" is a name where a mention has it as one, and a form of address elsewhere.
+    texts = ["Mr Sra met Ms Lund. Sra Lund, Sra and Sra-like Lund.", "Sra Lund met Sra Berg."]
+    out = [r.text for r in surrogates.replace_entities(docs(spark, texts), "k").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mr (\S+) met Ms (\S+)\. (\S+) (\S+), (\S+) and \S+-like (\S+)\.", out[0])
+    assert m[1] == m[3] == m[5] != "Sra" and m[2] == m[4] == m[6] != "Lund"
+    assert out[1].startswith(f"Sra {m[2]} met Sra ") and "Berg" not in out[1]
