@@ -52,9 +52,48 @@ def _room(width: int) -> int:
 
 
 def _bit_length(x: np.ndarray) -> np.ndarray:
+    if x.max() < 1 << 53:                                # exact as doubles, whose exponents tell
+        return np.maximum((x.astype(np.float64).view(np.int64) >> 52) - 1022, 0).astype(np.uint8)
     return np.searchsorted(_BIT_LENGTHS, x, side="right").astype(np.uint8)
 
 
+def _words(width: int) -> Iterator[tuple[int, int, int]]:
+    """For each of 64 packed numbers the 64-bit word that its lowest bit is in, the bit's
+    place there, and how many bits run over into the next word."""
+    for k in range(64):
+        word, shift = divmod(k * width, 64)
+        yield word, shift, max(0, shift + width - 64)
+
+
+def _pack_full(rest: np.ndarray, width: int) -> np.ndarray:
+    """Whole blocks (a row each) packed at ``width``: 64 numbers fill that many words."""
+    if width in (8, 16, 32, 64):
+        return rest.astype(f"<u{width // 8}").view(np.uint8)
+    low = np.uint64((1 << width) - 1)
+    columns = np.ascontiguousarray((rest & low).reshape(-1, 64).T)
+    words = np.zeros((width, columns.shape[1]), dtype=np.uint64)
+    for v, (word, shift, over) in zip(columns, _words(width), strict=True):
+        words[word] |= v << np.uint64(shift)
+        if over:
+            words[word + 1] |= v >> np.uint64(width - over)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(rest), -1)
+
+
+def _unpack_full(raw: np.ndarray, width: int) -> np.ndarray:
+    """The numbers of whole blocks' packed bytes (a row each)."""
+    if width in (8, 16, 32, 64):
+        return np.ascontiguousarray(raw).view(f"<u{width // 8}").astype(np.uint64)
+    low = np.uint64((1 << width) - 1)
+    words = np.ascontiguousarray(np.ascontiguousarray(raw).view("<u8").astype(np.uint64, copy=False).reshape(-1, width).T)
+    columns = np.empty((64, words.shape[1]), dtype=np.uint64)
+    for v, (word, shift, over) in zip(columns, _words(width), strict=True):
+        np.right_shift(words[word], np.uint64(shift), out=v)
+        if over:
+            v |= words[word + 1] << np.uint64(width - over)
+    columns &= low
+    return np.ascontiguousarray(columns.T).reshape(len(raw), BLOCK)
+
+
 def encode_blocks(values: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
     """The blocks of an array of unsigned numbers."""
     out: list[bytes] = []
@@ -79,6 +118,10 @@ def _encode_chunk(v: np.ndarray, percentile: float) -> list[bytes]:
         packed: list[bytes] = [b""] * len(part)
         for w in np.unique(widths[widths > 0]):
             which = np.flatnonzero(widths == w)
+            if n == BLOCK:
+                for k, row in zip(which.tolist(), _pack_full(rest[which], int(w)), strict=True):
+                    packed[k] = row.tobytes()
+                continue
             room = _room(int(w))
             raw = np.unpackbits(rest[which].astype(f"<u{room}").view(np.uint8).reshape(len(which), n, room), axis=2,
                                 count=int(w), bitorder="little")
@@ -91,8 +134,9 @@ def _encode_chunk(v: np.ndarray, percentile: float) -> list[bytes]:
         places = places.astype(np.uint8)
         ends = np.cumsum(heads["odd"], dtype=np.int64).tolist()
         begin = 0
-        for head, body, end in zip(heads, packed, ends, strict=True):
-            out.append(head.tobytes() + body + places[begin:end].tobytes() + high[begin:end].tobytes())
+        heads, size, places, high = heads.tobytes(), _HEAD.itemsize, places.tobytes(), high.tobytes()
+        for k, (body, end) in enumerate(zip(packed, ends, strict=True)):
+            out.append(heads[size * k:size * k + size] + body + places[begin:end] + high[8 * begin:8 * end])
             begin = end
     return out
 
@@ -115,6 +159,9 @@ def decode_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
         if not w:
             continue
         same = np.flatnonzero((counts == n) & (widths == w))
+        if n == BLOCK:
+            out[same] = _unpack_full(data[body[same][:, None] + np.arange(n * w // 8)], w)
+            continue
         for which in np.array_split(same, -(-len(same) // 512)):
             bits = np.unpackbits(data[body[which][:, None] + np.arange((n * w + 7) // 8)], axis=1,
                                  count=n * w, bitorder="little").reshape(len(which), n, w)
@@ -173,7 +220,7 @@ class IdFileWriter:
         v = np.concatenate([self.rest, new])
         full = len(v) // BLOCK * BLOCK
         self._blocks(v[:full])
-        self.rest = v[full:]
+        self.rest = v[full:].copy()
 
     def close(self) -> None:
         self._blocks(self.rest)
@@ -299,18 +346,21 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
     listed = files.select("path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("base"))
     n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+    def batch(got: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in got], f.type) for k, f in enumerate(_ROWS)], schema=_ROWS)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = filesystem(folder)
         for b in batches:
             for path, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 got, size = [], 0
                 for doc, start, ids in IdFile(fs, path).rows():
-                    got.append({"doc_id": doc, "start": base + start, "ids": ids.tobytes()})
+                    got.append((doc, base + start, ids.tobytes()))
                     size += 4 * len(ids)
                     if size > 4 << 20:
-                        yield pa.RecordBatch.from_pylist(got, schema=_ROWS)
+                        yield batch(got)
                         got, size = [], 0
-                yield pa.RecordBatch.from_pylist(got, schema=_ROWS)
+                yield batch(got)
 
     return map_batches(listed.repartition(n, "path"), run, ROWS)
 

@@ -126,6 +126,23 @@ def test_blocks_property(values):
     assert idblocks.decode_blocks(b"".join(blocks), starts).tolist() == values
 
 
+def test_whole_blocks_are_packed_by_words(monkeypatch):
+    """Each width's layout, bit by bit; no array of single bits is made for whole blocks."""
+    def bits(*_, **__):
+        raise AssertionError("bits of a whole block")
+    monkeypatch.setattr(np, "unpackbits", bits)
+    rng = np.random.default_rng(2)
+    for width in range(1, 65):
+        v = rng.integers(0, 2 ** width - 1, 3 * idblocks.BLOCK, dtype=np.uint64, endpoint=True)
+        v[::idblocks.BLOCK], v[1::idblocks.BLOCK] = 0, np.uint64(2 ** width - 1)
+        blocks = idblocks.encode_blocks(v, percentile=1.0)
+        for block, part in zip(blocks, v.reshape(-1, idblocks.BLOCK).tolist(), strict=True):
+            want = sum(x << k * width for k, x in enumerate(part))
+            assert int.from_bytes(block[12:], "little") == want and len(block) == 12 + 16 * width
+        starts = np.cumsum([0] + [len(b) for b in blocks])[:-1]
+        assert (idblocks.decode_blocks(b"".join(blocks), starts) == v).all()
+
+
 def test_outliers_stand_in_the_exception_list():
     v = np.array([5] * 120 + [2 ** 30] * 8, dtype=np.uint64)
     (block,) = idblocks.encode_blocks(v)
