@@ -214,3 +214,50 @@ def test_pieces_count_every_substring(spark, monkeypatch):
     monkeypatch.setattr(masked_lm, "_summed", lambda *a: found.append(summed(*a)) or found[0])
     masked_lm.pieces(spark.createDataFrame([(bytearray(w), n) for w, n in counted.items()], "word binary, n long"), {})
     assert {bytes(r.word): r.n for r in found[0].collect()} == want
+
+
+def test_words_are_spelled_at_once_as_one_by_one(monkeypatch):
+    draw = random.Random(12)
+    found = [bytes(draw.choice(b"abc\xff\x00") for _ in range(draw.randrange(2, masked_lm.LONGEST + 1))) for _ in range(80)]
+    pieces = {p: k for k, p in enumerate(dict.fromkeys([*(bytes([c]) for c in range(256)), *found]))}
+    texts = [[bytes(draw.choice(b"abcd\xff\x00") for _ in range(draw.choice([1, 2, 5, 9, 64, 65, 300]))) for _ in range(n)]
+             for n in (0, 1, 7, 40, 200)]
+    number = masked_lm.Spelling({w: k + 2 for k, w in enumerate(texts[3][:5])}, pieces)
+    one = lambda w: number.words[w].to_bytes(2, "little") if w in number.words else number.cut(w)
+    words = [w for t in texts for w in t]
+    assert number.cut_all(words) == [number.cut(w) for w in words]
+    monkeypatch.setattr(masked_lm, "_KNOWN", 20)      # generations end within and between texts
+    for _ in range(3):
+        assert number.spell_all(texts) == [b"".join(map(one, t)) for t in texts]
+        assert [number.spell(t) for t in texts] == [b"".join(map(one, t)) for t in texts]
+        assert all(len(w) <= 64 or w in number.words for w in number.young)
+
+
+def test_documents_scored_together_are_scored_alone():
+    draw = np.random.default_rng(6)
+    net = masked_lm.Network(masked_lm.Network.start().rows * 8)
+    ids = [draw.integers(1, masked_lm.VOCABULARY, n) for n in (0, 1, 3, 900, 0, 7000, 9000, 20_000, 2)]
+    for i in ids:
+        i[-1:] = 5                                    # a word's last token
+    sizes, sums = masked_lm._sums([i.astype("<u2").tobytes() for i in ids], net)
+    assert sizes == [int(masked_lm._last(i).sum()) for i in ids]
+    for i, total in zip(ids, sums, strict=True):
+        around = masked_lm.places(i, masked_lm.word_ends(i)).astype(int)
+        h = np.tanh(net.rows[net.inputs(around)].astype(float)[:, :, :-1].sum(axis=1))
+        want = 0.0
+        for at, target in ((np.full(len(i), net.KINDS), i // masked_lm.CLASSES),
+                           (net.TOKENS + i // masked_lm.CLASSES * masked_lm.CLASSES, i % masked_lm.CLASSES)):
+            rows = net.rows[at[:, None] + np.arange(masked_lm.CLASSES)]
+            z = np.einsum("nkd,nd->nk", rows[:, :, :-1], h) + rows[:, :, -1]
+            want += float((z[np.arange(len(i)), target] - np.log(np.exp(z).sum(axis=1))).sum())
+        assert abs(total - want) <= 1e-5 * abs(want)
+
+
+def test_classes_are_filled_up_a_little():
+    draw = np.random.default_rng(2)
+    for n in (draw.poisson(draw.gamma(0.3, 40, masked_lm.CLASSES)), np.zeros(masked_lm.CLASSES, int), np.eye(masked_lm.CLASSES, dtype=int)[7] * 1024):
+        runs = masked_lm._runs(n.tolist())
+        held = [c for first, last, _ in runs for c in range(first, last)]
+        assert len(set(held)) == len(held) and set(np.flatnonzero(n)) <= set(held)
+        for first, last, most in runs:
+            assert most == max(n[first:last]) and most * (last - first) - n[first:last].sum() <= masked_lm._SPARE
