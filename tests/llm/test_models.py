@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from edges import TEXTS, docs, edge_docs, no_docs
 
@@ -228,12 +229,26 @@ def test_words_are_spelled_at_once_as_one_by_one(monkeypatch):
     assert number.cut_all(words) == [number.cut(w) for w in words]
     monkeypatch.setattr(masked_lm, "_KNOWN", 20)      # generations end within and between texts
     for _ in range(3):
-        assert number.spell_all(texts) == [b"".join(map(one, t)) for t in texts]
         assert [number.spell(t) for t in texts] == [b"".join(map(one, t)) for t in texts]
+        lists = pa.array([*texts[:2], None, *texts[2:]], pa.list_(pa.binary()))
+        assert number.spell_lists(lists).to_pylist() == [b"".join(map(one, t)) for t in [*texts[:2], [], *texts[2:]]]
         assert all(len(w) <= 64 or w in number.words for w in number.young)
 
 
-def test_documents_scored_together_are_scored_alone():
+def test_words_of_a_column_are_those_of_each_text(spark):
+    draw = random.Random(13)
+    texts = [None, "", " \t\n", "\x0b\x0c\r a", "A\u00a0B \u2003 É\x1c\x85x\x00Y ", *("".join(draw.choice("aB \t\r\n\x0b\x0c\x1fÄ日") for _ in range(30)) for _ in range(200))]
+    want = [masked_lm.split(t) for t in texts]
+    found = masked_lm._words(pa.array(texts))
+    assert [[w.encode() for w in t or []] for t in found.to_pylist()] == want
+    assert masked_lm._words(pa.array([b"a \xff\xfeB"], pa.binary()).view(pa.string())).flatten().cast(pa.binary()).to_pylist() == [b"a", b"\xff\xfeb"]
+    counts = {bytes(r.word): r.n for r in masked_lm.word_counts(docs(spark, texts)).collect()}
+    every = [w for t in want for w in t]
+    assert counts == {w: every.count(w) for w in every}
+
+
+def test_documents_scored_together_are_scored_alone(monkeypatch):
+    monkeypatch.setattr(masked_lm, "_RUN", 1 << 13)   # some are longer
     draw = np.random.default_rng(6)
     net = masked_lm.Network(masked_lm.Network.start().rows * 8)
     ids = [draw.integers(1, masked_lm.VOCABULARY, n) for n in (0, 1, 3, 900, 0, 7000, 9000, 20_000, 2)]
