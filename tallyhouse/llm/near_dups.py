@@ -12,6 +12,10 @@ its fingerprints are indexed whole instead, each under itself and its 64
 one-bit neighbours.  Two fingerprints share such a neighbour exactly if they
 differ in at most two bits, and a neighbour has at most 65 fingerprints, so
 links of the crowd stay complete and linear in number.
+
+Spark sizes exploded rows like those they come from, 64 times too low, and written
+ones by their compressed files.  Joins of either name a sort-merge join, so that no
+such table is sent to the driver and broadcast.
 """
 
 from __future__ import annotations
@@ -96,15 +100,15 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     crowd, a neighbour's fingerprints are linked to its smallest."""
     keys = variants(fps)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = written(keys.join(shared, "key"), "shared-keys")
+    members = written(keys.join(shared.hint("merge"), "key"), "shared-keys")
     few = members.where(F.col("n") <= crowd).select("key", "fp")
-    pairs = few.alias("a").join(few.alias("b"), F.expr("a.key = b.key and " + _ONCE.format(d=DISTANCE))) \
+    pairs = few.alias("a").join(few.alias("b").hint("merge"), F.expr("a.key = b.key and " + _ONCE.format(d=DISTANCE))) \
         .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     crowded = members.where(F.col("n") > crowd).select("fp").distinct()
     near = crowded.select("fp", F.expr(
         "explode(transform(sequence(0, 64), j -> if(j = 64, fp, fp ^ shiftleft(1L, j))))").alias("near"))
     least = near.groupBy("near").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least < most")
-    stars = near.join(least, "near").where("fp > least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    stars = near.join(least.hint("merge"), "near").where("fp > least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 

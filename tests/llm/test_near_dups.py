@@ -119,3 +119,18 @@ def test_copies_are_caught(spark):
     assert got[10] == got[11] == got[12] == 10 and got[14] == 14
     close = (naive_fingerprint(base) ^ naive_fingerprint(near)).bit_count() <= 2
     assert (got[13] == 10) == close
+
+
+def test_tables_with_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    # Spark takes the keys of a few fingerprints for as small as these: a broadcast.
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    written = near_dups.written
+    monkeypatch.setattr(near_dups, "written", lambda df, name: written(planned(df), name))
+    fps = spark.range(300).selectExpr("xxhash64(id div 3) ^ shiftleft(1L, cast(id % 3 as int)) as fp")
+    assert planned(near_dups.links(written(fps, "fps"), crowd=2)).count()
+    assert len(plans) == 2 and all("Join" in p and "BroadcastHashJoin" not in p for p in plans)
